@@ -20,9 +20,22 @@ from rankwise.contracts import DEFAULT_COLUMNS as C
 # Fixed value: items are the part key modulo this many categories.
 ITEM_CATEGORIES = 40
 
+# The columns each adapter reads, with their stored types.
+# Giving the schema skips footer-based inference when the plan is built.
+SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, "
+                "l_linenumber INT, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_acctbal DOUBLE",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _micros(ts: str) -> Column:

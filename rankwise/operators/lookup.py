@@ -32,20 +32,22 @@ def lookup_size(lookup: DataFrame, value: str) -> tuple[int, int]:
 
 def enrich(df: DataFrame, lookup: DataFrame, key: str, value: str, *,
            position: int = 1,
-           broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+           broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+           size_bound: int | None = None) -> DataFrame:
     """Left lookup join that adds ``value`` at ``position``.
 
     ``lookup`` must have one row per key (see ``build_lookup``). A missing
     key gives null and keeps the row; a null key matches a null lookup key.
-    The lookup is measured first and broadcast only when it fits
-    ``broadcast_limit`` -- then the large side is not shuffled at all;
-    otherwise both sides are hash-partitioned (AQE may still switch to a
-    broadcast once real sizes are known).
+    The lookup is measured first (or ``size_bound`` is given: any upper
+    bound of its bytes, e.g. measured on the input before ``build_lookup``)
+    and broadcast only when it fits ``broadcast_limit`` -- then the large
+    side is not shuffled at all; otherwise both sides are hash-partitioned
+    (AQE may still switch to a broadcast once real sizes are known).
     """
     if value in df.columns:
         raise ValueError(f"column {value!r} already exists")
     side = lookup.select(F.col(key).alias(_KEY), F.col(value))
-    _, size = lookup_size(side, value)
+    size = size_bound if size_bound is not None else lookup_size(side, value)[1]
     if size <= broadcast_limit:
         side = F.broadcast(side)
     joined = df.join(side, df[key].eqNullSafe(side[_KEY]), "left")

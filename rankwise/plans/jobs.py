@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from rankwise.contracts import DEFAULT_COLUMNS, OUTPUT, Columns
 from rankwise.operators.counting import count_by, count_by_salted
 from rankwise.operators.dedup import dedup_keep_one
-from rankwise.operators.lookup import DEFAULT_BROADCAST_LIMIT, build_lookup, enrich
+from rankwise.operators.lookup import (DEFAULT_BROADCAST_LIMIT, build_lookup,
+                                      enrich, lookup_size)
 from rankwise.operators.nulls import apply_null_policy
 from rankwise.operators.ranking import top_per_group
 from rankwise.operators.skew import (SKEW_THRESHOLD, SkewReport, choose_salts,
@@ -74,10 +75,15 @@ def top_stage(top_x: int, cols: Columns = DEFAULT_COLUMNS):
 def enrich_stage(locations: DataFrame, cols: Columns = DEFAULT_COLUMNS,
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT):
     lookup = build_lookup(locations, cols.location, cols.location_name)
+    # Measured on the raw lookup (a scan and a global aggregate, no shuffle):
+    # de-duplication only removes rows, so this bounds the built lookup.
+    _, bound = lookup_size(locations.select(cols.location, cols.location_name),
+                           cols.location_name)
 
     def enrich_names(df: DataFrame) -> DataFrame:
         return enrich(df, lookup, cols.location, cols.location_name,
-                      position=1, broadcast_limit=broadcast_limit)
+                      position=1, broadcast_limit=broadcast_limit,
+                      size_bound=bound)
     return enrich_names
 
 
