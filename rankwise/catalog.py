@@ -157,8 +157,8 @@ def q_partition_skew(spark, sf):
 _METRICS_SCHEMA = StructType([
     StructField("stage_index", IntegerType(), False),
     StructField("stage", StringType(), False),
-    StructField("rows_in", LongType(), False),
-    StructField("rows_out", LongType(), False),
+    StructField("rows_in", LongType(), True),
+    StructField("rows_out", LongType(), True),
 ])
 
 

@@ -30,6 +30,18 @@ def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _observed_rows(obs: Observation) -> int | None:
+    """The observed count, or None when the stage was never executed.
+
+    That happens when the optimizer replaces a plan by an empty relation
+    (e.g. a top-0 filter): the observation node goes with it.
+    """
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 -- pyspark raises a py4j error here
+        return None
+
+
 @dataclass
 class StageMetrics:
     """Row counts per stage, readable after the plan's action has run."""
@@ -38,12 +50,12 @@ class StageMetrics:
     seconds: float | None = None
     _rows: list[int] | None = field(default=None, repr=False)
 
-    def rows(self) -> list[int]:
+    def rows(self) -> list[int | None]:
         if self._rows is None:
-            self._rows = [int(o.get["rows"]) for o in self.observations]
+            self._rows = [_observed_rows(o) for o in self.observations]
         return self._rows
 
-    def table(self) -> list[tuple[int, str, int, int]]:
+    def table(self) -> list[tuple[int, str, int | None, int | None]]:
         """``(stage_index, stage, rows_in, rows_out)`` per stage."""
         counts = self.rows()
         return [(i + 1, name, counts[i], counts[i + 1])

@@ -1,0 +1,98 @@
+"""Skew measures and stage composition."""
+import functools
+
+import pytest
+from pyspark.sql import functions as F
+
+from rankwise.operators import (choose_salts, key_skew, partition_sizes,
+                                partition_skew)
+from rankwise.plans.pipeline import Pipeline
+
+
+def _layout_100_1_1_1(spark):
+    """Partitions holding 100, 1, 1 and 1 rows."""
+    part = F.when(F.col("id") < 100, 0).otherwise(F.col("id") - 99)
+    return spark.range(0, 103, 1, 1).repartitionByRange(4, part)
+
+
+def test_partition_skew_detected(spark):
+    df = _layout_100_1_1_1(spark)
+    assert sorted(r.rows for r in partition_sizes(df).collect()) == [1, 1, 1, 100]
+    report = partition_skew(df)
+    assert report.skewed and report.factor > 1.5
+    assert report.units == 4 and report.rows == 103 and report.largest == 100
+
+
+def test_partition_skew_balanced(spark):
+    report = partition_skew(spark.range(0, 20, 1, 4))
+    assert not report.skewed and report.factor <= 1.5
+
+
+def test_partition_skew_empty(spark):
+    report = partition_skew(spark.range(0, 0, 1, 2))
+    assert report.factor == 0.0 and not report.skewed
+
+
+def test_partition_sizes_include_empty_partitions(spark):
+    df = spark.range(0, 3, 1, 1).repartition(3, F.lit(0))   # one full, two empty
+    sizes = sorted(r.rows for r in partition_sizes(df).collect())
+    assert sizes == [0, 0, 3]
+    assert sorted(r.partition_id for r in partition_sizes(df).collect()) == [0, 1, 2]
+
+
+def test_key_skew(spark):
+    df = spark.createDataFrame([("hot",)] * 8 + [("a",), ("b",)], "k string")
+    report = key_skew(df, ["k"])
+    assert report.units == 3 and report.largest == 8
+    assert report.factor == pytest.approx(8 / (10 / 3))
+    assert report.skewed
+
+
+def test_choose_salts():
+    assert choose_salts(0.0) == 2
+    assert choose_salts(1.98) == 2
+    assert choose_salts(3.2) == 4
+
+
+# --- composition ----------------------------------------------------------------
+
+def plus_one(df):
+    return df.select((F.col("v") + 1).alias("v"))
+
+
+def times_two(df):
+    return df.select((F.col("v") * 2).alias("v"))
+
+
+def test_pipeline_runs_in_order(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "v long")
+    out = Pipeline([plus_one, times_two])(df)
+    assert sorted(r.v for r in out.collect()) == [4, 6, 8]
+
+
+def test_pipeline_rejects_non_callables():
+    with pytest.raises(TypeError):
+        Pipeline([plus_one, "not a stage"])
+
+
+def test_pipeline_copies_member_list(spark):
+    stages = [plus_one]
+    pipe = Pipeline(stages)
+    stages.append(times_two)
+    assert pipe.names == ["plus_one"]
+
+
+def test_pipeline_metrics_single_action(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "v long")
+    pipe = Pipeline([plus_one, functools.partial(times_two)])
+    result, metrics = pipe.run(df, lambda d: sorted(r.v for r in d.collect()))
+    assert result == [4, 6, 8]
+    assert metrics.table() == [(1, "plus_one", 3, 3), (2, "times_two", 3, 3)]
+    assert len(metrics.log_lines()) == 2 and "rows_in=3 rows_out=3" in metrics.log_lines()[0]
+
+
+def test_pipeline_metrics_filtering_stage(spark):
+    df = spark.range(10).select(F.col("id").alias("v"))
+    pipe = Pipeline([lambda d: d.filter("v % 2 = 0")], names=["evens"])
+    _, metrics = pipe.run(df, lambda d: d.write.format("noop").mode("overwrite").save())
+    assert metrics.table() == [(1, "evens", 10, 5)]
