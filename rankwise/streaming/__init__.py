@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The job this package rebuilds is a batch job over files (read both inputs,
+compute, write one dated result). It has no stream source, watermark,
+windowed aggregation or state, so there is no streaming operator to
+re-express here; see README ("Not built").
+"""
