@@ -37,7 +37,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
-    spark = local_session(cpus, max(8, 2 * cpus), app="rankwise-bench")
+    spark = local_session(cpus, cpus, app="rankwise-bench")
     spark.sparkContext.setLogLevel("ERROR")
 
     # Warm-up: JVM class loading and codegen caches, on the smallest data.

@@ -22,7 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankwise.contracts import DEFAULT_COLUMNS, OUTPUT, Columns
+from rankwise.contracts import (DEFAULT_COLUMNS, DETECTIONS, LOCATIONS, OUTPUT,
+                                Columns, conform)
 from rankwise.operators.counting import count_by, count_by_salted
 from rankwise.operators.dedup import dedup_keep_one
 from rankwise.operators.lookup import (DEFAULT_BROADCAST_LIMIT, build_lookup,
@@ -32,7 +33,7 @@ from rankwise.operators.ranking import top_per_group
 from rankwise.operators.skew import (SKEW_THRESHOLD, SkewReport, choose_salts,
                                      key_skew, partition_skew)
 from rankwise.plans.pipeline import Pipeline, StageMetrics
-from rankwise.sources.formats import read, write
+from rankwise.sources.formats import read, resolve_format, write
 
 
 def detection_columns(cols: Columns, assume_identical: bool) -> list[str]:
@@ -228,10 +229,20 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
                       null_policy: str = "keep") -> JobRun:
     """The whole job as one Spark action: read, compute, write dated output.
 
-    Stage row counts come from observations of that same action.
+    Inputs are read under the detections / locations contracts (by name,
+    cast to the contract types; CSV and JSON get the schema on read, so no
+    inference pass). Stage row counts come from observations of that same
+    action.
     """
-    detections = read(spark, input_format, detections_path)
-    locations = read(spark, input_format, locations_path)
+    if resolve_format(input_format) == "text":
+        raise ValueError("text input has no columns; use parquet, csv or json")
+    typed = resolve_format(input_format) != "parquet"
+    detections = conform(read(spark, input_format, detections_path,
+                              schema=DETECTIONS if typed else None),
+                         DETECTIONS, check_nulls=False)
+    locations = conform(read(spark, input_format, locations_path,
+                             schema=LOCATIONS if typed else None),
+                        LOCATIONS, check_nulls=False)
     decision = decide_salting(detections) if skew_aware else None
     pipeline = top_items_pipeline(
         locations, top_x, salts=decision.salts if decision else None,

@@ -145,3 +145,19 @@ def test_events_identical_fast_path_matches_safe_dedup(spark):
     loc = adapters.locations_from_customer(spark, SF_SMALL)
     safe = tuples(top_items(d, loc, 3))
     assert tuples(top_items(d, loc, 3, assume_identical=True)) == safe
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_job_run_from_csv_and_json_inputs(spark, fmt):
+    base = scratch_path(spark, f"in-{fmt}")
+    d_path = write(detections(spark, F1_ROWS), fmt, base + "/a", dated=False)
+    l_path = write(locations(spark, F1_LOCATIONS), fmt, base + "/b", dated=False)
+    run = run_top_items_job(spark, d_path, l_path, base + "/out", 2,
+                            input_format=fmt.upper(), run_date="2026-04-21")
+    expected = tuples(top_items(*_f1(spark), 2))
+    assert tuples(read(spark, "parquet", run.output_path)) == expected
+
+
+def test_job_run_rejects_text_input(spark):
+    with pytest.raises(ValueError):
+        run_top_items_job(spark, "a", "b", "out", 2, input_format="txt")
