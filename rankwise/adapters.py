@@ -39,8 +39,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _micros(ts: str) -> Column:
-    # Parquet timestamps here read as TIMESTAMP_NTZ; the session runs in UTC.
-    return F.unix_micros(F.col(ts).cast("timestamp"))
+    """Microseconds since the epoch of a TIMESTAMP_NTZ column.
+
+    A difference of two NTZ values does not depend on the session time
+    zone (a cast to TIMESTAMP would).
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
 
 
 def detections_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

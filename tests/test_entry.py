@@ -36,3 +36,15 @@ def test_query_matches_oracle_on_small_tables(spark, name):
     assert sorted(df.columns) == sorted(want_cols)
     got = sorted((tuple(r[c] for c in want_cols) for r in df.collect()), key=repr)
     assert got == want
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    name = "dedup_keep_one"
+    utc = sorted(tuple(r) for r in entry_module.queries()[name](spark, SF_SMALL).collect())
+    previous = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = sorted(tuple(r) for r in entry_module.queries()[name](spark, SF_SMALL).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", previous)
+    assert utc == other
