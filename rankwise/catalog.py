@@ -141,13 +141,11 @@ def q_lookup_build(spark, sf):
 
 
 def q_key_skew(spark, sf):
-    frame = key_skew_frame(_deduped(spark, sf), [C.location, C.item])
-    return frame.withColumn("skew_factor", F.round("skew_factor", 6))
+    return key_skew_frame(_deduped(spark, sf), [C.location, C.item])
 
 
 def q_location_skew(spark, sf):
-    frame = key_skew_frame(_li(spark, sf), [C.location])
-    return frame.withColumn("skew_factor", F.round("skew_factor", 6))
+    return key_skew_frame(_li(spark, sf), [C.location])
 
 
 def q_partition_skew(spark, sf):

@@ -31,7 +31,7 @@ class SkewReport:
 def _report(largest, rows, units, threshold) -> SkewReport:
     largest = int(largest or 0)
     rows = int(rows or 0)
-    factor = largest / (rows / units) if units and rows else 0.0
+    factor = largest * units / rows if units and rows else 0.0
     return SkewReport(factor, factor > threshold, units, rows, largest)
 
 
@@ -63,7 +63,11 @@ def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def key_skew_frame(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: keys, rows, largest and factor = largest / (rows / keys)."""
+    """One row: keys, rows, largest and skew_factor = largest * keys / rows.
+
+    That is max / avg computed as one division of exact integers, so every
+    engine returns the same double.
+    """
     sizes = key_sizes(df, keys)
     return sizes.agg(
         F.count(F.lit(1)).alias("keys"),
@@ -72,7 +76,7 @@ def key_skew_frame(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).withColumn(
         "skew_factor",
         F.when(F.col("rows") > 0,
-               F.col("largest") / (F.col("rows") / F.col("keys")))
+               (F.col("largest") * F.col("keys")) / F.col("rows"))
         .otherwise(F.lit(0.0)))
 
 

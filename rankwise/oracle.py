@@ -96,7 +96,7 @@ def _skew(frame_sql: str) -> str:
            CAST(coalesce(sum(rows), 0) AS BIGINT) AS rows,
            CAST(coalesce(max(rows), 0) AS BIGINT) AS largest,
            CASE WHEN coalesce(sum(rows), 0) > 0
-                THEN round(max(rows) / (sum(rows) / count(*)), 6)
+                THEN CAST(max(rows) * count(*) AS DOUBLE) / CAST(sum(rows) AS DOUBLE)
                 ELSE 0.0 END AS skew_factor
     FROM ({frame_sql})"""
 
