@@ -161,3 +161,17 @@ def test_job_run_from_csv_and_json_inputs(spark, fmt):
 def test_job_run_rejects_text_input(spark):
     with pytest.raises(ValueError):
         run_top_items_job(spark, "a", "b", "out", 2, input_format="txt")
+
+
+def test_jobs_run_on_other_column_names(spark):
+    from rankwise.contracts import Columns
+    d, loc = _f1(spark)
+    renamed = d.toDF("site", "cam", "event", "product", "ts")
+    sites = loc.toDF("site", "site_name")
+    cols = Columns(location="site", camera="cam", detection="event", item="product",
+                   timestamp="ts", location_name="site_name", rank="pos", count="n")
+    out = top_items(renamed, sites, 2, cols=cols)
+    assert out.columns == ["site", "site_name", "pos", "product"]
+    assert tuples(out) == tuples(top_items(d, loc, 2))
+    salted, _ = top_items_skew_aware(renamed, sites, 2, cols=cols, force_salts=3)
+    assert tuples(salted) == tuples(out)
