@@ -30,6 +30,8 @@ def dated_output_path(base: str, run_date: str | _dt.date | None = None) -> str:
 
     The separator found in ``base`` (``/`` or ``\\``) is reused.
     """
+    if not base or not base.strip():
+        raise ValueError("output path must not be empty")
     day = run_date_text(run_date)
     if base.endswith(_SEPARATORS):
         return base + day

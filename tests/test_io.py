@@ -27,6 +27,12 @@ def test_dated_paths(base, expected):
     assert dated_output_path(base, DAY) == expected
 
 
+def test_dated_path_rejects_empty_base():
+    for base in ("", "   "):
+        with pytest.raises(ValueError):
+            dated_output_path(base, DAY)
+
+
 def test_dated_path_accepts_date_and_defaults_to_today():
     assert dated_output_path("out/", dt.date(2026, 4, 21)) == "out/2026-04-21"
     assert dated_output_path("out/").endswith(dt.date.today().isoformat())
