@@ -2,7 +2,7 @@
 
 Each query is planned from scratch and run to completion with the ``noop``
 sink (every row is produced, nothing is collected to the driver). Every
-query runs ``BENCH_REPEAT`` times (default 2) and the best time is kept.
+query runs ``BENCH_REPEAT`` times (default 3) and the best time is kept.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
@@ -35,7 +35,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = local_session(cpus, cpus, app="rankwise-bench")
     spark.sparkContext.setLogLevel("ERROR")

@@ -226,7 +226,8 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
                       output_format: str = "parquet",
                       run_date: str | _dt.date | None = None,
                       mode: str = "overwrite",
-                      null_policy: str = "keep") -> JobRun:
+                      null_policy: str = "keep",
+                      assume_identical: bool = False) -> JobRun:
     """The whole job as one Spark action: read, compute, write dated output.
 
     Inputs are read under the detections / locations contracts (by name,
@@ -246,7 +247,7 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
     decision = decide_salting(detections) if skew_aware else None
     pipeline = top_items_pipeline(
         locations, top_x, salts=decision.salts if decision else None,
-        null_policy=null_policy)
+        null_policy=null_policy, assume_identical=assume_identical)
     path, metrics = pipeline.run(
         detections,
         lambda df: write(df, output_format, output_path, mode=mode,
