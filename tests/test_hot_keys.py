@@ -1,5 +1,8 @@
 """A third of all rows on one key: results stay whole and exact.
 
+One (location, item) holds a third of the fresh detections, and one
+detection id has copies making up a third of the whole table.
+
 Brute force in plain Python on the same rows is the oracle.
 """
 import random
@@ -23,9 +26,10 @@ def _rows(seed=7, n=3000):
         else:
             rows.append((rnd.randint(2, 40), rnd.randint(1, 5), 10_000 + i,
                          rnd.choice(ITEMS), rnd.randint(0, 50)))
-    # A third as many copies of one detection id, with conflicting payloads.
+    # Copies of one detection id, with conflicting payloads: a third of the
+    # final table (n // 2 of n + n // 2 rows).
     rows += [(rnd.randint(2, 40), 9, 77, rnd.choice(ITEMS), rnd.randint(0, 99))
-             for _ in range(n // 3)]
+             for _ in range(n // 2)]
     rnd.shuffle(rows)
     return rows
 
