@@ -41,15 +41,15 @@ def enrich(df: DataFrame, lookup: DataFrame, key: str, value: str, *,
     The lookup is measured first (or ``size_bound`` is given: any upper
     bound of its bytes, e.g. measured on the input before ``build_lookup``)
     and broadcast only when it fits ``broadcast_limit`` -- then the large
-    side is not shuffled at all; otherwise both sides are hash-partitioned
-    (AQE may still switch to a broadcast once real sizes are known).
+    side is not shuffled at all. Otherwise a sort-merge join is requested
+    explicitly, so a file-size estimate cannot turn an oversized lookup
+    into a broadcast behind the check's back.
     """
     if value in df.columns:
         raise ValueError(f"column {value!r} already exists")
     side = lookup.select(F.col(key).alias(_KEY), F.col(value))
     size = size_bound if size_bound is not None else lookup_size(side, value)[1]
-    if size <= broadcast_limit:
-        side = F.broadcast(side)
+    side = F.broadcast(side) if size <= broadcast_limit else side.hint("merge")
     joined = df.join(side, df[key].eqNullSafe(side[_KEY]), "left")
     columns = list(df.columns)
     columns.insert(max(0, min(position, len(columns))), value)

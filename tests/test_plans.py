@@ -46,14 +46,10 @@ def test_scan_reads_only_needed_columns(spark):
     assert "PushedFilters: [IsNotNull(s_acctbal), GreaterThanOrEqual(s_acctbal,0.0)]" in plan
 
 
-def test_lookup_over_limit_is_not_hinted(spark):
+def test_lookup_over_limit_is_never_broadcast(spark):
     d, loc = _inputs(spark)
-    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = physical_plan(top_items(d, loc, 5, broadcast_limit=0))
-        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
-        hinted = physical_plan(top_items(d, loc, 5))
-        assert "BroadcastHashJoin" in hinted
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    # The lookup file is tiny, so Spark's own size estimate would broadcast it;
+    # over our measured limit the join must stay a shuffle join anyway.
+    plan = physical_plan(top_items(d, loc, 5, broadcast_limit=0))
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" in physical_plan(top_items(d, loc, 5))
