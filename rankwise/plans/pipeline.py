@@ -5,6 +5,8 @@ lazy plan, so Catalyst optimises across stage borders. Metrics attach an
 ``Observation`` after each stage: the row counts are collected by the one
 action that runs the plan -- no persist, no extra count jobs. Per-stage
 times have no meaning in a fused plan, so only the total is reported.
+Counts travel as accumulators: if a lost executor forces a stage to be
+recomputed, its rows may be counted again. Results are not affected.
 """
 from __future__ import annotations
 
