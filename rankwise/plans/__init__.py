@@ -1,11 +1,12 @@
 """Composed plans: the top-X jobs and stage composition with metrics."""
-from rankwise.plans.jobs import (JobRun, SkewDecision, decide_salting,
+from rankwise.plans.jobs import (JobRun, PartitionChoice, SkewDecision,
+                                 decide_salting,
                                  multiset_difference, run_top_items_job,
                                  top_items, top_items_pipeline,
                                  top_items_prepartitioned, top_items_skew_aware)
 from rankwise.plans.pipeline import Pipeline, StageMetrics
 
-__all__ = ["JobRun", "Pipeline", "SkewDecision", "StageMetrics",
+__all__ = ["JobRun", "PartitionChoice", "Pipeline", "SkewDecision", "StageMetrics",
            "decide_salting", "multiset_difference", "run_top_items_job",
            "top_items", "top_items_pipeline", "top_items_prepartitioned",
            "top_items_skew_aware"]

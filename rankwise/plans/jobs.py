@@ -9,9 +9,10 @@ Three plan shapes give the same answer:
 * ``top_items_skew_aware``: measures key skew first and, above the
   threshold, counts in two salted phases.
 * ``top_items_prepartitioned``: one hash partitioning on location serves
-  both count and rank (one exchange fewer). A hot location would then land
-  in one task, so the shape is used only when location sizes are balanced;
-  otherwise it falls back to ``top_items``.
+  both count and rank (one exchange fewer). Each location then lands whole
+  in one task, so the shape is used only when location sizes are balanced
+  and there are enough locations to occupy every partition; otherwise it
+  falls back to ``top_items``.
 """
 from __future__ import annotations
 
@@ -170,28 +171,45 @@ def top_items_skew_aware(detections: DataFrame, locations: DataFrame,
     return result, decision
 
 
+@dataclass(frozen=True)
+class PartitionChoice:
+    report: SkewReport         # rows per location
+    prepartitioned: bool       # False: fell back to the ``top_items`` shape
+    reason: str
+
+
 def top_items_prepartitioned(detections: DataFrame, locations: DataFrame,
                              top_x: int, *, cols: Columns = DEFAULT_COLUMNS,
                              threshold: float = SKEW_THRESHOLD,
+                             min_locations: int | None = None,
                              assume_identical: bool = False,
                              broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                             ) -> tuple[DataFrame, SkewReport]:
+                             ) -> tuple[DataFrame, PartitionChoice]:
     """``top_items`` with count and rank sharing one location partitioning.
 
-    The location-size skew is measured first (one aggregate, one row to the
-    driver); above ``threshold`` the plain plan is returned instead, since
-    co-partitioning by location would put a hot location in one task.
+    Co-partitioning by location sends each location whole to one task, so
+    it is used only when (a) location sizes are balanced (skew factor within
+    ``threshold``) and (b) there are at least ``min_locations`` locations
+    (default: the shuffle partition count), so every task gets a share.
+    Both are read from one aggregate that returns one row; otherwise the
+    plain ``top_items`` plan is returned.
     """
     report = key_skew(detections, [cols.location], threshold)
-    if report.skewed:
-        return top_items(detections, locations, top_x, cols=cols,
-                         assume_identical=assume_identical,
-                         broadcast_limit=broadcast_limit), report
+    wanted = (int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+              if min_locations is None else min_locations)
+    if report.skewed or report.units < wanted:
+        reason = ("location sizes are skewed" if report.skewed
+                  else f"{report.units} locations < {wanted} partitions")
+        return (top_items(detections, locations, top_x, cols=cols,
+                          assume_identical=assume_identical,
+                          broadcast_limit=broadcast_limit),
+                PartitionChoice(report, False, reason))
     deduped = dedup_stage(cols, assume_identical=assume_identical)(detections)
     colocated = deduped.repartition(cols.location)
     counted = count_by(colocated, [cols.location, cols.item], name=cols.count)
     ranked = top_stage(top_x, cols)(counted)
-    return enrich_stage(locations, cols, broadcast_limit)(ranked), report
+    return (enrich_stage(locations, cols, broadcast_limit)(ranked),
+            PartitionChoice(report, True, "balanced locations"))
 
 
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -73,8 +73,8 @@ def test_skew_aware_salts_and_matches(hot):
 
 def test_prepartitioned_refuses_hot_location_and_matches(hot):
     rows, names, d, loc = hot
-    out, report = top_items_prepartitioned(d, loc, 4)
-    assert report.skewed          # location 1 holds a third: falls back
+    out, choice = top_items_prepartitioned(d, loc, 4, min_locations=1)
+    assert choice.report.skewed and not choice.prepartitioned   # falls back
     assert tuples(out) == _brute_force(rows, names, 4)
 
 

@@ -46,7 +46,8 @@ def test_f1_all_plan_shapes_agree(spark):
     d, loc = _f1(spark)
     expected = tuples(top_items(d, loc, 2))
     assert tuples(top_items(d, loc, 2, salts=3)) == expected
-    assert tuples(top_items_prepartitioned(d, loc, 2, threshold=100.0)[0]) == expected
+    assert tuples(top_items_prepartitioned(d, loc, 2, threshold=100.0,
+                                           min_locations=1)[0]) == expected
     assert tuples(top_items_skew_aware(d, loc, 2)[0]) == expected
 
 
@@ -74,11 +75,19 @@ def test_skew_aware_plain_branch(spark):
 def test_prepartitioned_falls_back_on_hot_location(spark):
     rows = [(1, 10, i, "hot", 1) for i in range(100)] + [(2, 20, 999, "x", 1)]
     d, loc = detections(spark, rows), locations(spark, F1_LOCATIONS)
-    out, report = top_items_prepartitioned(d, loc, 3)
-    assert report.skewed
+    out, choice = top_items_prepartitioned(d, loc, 3, min_locations=1)
+    assert choice.report.skewed and not choice.prepartitioned
     assert tuples(out) == [(1, "Alpha", 1, "hot"), (2, "Beta", 1, "x")]
 
 
+def test_prepartitioned_needs_enough_locations(spark):
+    d, loc = _f1(spark)
+    _, few = top_items_prepartitioned(d, loc, 2, threshold=100.0, min_locations=4)
+    assert not few.prepartitioned and "3 locations" in few.reason
+    _, enough = top_items_prepartitioned(d, loc, 2, threshold=100.0, min_locations=3)
+    assert enough.prepartitioned
+
+
 def test_f3_job_run_writes_dated_parquet(spark):
     base = scratch_path(spark, "f3")
     d_path = write(detections(spark, [(1, 10, 1, "apple", 1), (1, 10, 1, "apple", 1),

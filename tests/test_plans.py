@@ -32,8 +32,8 @@ def test_salted_plan_has_one_more_exchange(spark):
 
 def test_prepartitioned_plan_saves_an_exchange(spark):
     d, loc = _inputs(spark)
-    df, report = top_items_prepartitioned(d, loc, 5, threshold=100.0)
-    assert not report.skewed
+    df, choice = top_items_prepartitioned(d, loc, 5, threshold=100.0)
+    assert choice.prepartitioned
     plan = physical_plan(df)
     # id (dedup), location (shared by count and rank), location (lookup build)
     assert plan.count("Exchange hashpartitioning") == 3
