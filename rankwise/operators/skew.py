@@ -87,6 +87,13 @@ def key_skew(df: DataFrame, keys: Sequence[str],
     return _report(row["largest"], row["rows"], row["keys"], threshold)
 
 
-def choose_salts(factor: float) -> int:
-    """Salt buckets for a measured skew factor."""
-    return max(MIN_SALTS, math.ceil(factor))
+def choose_salts(factor: float, reducers: int | None = None) -> int:
+    """Salt buckets for a measured skew factor: ``max(2, ceil(factor))``.
+
+    With ``reducers`` the count is capped there: more buckets than reduce
+    tasks cannot spread a hot key any further, and every extra bucket only
+    multiplies the phase-1 rows of ordinary keys. Any count gives the same
+    (exact) result.
+    """
+    salts = max(MIN_SALTS, math.ceil(factor))
+    return min(salts, max(MIN_SALTS, reducers)) if reducers else salts

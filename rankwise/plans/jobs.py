@@ -141,7 +141,8 @@ def decide_salting(detections: DataFrame, cols: Columns = DEFAULT_COLUMNS, *,
     ``basis="keys"`` measures rows per (location, item) on the raw input --
     the distribution salting actually flattens; it reads two columns and
     ships one partial count per key and map task. ``basis="partitions"``
-    measures rows per input partition instead.
+    measures rows per input partition instead. Salts are capped at the
+    shuffle partition count (see ``choose_salts``).
     """
     if basis == "keys":
         report = key_skew(detections, [cols.location, cols.item], threshold)
@@ -149,7 +150,9 @@ def decide_salting(detections: DataFrame, cols: Columns = DEFAULT_COLUMNS, *,
         report = partition_skew(detections, threshold)
     else:
         raise ValueError(f"unknown skew basis {basis!r}")
-    return SkewDecision(report, choose_salts(report.factor) if report.skewed else None)
+    reducers = int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = choose_salts(report.factor, reducers) if report.skewed else None
+    return SkewDecision(report, salts)
 
 
 def top_items_skew_aware(detections: DataFrame, locations: DataFrame,

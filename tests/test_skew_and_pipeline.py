@@ -52,6 +52,8 @@ def test_choose_salts():
     assert choose_salts(0.0) == 2
     assert choose_salts(1.98) == 2
     assert choose_salts(3.2) == 4
+    assert choose_salts(133_000.0, reducers=2000) == 2000
+    assert choose_salts(3.2, reducers=1) == 2
 
 
 # --- composition ----------------------------------------------------------------
