@@ -53,3 +53,15 @@ def test_lookup_over_limit_is_never_broadcast(spark):
     plan = physical_plan(top_items(d, loc, 5, broadcast_limit=0))
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     assert "BroadcastHashJoin" in physical_plan(top_items(d, loc, 5))
+
+
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas",
+                "FlatMapGroupsInPandas", "MapInArrow", "PythonMapInArrow")
+
+
+def test_no_registered_query_runs_python_on_rows(spark):
+    import __spark_entry__ as entry_module
+    for name, query in entry_module.queries().items():
+        plan = physical_plan(query(spark, SF_SMALL))
+        found = [node for node in PYTHON_NODES if node in plan]
+        assert not found, f"{name}: {found}"
