@@ -34,7 +34,9 @@ _CSV_COMMON = {
     "emptyValue": "",
 }
 CSV_WRITE_OPTIONS = {**_CSV_COMMON, "quoteAll": True}
-CSV_READ_OPTIONS = dict(_CSV_COMMON)
+# With a schema, check the header names against it instead of mapping
+# columns by position (a reordered file would otherwise be misread).
+CSV_READ_OPTIONS = {**_CSV_COMMON, "enforceSchema": False}
 
 
 def resolve_format(name: str) -> str:

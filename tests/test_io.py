@@ -102,6 +102,15 @@ def test_csv_without_schema_reads_strings_with_header(spark):
     assert {t for _, t in back.dtypes} == {"string"}
 
 
+def test_csv_with_reordered_columns_is_refused_not_misread(spark):
+    df = _output_rows(spark).limit(1).select("item_name", "item_rank",
+                                              "geographical_location",
+                                              "geographical_location_oid")
+    target = write(df, "csv", scratch_path(spark, "csv-order"), dated=False)
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read(spark, "csv", target, schema=OUTPUT).collect()
+
+
 def test_text_sink_renders_lines_and_overwrites(spark):
     base = scratch_path(spark, "text")
     write(_output_rows(spark), "txt", base, run_date=DAY)
