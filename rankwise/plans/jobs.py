@@ -248,7 +248,8 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
                       run_date: str | _dt.date | None = None,
                       mode: str = "overwrite",
                       null_policy: str = "keep",
-                      assume_identical: bool = False) -> JobRun:
+                      assume_identical: bool = False,
+                      skew_basis: str = "keys") -> JobRun:
     """The whole job as one Spark action: read, compute, write dated output.
 
     Inputs are read under the detections / locations contracts (by name,
@@ -265,7 +266,7 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
     locations = conform(read(spark, input_format, locations_path,
                              schema=LOCATIONS if typed else None),
                         LOCATIONS, check_nulls=False)
-    decision = decide_salting(detections) if skew_aware else None
+    decision = decide_salting(detections, basis=skew_basis) if skew_aware else None
     pipeline = top_items_pipeline(
         locations, top_x, salts=decision.salts if decision else None,
         null_policy=null_policy, assume_identical=assume_identical)

@@ -114,7 +114,8 @@ def test_job_run_skew_aware_and_null_failure(spark):
                    dated=False)
     # A null location reaching the output breaks the output contract.
     with pytest.raises(Exception, match="non-nullable"):
-        run_top_items_job(spark, d_path, l_path, base + "/out", 5, skew_aware=True)
+        run_top_items_job(spark, d_path, l_path, base + "/out", 5, skew_aware=True,
+                          skew_basis="partitions")
     # Dropping it first makes the run succeed with an empty result.
     run = run_top_items_job(spark, d_path, l_path, base + "/out2", 5,
                             null_policy="drop", run_date="2026-04-21")
