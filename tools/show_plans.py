@@ -43,7 +43,9 @@ def main() -> None:
     out = ["# Physical plans", "",
            f"Generated by `tools/show_plans.py` on `{os.path.basename(sf)}`, "
            "local[8], 16 shuffle partitions, AQE on (initial AQE plans). "
-           "Expression ids and paths are stripped.", ""]
+           "Expression ids and paths are stripped. Exchange counts include the "
+           "one small exchange that groups each lookup before its broadcast, so "
+           "the detection side has one fewer.", ""]
     for name in SHOWN:
         df = QUERIES[name](spark, sf)
         df.write.format("noop").mode("overwrite").save()
