@@ -21,3 +21,31 @@ def test_cli_arguments():
 def test_cli_rejects_bad_arguments(argv):
     with pytest.raises(SystemExit):
         parse_args(argv)
+
+
+def test_cli_end_to_end(spark):
+    """Run the CLI in its own process on the F3 rows, then read its output."""
+    import os
+    import subprocess
+    import sys
+
+    from conftest import detections, locations, tuples
+    from rankwise.session import scratch_path
+    from rankwise.sources import read, write
+
+    base = scratch_path(spark, "cli")
+    a = write(detections(spark, [(1, 10, 1, "apple", 1), (1, 10, 1, "apple", 1),
+                                 (1, 10, 2, "banana", 1), (2, 20, 3, "cat", 1)]),
+              "parquet", base + "/a.parquet", dated=False)
+    b = write(locations(spark, [(1, "Alpha"), (2, "Beta")]), "parquet",
+              base + "/b.parquet", dated=False)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-m", "rankwise", "--job", "skew_aware", "--dataset_a_path", a,
+         "--dataset_b_path", b, "--output_path", base + "/out/", "--top-x", "5",
+         "--run-date", "2026-04-21"],
+        cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    out = read(spark, "parquet", base + "/out/2026-04-21")
+    assert tuples(out) == [(1, "Alpha", 1, "apple"), (1, "Alpha", 2, "banana"),
+                           (2, "Beta", 1, "cat")]
