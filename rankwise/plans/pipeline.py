@@ -29,19 +29,24 @@ def stage_name(stage: Stage) -> str:
 
 def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
     obs = Observation(f"{label}-{uuid.uuid4().hex[:12]}")
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                      F.max(F.spark_partition_id() + 1).alias("partitions")), obs
 
 
-def _observed_rows(obs: Observation) -> int | None:
-    """The observed count, or None when the stage was never executed.
+def _observed_values(obs: Observation) -> tuple[int | None, int | None]:
+    """(rows, partitions) observed, or Nones when the stage never ran.
 
-    That happens when the optimizer replaces a plan by an empty relation
-    (e.g. a top-0 filter): the observation node goes with it.
+    ``partitions`` is the highest partition index holding rows, plus one,
+    as the stage actually ran (after AQE coalescing). A stage never runs
+    when the optimizer replaces the plan by an empty relation (e.g. a top-0
+    filter); its observation node goes with it.
     """
     try:
-        return int(obs.get["rows"])
+        values = obs.get
     except Exception:  # noqa: BLE001 -- pyspark raises a py4j error here
-        return None
+        return None, None
+    parts = values.get("partitions")
+    return int(values["rows"]), (int(parts) if parts is not None else 0)
 
 
 @dataclass
@@ -50,12 +55,18 @@ class StageMetrics:
     names: list[str]
     observations: list[Observation]          # input first, then each stage
     seconds: float | None = None
-    _rows: list[int] | None = field(default=None, repr=False)
+    _values: list[tuple[int | None, int | None]] | None = field(default=None, repr=False)
+
+    def _observed(self) -> list[tuple[int | None, int | None]]:
+        if self._values is None:
+            self._values = [_observed_values(o) for o in self.observations]
+        return self._values
 
     def rows(self) -> list[int | None]:
-        if self._rows is None:
-            self._rows = [_observed_rows(o) for o in self.observations]
-        return self._rows
+        return [rows for rows, _ in self._observed()]
+
+    def partitions(self) -> list[int | None]:
+        return [parts for _, parts in self._observed()]
 
     def table(self) -> list[tuple[int, str, int | None, int | None]]:
         """``(stage_index, stage, rows_in, rows_out)`` per stage."""
@@ -65,8 +76,10 @@ class StageMetrics:
 
     def log_lines(self) -> list[str]:
         total = len(self.names)
-        return [f"stage {i}/{total} [{name}] rows_in={rin} rows_out={rout}"
-                for i, name, rin, rout in self.table()]
+        parts = self.partitions()[1:]
+        line = "stage {}/{} [{}] rows_in={} rows_out={} partitions={}"
+        return [line.format(i, total, name, rin, rout, p)
+                for (i, name, rin, rout), p in zip(self.table(), parts)]
 
 
 class Pipeline:

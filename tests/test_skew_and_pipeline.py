@@ -91,6 +91,7 @@ def test_pipeline_metrics_single_action(spark):
     assert result == [4, 6, 8]
     assert metrics.table() == [(1, "plus_one", 3, 3), (2, "times_two", 3, 3)]
     assert len(metrics.log_lines()) == 2 and "rows_in=3 rows_out=3" in metrics.log_lines()[0]
+    assert all(p >= 1 for p in metrics.partitions())
 
 
 def test_pipeline_metrics_filtering_stage(spark):
@@ -98,3 +99,11 @@ def test_pipeline_metrics_filtering_stage(spark):
     pipe = Pipeline([lambda d: d.filter("v % 2 = 0")], names=["evens"])
     _, metrics = pipe.run(df, lambda d: d.write.format("noop").mode("overwrite").save())
     assert metrics.table() == [(1, "evens", 10, 5)]
+
+
+def test_pipeline_metrics_report_partitions(spark):
+    df = spark.range(0, 40, 1, 4).select(F.col("id").alias("v"))
+    pipe = Pipeline([lambda d: d.filter("v < 40")], names=["all"])
+    _, metrics = pipe.run(df, lambda d: d.collect())
+    assert metrics.partitions() == [4, 4]
+    assert metrics.log_lines() == ["stage 1/1 [all] rows_in=40 rows_out=40 partitions=4"]
