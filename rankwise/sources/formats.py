@@ -81,7 +81,8 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
 
     ``dated`` stamps the run date into ``path`` (see ``dated_output_path``);
     ``schema`` conforms the rows to a contract first (order, types,
-    non-null values); text renders each row as one delimited line.
+    non-null values); text renders each row as one delimited line;
+    ``partition_by`` writes one directory per value, after a rebalance.
     """
     kind = resolve_format(fmt)
     if mode not in SAVE_MODES:
@@ -94,6 +95,11 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
         body = [c for c in df.columns if c not in parts]
         df = df.select(text_line(body, text_sep).alias("value"),
                        *[F.col(c) for c in parts])
+    if parts:
+        # Group rows by the partition columns so each task writes few
+        # directories (no tasks x values small files); AQE splits a hot
+        # value over several tasks and merges small ones.
+        df = df.hint("rebalance", *parts)
     writer = df.write.mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)
