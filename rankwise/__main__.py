@@ -1,11 +1,13 @@
 """Command line: run the top-X job once and write the dated result.
 
-    spark-submit -m rankwise --job baseline \\
+    python -m rankwise --job baseline \\
         --dataset_a_path detections.parquet --dataset_b_path locations.parquet \\
         --output_path out/ --top-x 10
 
-The session comes from ``spark-submit`` / ``SparkSession.builder``; its
-configuration (master, shuffle partitions, AQE) is the caller's.
+On a cluster: ``spark-submit --py-files rankwise.zip rankwise/__main__.py``
+with the same arguments. The session comes from ``spark-submit`` /
+``SparkSession.builder``; its configuration (master, shuffle partitions,
+AQE) is the caller's.
 """
 from __future__ import annotations
 
