@@ -19,7 +19,7 @@ from rankwise.operators import (build_lookup, count_by, count_by_salted,
                                 dedup_keep_one, enrich, key_skew_frame,
                                 partition_sizes, top_per_group)
 from rankwise.plans.jobs import (count_stage, dedup_stage, multiset_difference,
-                                 top_items, top_items_pipeline,
+                                 run_top_items_job, top_items, top_items_pipeline,
                                  top_items_prepartitioned, top_items_skew_aware,
                                  top_stage)
 from rankwise.plans.pipeline import Pipeline
@@ -99,6 +99,24 @@ def q_jobs_equivalence(spark, sf):
     return multiset_difference(baseline, salted)
 
 
+def _job_from_files(spark, sf, fmt, skew_aware):
+    """The file-to-file job (as the CLI runs it) on the adapted tables."""
+    base = scratch_path(spark, f"job-{fmt}")
+    a = write(_li(spark, sf), fmt, base + "/detections", dated=False)
+    b = write(_sup(spark, sf), fmt, base + "/locations", dated=False)
+    run = run_top_items_job(spark, a, b, base + "/out/", TOP_X, skew_aware=skew_aware,
+                            input_format=fmt, run_date=RUN_DATE)
+    return read(spark, "parquet", run.output_path, schema=OUTPUT)
+
+
+def q_job_run_parquet(spark, sf):
+    return _job_from_files(spark, sf, "parquet", skew_aware=False)
+
+
+def q_job_run_csv_skew_aware(spark, sf):
+    return _job_from_files(spark, sf, "csv", skew_aware=True)
+
+
 # --- operators ----------------------------------------------------------------
 
 def q_dedup_keep_one(spark, sf):
@@ -260,6 +278,8 @@ QUERIES: dict[str, Query] = {
     "top_items_events_identical": q_top_items_events_identical,
     "top_items_events_skew_aware": q_top_items_events_skew_aware,
     "jobs_equivalence": q_jobs_equivalence,
+    "job_run_parquet": q_job_run_parquet,
+    "job_run_csv_skew_aware": q_job_run_csv_skew_aware,
     "dedup_keep_one": q_dedup_keep_one,
     "count_by_keys": q_count_by_keys,
     "count_by_keys_salted": q_count_by_keys_salted,

@@ -110,6 +110,8 @@ ORACLE: dict[str, str] = {
                                        TOP_X_EVENTS),
     "top_items_events_skew_aware": _top(_EVENT_DETECTIONS, _CUSTOMER_LOCATIONS,
                                         TOP_X_EVENTS),
+    "job_run_parquet": BASELINE,
+    "job_run_csv_skew_aware": BASELINE,
     "jobs_equivalence": _LI + """
         SELECT CAST(0 AS BIGINT) AS diff_rows,
                CAST(count(*) AS BIGINT) AS left_rows,
