@@ -5,9 +5,10 @@ Three plan shapes give the same answer:
 * ``top_items``: dedup (exchange on id), count (exchange on location+item,
   map-side combined), rank (exchange on location, after a partial
   ``WindowGroupLimit`` so only top-X candidates move). The lookup is
-  broadcast after a size check.
+  broadcast when its measured size fits the limit, else sort-merge joined.
 * ``top_items_skew_aware``: measures key skew first and, above the
-  threshold, counts in two salted phases.
+  threshold, counts in two salted phases (salts capped at the shuffle
+  partition count).
 * ``top_items_prepartitioned``: one hash partitioning on location serves
   both count and rank (one exchange fewer). Each location then lands whole
   in one task, so the shape is used only when location sizes are balanced
