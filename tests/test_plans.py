@@ -65,3 +65,13 @@ def test_no_registered_query_runs_python_on_rows(spark):
         plan = physical_plan(query(spark, SF_SMALL))
         found = [node for node in PYTHON_NODES if node in plan]
         assert not found, f"{name}: {found}"
+
+
+def test_metrics_keep_the_plan_shape(spark):
+    from rankwise.plans.jobs import top_items_pipeline
+    d, loc = _inputs(spark)
+    df, _ = top_items_pipeline(loc, 5).with_metrics(d)
+    plan = physical_plan(df)
+    assert plan.count("CollectMetrics") == 5          # input + four stages
+    assert "WindowGroupLimit" in plan and "partial_count" in plan
+    assert plan.count("Exchange hashpartitioning") == 4
