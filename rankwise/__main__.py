@@ -36,6 +36,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--run-date", default=None, help="YYYY-MM-DD (default today)")
     parser.add_argument("--null-policy", default="keep",
                         choices=["keep", "drop", "default", "fail"])
+    parser.add_argument("--no-overwrite", action="store_true",
+                        help="fail if the dated output already exists")
     parser.add_argument("--skew-basis", default="keys", choices=["keys", "partitions"],
                         help="skew_aware job: rows per (location, item) or per input partition")
     parser.add_argument("--identical-duplicates", action="store_true",
@@ -57,6 +59,7 @@ def main(argv: list[str] | None = None) -> int:
             args.top_x, skew_aware=JOBS[args.job], input_format=args.input_format,
             output_format=args.output_format, run_date=args.run_date,
             null_policy=args.null_policy,
+            mode="errorifexists" if args.no_overwrite else "overwrite",
             assume_identical=args.identical_duplicates,
             skew_basis=args.skew_basis)
         if run.decision is not None:

@@ -7,8 +7,8 @@ from rankwise.__main__ import parse_args
 def test_cli_arguments():
     args = parse_args(["--job", "skew_aware", "--dataset_a_path", "a", "--dataset_b_path",
                        "b", "--output_path", "o/", "--top-x", "10"])
-    assert (args.job, args.top_x, args.input_format, args.null_policy, args.skew_basis) == (
-        "skew_aware", 10, "parquet", "keep", "keys")
+    assert (args.job, args.top_x, args.input_format, args.null_policy, args.skew_basis,
+            args.no_overwrite) == ("skew_aware", 10, "parquet", "keep", "keys", False)
 
 
 @pytest.mark.parametrize("argv", [
