@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: largest lookup (estimated bytes) that is broadcast; beyond it
-# the enrichment becomes a shuffled join.
+# Fixed value: largest lookup (measured bytes, see lookup_size) that is
+# broadcast; beyond it the enrichment is a sort-merge join.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 # Fixed value: per-row overhead assumed on top of the key and string bytes.
 _ROW_OVERHEAD = 32
@@ -24,7 +24,8 @@ def build_lookup(lookup: DataFrame, key: str, value: str) -> DataFrame:
 def lookup_size(lookup: DataFrame, value: str) -> tuple[int, int]:
     """(rows, estimated bytes) of a lookup, measured with one aggregate."""
     row = lookup.agg(F.count(F.lit(1)).alias("rows"),
-                     F.coalesce(F.sum(F.octet_length(value)), F.lit(0))
+                     F.coalesce(F.sum(F.octet_length(F.col(value).cast("string"))),
+                                F.lit(0))
                      .alias("chars")).first()
     rows = int(row["rows"])
     return rows, rows * _ROW_OVERHEAD + int(row["chars"])

@@ -231,3 +231,10 @@ def test_null_policy_unknown(spark):
     with pytest.raises(ValueError):
         apply_null_policy(_with_nulls(spark), "ignore", id_col="detection_oid",
                           item_col="item_name")
+
+
+def test_lookup_with_numeric_values(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, item string")
+    lk = spark.createDataFrame([(1, 10), (1, 30), (2, 20)], "k long, score long")
+    out = enrich(df, build_lookup(lk, "k", "score"), "k", "score")
+    assert tuples(out) == [(1, 30, "a"), (2, 20, "b")]
