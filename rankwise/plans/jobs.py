@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import functools
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,8 @@ from rankwise.operators.skew import (SKEW_THRESHOLD, SkewReport, choose_salts,
 from rankwise.plans.pipeline import Pipeline, StageMetrics
 from rankwise.sources.formats import read, resolve_format, write
 
+_log = logging.getLogger(__name__)
+
 
 def detection_columns(cols: Columns, assume_identical: bool) -> list[str]:
     """Columns the job reads; the fast path needs only id, location, item."""
@@ -267,6 +270,8 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
     locations = conform(read(spark, input_format, locations_path,
                              schema=LOCATIONS if typed else None),
                         LOCATIONS, check_nulls=False)
+    _log.info("input partitions: detections=%d locations=%d",
+              detections.rdd.getNumPartitions(), locations.rdd.getNumPartitions())
     decision = decide_salting(detections, basis=skew_basis) if skew_aware else None
     pipeline = top_items_pipeline(
         locations, top_x, salts=decision.salts if decision else None,
