@@ -185,3 +185,17 @@ def test_jobs_run_on_other_column_names(spark):
     assert tuples(out) == tuples(top_items(d, loc, 2))
     salted, _ = top_items_skew_aware(renamed, sites, 2, cols=cols, force_salts=3)
     assert tuples(salted) == tuples(out)
+
+
+def test_partition_basis_salts_on_skewed_layout(spark):
+    from pyspark.sql import functions as F
+
+    from rankwise.plans.jobs import decide_salting
+    rows = [(1, 1, i, "x", 1) for i in range(103)]
+    part = F.when(F.col("detection_oid") < 100, 0).otherwise(F.col("detection_oid") - 99)
+    d = detections(spark, rows).repartitionByRange(4, part)
+    decision = decide_salting(d, basis="partitions")
+    assert decision.salted and decision.report.units == 4
+    assert decision.salts == 4          # ceil(100 * 4 / 103) = 4
+    with pytest.raises(ValueError):
+        decide_salting(d, basis="sideways")
