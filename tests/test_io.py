@@ -151,3 +151,18 @@ def test_conform_orders_casts_and_checks(spark):
         conform(bad, OUTPUT).collect()
     with pytest.raises(ValueError, match="missing"):
         conform(df.drop("item_name"), OUTPUT)
+
+
+def test_append_mode_accumulates(spark):
+    base = scratch_path(spark, "append")
+    write(spark.range(3), "parquet", base, dated=False)
+    write(spark.range(2), "parquet", base, dated=False, mode="append")
+    assert read(spark, "parquet", base).count() == 5
+
+
+def test_json_without_schema_infers_by_name(spark):
+    target = write(_output_rows(spark), "json", scratch_path(spark, "json-infer"),
+                   dated=False)
+    back = read(spark, "json", target)
+    assert sorted(back.columns) == sorted(OUTPUT.fieldNames())
+    assert tuples(back.select(*OUTPUT.fieldNames())) == sorted(TRICKY, key=repr)

@@ -107,3 +107,9 @@ def test_pipeline_metrics_report_partitions(spark):
     _, metrics = pipe.run(df, lambda d: d.collect())
     assert metrics.partitions() == [4, 4]
     assert metrics.log_lines() == ["stage 1/1 [all] rows_in=40 rows_out=40 partitions=4"]
+
+
+def test_pipeline_metrics_on_empty_input(spark):
+    df = spark.createDataFrame([], "v long")
+    _, metrics = Pipeline([plus_one]).run(df, lambda d: d.collect())
+    assert metrics.table() == [(1, "plus_one", 0, 0)]
