@@ -1,10 +1,11 @@
 """Does a hot key create a straggler? Task-time spread with and without one.
 
-    python tools/hot_key_check.py [sf_dir] [copies]        (default: sf0.1, 16)
+    python tools/hot_key_check.py [sf_dir] [copies] [pair|id]   (default: sf0.1, 16, pair)
 
 Runs the baseline job twice over N copies of the lineitem detections (ids
 kept disjoint): once as is, once with a third of every copy moved to one
-(location, item). Spark's event log (a fresh folder under /tmp) gives each
+(location, item) -- or, with ``id``, given one shared detection id (copies
+with conflicting payloads). Spark's event log (a fresh folder under /tmp) gives each
 stage's median and maximum task time. A measurement aid, not a registered
 query.
 """
@@ -30,15 +31,21 @@ from rankwise.contracts import DEFAULT_COLUMNS as C  # noqa: E402
 from rankwise.plans.jobs import top_items  # noqa: E402
 
 
-def _detections(spark, sf, copies, hot):
+def _detections(spark, sf, copies, hot, mode):
     parts = []
     for k in range(copies):
         d = (adapters.detections_from_lineitem(spark, sf)
              .withColumn(C.detection, F.col(C.detection) + F.lit(k * 10 ** 10)))
         if hot:
             chosen = (F.col(C.detection) % 3) == 0
-            d = (d.withColumn(C.location, F.when(chosen, F.lit(0)).otherwise(F.col(C.location)))
-                  .withColumn(C.item, F.when(chosen, F.lit("hot")).otherwise(F.col(C.item))))
+            if mode == "id":
+                d = d.withColumn(C.detection,
+                                 F.when(chosen, F.lit(-1)).otherwise(F.col(C.detection)))
+            else:
+                d = (d.withColumn(C.location,
+                                  F.when(chosen, F.lit(0)).otherwise(F.col(C.location)))
+                      .withColumn(C.item,
+                                  F.when(chosen, F.lit("hot")).otherwise(F.col(C.item))))
         parts.append(d)
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -46,6 +53,7 @@ def _detections(spark, sf, copies, hot):
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 16
+    mode = sys.argv[3] if len(sys.argv) > 3 else "pair"
     log_dir = tempfile.mkdtemp(prefix="rankwise-events-")
     spark = (SparkSession.builder.master("local[8]").appName("rankwise-hot-key")
              .config("spark.sql.shuffle.partitions", "8")
@@ -62,7 +70,7 @@ def main() -> None:
     locations = adapters.locations_from_supplier(spark, sf)
     windows = {}
     for hot in (False, True):
-        result = top_items(_detections(spark, sf, copies, hot), locations, 5)
+        result = top_items(_detections(spark, sf, copies, hot, mode), locations, 5)
         result.write.format("noop").mode("overwrite").save()          # warm-up
         start, t0 = int(time.time() * 1000), time.perf_counter()
         result.write.format("noop").mode("overwrite").save()
