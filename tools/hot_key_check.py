@@ -1,11 +1,12 @@
 """Does a hot key create a straggler? Task-time spread with and without one.
 
-    python tools/hot_key_check.py [sf_dir] [copies] [pair|id]   (default: sf0.1, 16, pair)
+    python tools/hot_key_check.py [sf_dir] [copies] [pair|id|wide]   (default: sf0.1, 16, pair)
 
 Runs the baseline job twice over N copies of the lineitem detections (ids
 kept disjoint): once as is, once with a third of every copy moved to one
 (location, item) -- or, with ``id``, given one shared detection id (copies
-with conflicting payloads). Spark's event log (a fresh folder under /tmp) gives each
+with conflicting payloads), or, with ``wide``, moved to one location with a
+distinct item per row (millions of items to rank in one group). Spark's event log (a fresh folder under /tmp) gives each
 stage's median and maximum task time. A measurement aid, not a registered
 query.
 """
@@ -41,6 +42,11 @@ def _detections(spark, sf, copies, hot, mode):
             if mode == "id":
                 d = d.withColumn(C.detection,
                                  F.when(chosen, F.lit(-1)).otherwise(F.col(C.detection)))
+            elif mode == "wide":
+                unique_item = F.concat(F.lit("u"), F.col(C.detection).cast("string"))
+                d = (d.withColumn(C.item, F.when(chosen, unique_item).otherwise(F.col(C.item)))
+                      .withColumn(C.location,
+                                  F.when(chosen, F.lit(0)).otherwise(F.col(C.location))))
             else:
                 d = (d.withColumn(C.location,
                                   F.when(chosen, F.lit(0)).otherwise(F.col(C.location)))
