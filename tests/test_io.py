@@ -166,3 +166,12 @@ def test_json_without_schema_infers_by_name(spark):
     back = read(spark, "json", target)
     assert sorted(back.columns) == sorted(OUTPUT.fieldNames())
     assert tuples(back.select(*OUTPUT.fieldNames())) == sorted(TRICKY, key=repr)
+
+
+def test_text_sink_partitioned(spark):
+    target = write(_output_rows(spark).filter("geographical_location_oid <= 2"), "txt",
+                   scratch_path(spark, "text-part"), dated=False,
+                   partition_by=["geographical_location_oid"])
+    back = read(spark, "txt", target)
+    assert sorted((r.geographical_location_oid, r.value) for r in back.collect()) == [
+        (1, "Alpha,1,apple"), (2, "\\N,1,null name")]
