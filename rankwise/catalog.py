@@ -19,10 +19,10 @@ from rankwise.operators import (build_lookup, count_by, count_by_salted,
                                 dedup_keep_one, enrich, key_skew_frame,
                                 partition_sizes, top_per_group)
 from rankwise.plans.jobs import (count_stage, dedup_stage, multiset_difference,
-                                 run_top_items_job, top_items, top_items_pipeline,
+                                 run_top_items_job, top_items, top_items_stages,
                                  top_items_prepartitioned, top_items_skew_aware,
                                  top_stage)
-from rankwise.plans.pipeline import Pipeline
+from rankwise.plans.stages import StageChain
 from rankwise.session import scratch_path
 from rankwise.sources import read, write
 
@@ -179,16 +179,16 @@ _METRICS_SCHEMA = StructType([
 
 
 def q_stage_metrics(spark, sf):
-    pipeline = top_items_pipeline(_sup(spark, sf), TOP_X)
+    chain = top_items_stages(_sup(spark, sf), TOP_X)
     target = scratch_path(spark, "stage-metrics")
-    _, metrics = pipeline.run(
+    _, metrics = chain.run(
         _li(spark, sf),
         lambda df: write(df, "parquet", target, dated=False, schema=OUTPUT))
     return spark.createDataFrame(metrics.table(), _METRICS_SCHEMA)
 
 
-def q_pipeline_compose(spark, sf):
-    return Pipeline([dedup_stage(), count_stage(), top_stage(TOP_X_EVENTS)])(
+def q_compose_stages(spark, sf):
+    return StageChain([dedup_stage(), count_stage(), top_stage(TOP_X_EVENTS)])(
         _li(spark, sf))
 
 
@@ -291,7 +291,7 @@ QUERIES: dict[str, Query] = {
     "location_skew": q_location_skew,
     "partition_skew": q_partition_skew,
     "stage_metrics": q_stage_metrics,
-    "pipeline_compose": q_pipeline_compose,
+    "compose_stages": q_compose_stages,
     "scan_parquet": q_scan_parquet,
     "roundtrip_parquet": q_roundtrip_parquet,
     "roundtrip_csv": q_roundtrip_csv,

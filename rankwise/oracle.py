@@ -154,7 +154,7 @@ ORACLE: dict[str, str] = {
         SELECT 3, 'top_x', (SELECT count(*) FROM a), (SELECT count(*) FROM top)
         UNION ALL
         SELECT 4, 'enrich', (SELECT count(*) FROM top), (SELECT count(*) FROM top)""",
-    "pipeline_compose": _LI + f"""
+    "compose_stages": _LI + f"""
         SELECT geographical_location_oid, item_rank, item_name
         FROM r WHERE item_rank <= {TOP_X_EVENTS}""",
     "scan_parquet": """

@@ -2,11 +2,11 @@
 from rankwise.plans.jobs import (JobRun, PartitionChoice, SkewDecision,
                                  decide_salting,
                                  multiset_difference, run_top_items_job,
-                                 top_items, top_items_pipeline,
+                                 top_items, top_items_stages,
                                  top_items_prepartitioned, top_items_skew_aware)
-from rankwise.plans.pipeline import Pipeline, StageMetrics
+from rankwise.plans.stages import StageChain, StageMetrics
 
-__all__ = ["JobRun", "PartitionChoice", "Pipeline", "SkewDecision", "StageMetrics",
+__all__ = ["JobRun", "PartitionChoice", "StageChain", "SkewDecision", "StageMetrics",
            "decide_salting", "multiset_difference", "run_top_items_job",
-           "top_items", "top_items_pipeline", "top_items_prepartitioned",
+           "top_items", "top_items_stages", "top_items_prepartitioned",
            "top_items_skew_aware"]

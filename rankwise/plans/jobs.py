@@ -35,7 +35,7 @@ from rankwise.operators.nulls import apply_null_policy
 from rankwise.operators.ranking import top_per_group
 from rankwise.operators.skew import (SKEW_THRESHOLD, SkewReport, choose_salts,
                                      key_skew, partition_skew)
-from rankwise.plans.pipeline import Pipeline, StageMetrics
+from rankwise.plans.stages import StageChain, StageMetrics
 from rankwise.sources.formats import read, resolve_format, write
 
 _log = logging.getLogger(__name__)
@@ -93,11 +93,11 @@ def enrich_stage(locations: DataFrame, cols: Columns = DEFAULT_COLUMNS,
     return enrich_names
 
 
-def top_items_pipeline(locations: DataFrame, top_x: int, *,
+def top_items_stages(locations: DataFrame, top_x: int, *,
                        cols: Columns = DEFAULT_COLUMNS, salts: int | None = None,
                        assume_identical: bool = False,
                        null_policy: str = "keep",
-                       broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> Pipeline:
+                       broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> StageChain:
     """The job as composable stages (used directly or with metrics)."""
     stages = []
     if null_policy != "keep":
@@ -109,7 +109,7 @@ def top_items_pipeline(locations: DataFrame, top_x: int, *,
                enrich_stage(locations, cols, broadcast_limit)]
     names = (["null_policy"] if null_policy != "keep" else []) + [
         "dedup", "count", "top_x", "enrich"]
-    return Pipeline(stages, names)
+    return StageChain(stages, names)
 
 
 def top_items(detections: DataFrame, locations: DataFrame, top_x: int, *,
@@ -120,11 +120,11 @@ def top_items(detections: DataFrame, locations: DataFrame, top_x: int, *,
 
     Output columns: location, location name, rank, item.
     """
-    pipeline = top_items_pipeline(locations, top_x, cols=cols, salts=salts,
+    chain = top_items_stages(locations, top_x, cols=cols, salts=salts,
                                   assume_identical=assume_identical,
                                   null_policy=null_policy,
                                   broadcast_limit=broadcast_limit)
-    return pipeline(detections)
+    return chain(detections)
 
 
 @dataclass(frozen=True)
@@ -273,10 +273,10 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
     _log.info("input partitions: detections=%d locations=%d",
               detections.rdd.getNumPartitions(), locations.rdd.getNumPartitions())
     decision = decide_salting(detections, basis=skew_basis) if skew_aware else None
-    pipeline = top_items_pipeline(
+    chain = top_items_stages(
         locations, top_x, salts=decision.salts if decision else None,
         null_policy=null_policy, assume_identical=assume_identical)
-    path, metrics = pipeline.run(
+    path, metrics = chain.run(
         detections,
         lambda df: write(df, output_format, output_path, mode=mode,
                          run_date=run_date, schema=OUTPUT))

@@ -82,7 +82,7 @@ class StageMetrics:
                 for (i, name, rin, rout), p in zip(self.table(), parts)]
 
 
-class Pipeline:
+class StageChain:
     """Stages applied in order; members are checked when it is built."""
 
     def __init__(self, stages: Iterable[Stage], names: Iterable[str] | None = None):
@@ -90,7 +90,7 @@ class Pipeline:
         for member in members:
             if not callable(member):
                 raise TypeError(
-                    f"pipeline stage must be callable, got {type(member).__name__}")
+                    f"stage must be callable, got {type(member).__name__}")
         self._stages = members
         self._names = list(names) if names is not None else [
             stage_name(s) for s in members]

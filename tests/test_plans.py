@@ -68,9 +68,9 @@ def test_no_registered_query_runs_python_on_rows(spark):
 
 
 def test_metrics_keep_the_plan_shape(spark):
-    from rankwise.plans.jobs import top_items_pipeline
+    from rankwise.plans.jobs import top_items_stages
     d, loc = _inputs(spark)
-    df, _ = top_items_pipeline(loc, 5).with_metrics(d)
+    df, _ = top_items_stages(loc, 5).with_metrics(d)
     plan = physical_plan(df)
     assert plan.count("CollectMetrics") == 5          # input + four stages
     assert "WindowGroupLimit" in plan and "partial_count" in plan

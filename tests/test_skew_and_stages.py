@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rankwise.operators import (choose_salts, key_skew, partition_sizes,
                                 partition_skew)
-from rankwise.plans.pipeline import Pipeline
+from rankwise.plans.stages import StageChain
 
 
 def _layout_100_1_1_1(spark):
@@ -66,27 +66,27 @@ def times_two(df):
     return df.select((F.col("v") * 2).alias("v"))
 
 
-def test_pipeline_runs_in_order(spark):
+def test_stages_runs_in_order(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "v long")
-    out = Pipeline([plus_one, times_two])(df)
+    out = StageChain([plus_one, times_two])(df)
     assert sorted(r.v for r in out.collect()) == [4, 6, 8]
 
 
-def test_pipeline_rejects_non_callables():
+def test_stages_rejects_non_callables():
     with pytest.raises(TypeError):
-        Pipeline([plus_one, "not a stage"])
+        StageChain([plus_one, "not a stage"])
 
 
-def test_pipeline_copies_member_list(spark):
+def test_stages_copies_member_list(spark):
     stages = [plus_one]
-    pipe = Pipeline(stages)
+    pipe = StageChain(stages)
     stages.append(times_two)
     assert pipe.names == ["plus_one"]
 
 
-def test_pipeline_metrics_single_action(spark):
+def test_stages_metrics_single_action(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "v long")
-    pipe = Pipeline([plus_one, functools.partial(times_two)])
+    pipe = StageChain([plus_one, functools.partial(times_two)])
     result, metrics = pipe.run(df, lambda d: sorted(r.v for r in d.collect()))
     assert result == [4, 6, 8]
     assert metrics.table() == [(1, "plus_one", 3, 3), (2, "times_two", 3, 3)]
@@ -94,22 +94,22 @@ def test_pipeline_metrics_single_action(spark):
     assert all(p >= 1 for p in metrics.partitions())
 
 
-def test_pipeline_metrics_filtering_stage(spark):
+def test_stages_metrics_filtering_stage(spark):
     df = spark.range(10).select(F.col("id").alias("v"))
-    pipe = Pipeline([lambda d: d.filter("v % 2 = 0")], names=["evens"])
+    pipe = StageChain([lambda d: d.filter("v % 2 = 0")], names=["evens"])
     _, metrics = pipe.run(df, lambda d: d.write.format("noop").mode("overwrite").save())
     assert metrics.table() == [(1, "evens", 10, 5)]
 
 
-def test_pipeline_metrics_report_partitions(spark):
+def test_stages_metrics_report_partitions(spark):
     df = spark.range(0, 40, 1, 4).select(F.col("id").alias("v"))
-    pipe = Pipeline([lambda d: d.filter("v < 40")], names=["all"])
+    pipe = StageChain([lambda d: d.filter("v < 40")], names=["all"])
     _, metrics = pipe.run(df, lambda d: d.collect())
     assert metrics.partitions() == [4, 4]
     assert metrics.log_lines() == ["stage 1/1 [all] rows_in=40 rows_out=40 partitions=4"]
 
 
-def test_pipeline_metrics_on_empty_input(spark):
+def test_stages_metrics_on_empty_input(spark):
     df = spark.createDataFrame([], "v long")
-    _, metrics = Pipeline([plus_one]).run(df, lambda d: d.collect())
+    _, metrics = StageChain([plus_one]).run(df, lambda d: d.collect())
     assert metrics.table() == [(1, "plus_one", 0, 0)]
