@@ -37,7 +37,7 @@ def brute_force(rows, names, top_x):
     return sorted(out, key=repr)
 
 
-@settings(max_examples=10, deadline=None,
+@settings(max_examples=10, deadline=None, derandomize=True,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(row, max_size=60), names=lookup, top_x=st.integers(0, 4))
 def test_all_shapes_match_brute_force(spark, rows, names, top_x):
