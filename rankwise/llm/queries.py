@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwise.llm import quality_rules
+from rankwise.llm import decontaminate, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,8 +14,43 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"),
+                                table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op7_decontaminate": op7_decontaminate,
 }
 
-ORACLE: dict[str, str] = {}
+# Words of a text, lower-cased A-Z only, as DuckDB sees them.
+_ALNUM = """list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+
+ORACLE: dict[str, str] = {
+    # Every window of every document against every window of every item.
+    "op7_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+b AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
+spans AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS span,
+    array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT span FROM spans),
+places AS (
+  SELECT doc_id, span, i, array_to_string(w[i : i + span - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, span, unnest(range(1, len(w) - span + 2)) AS i
+        FROM d, lengths WHERE len(w) >= span)),
+hits AS (SELECT p.doc_id, p.i, p.span, s.item_id
+         FROM places p JOIN spans s ON p.span = s.span AND p.phrase = s.phrase),
+covered AS (SELECT doc_id, count(*) AS n_hit FROM (
+  SELECT DISTINCT doc_id, unnest(range(i, i + span)) FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+}
