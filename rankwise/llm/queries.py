@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwise.llm import decontaminate, quality_rules
+from rankwise.llm import decontaminate, mixing, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 table(spark, sf_dir, "benchmark"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op7_decontaminate": op7_decontaminate,
+    "op8_mixing": op8_mixing,
 }
 
 # Words of a text, lower-cased A-Z only, as DuckDB sees them.
@@ -53,4 +58,33 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    # The schedule is a recursion over the slots of one period.
+    "op8_mixing": """
+WITH RECURSIVE n AS (SELECT source, count(*) AS n,
+    CAST(round(sqrt(CAST(count(*) AS DOUBLE)) * 1000000) AS BIGINT) AS weight
+  FROM documents GROUP BY source),
+u AS (SELECT source, greatest(1, (weight * 2000 + sum(weight) OVER ()) // (2 * sum(weight) OVER ()))
+    :: BIGINT AS a FROM n),
+p AS (SELECT CAST(sum(a) AS BIGINT) AS p, list(source ORDER BY source) AS s,
+    list(a ORDER BY source) AS a FROM u),
+run AS (
+  SELECT -1 :: BIGINT AS slot, 0 :: BIGINT AS i, list_transform(a, lambda x: 0 :: BIGINT) AS had
+  FROM p
+  UNION ALL
+  SELECT slot + 1, best, list_transform(had, lambda h, j: CASE WHEN j = best THEN h + 1 ELSE h END)
+  FROM (SELECT slot, had, list_min(list_filter(list_transform(had, lambda h, j:
+      CASE WHEN h < p.a[j] AND (h * p.p) // p.a[j] <= slot + 1
+      THEN {'d': ((h + 1) * p.p + p.a[j] - 1) // p.a[j], 'j': j :: BIGINT} END),
+      lambda x: x IS NOT NULL)).j AS best
+    FROM run, p WHERE slot + 1 < p.p)),
+plan AS (SELECT s[i] AS source, a[i] AS a, p.p, slot,
+    row_number() OVER (PARTITION BY i ORDER BY slot) - 1 AS k FROM run, p WHERE slot >= 0),
+d AS (SELECT doc_id, source, row_number() OVER (
+    PARTITION BY source ORDER BY md5('mix:' || doc_id)) - 1 AS place FROM documents)
+SELECT doc_id, d.source, a AS mix_units, p AS mix_period, place // 32 AS mix_block,
+  (place // 32) // a * p + (k * p) // a AS mix_release,
+  (place // 32) // a * p + ((k + 1) * p + a - 1) // a AS mix_deadline,
+  (place // 32) // a * p + slot AS mix_slot,
+  ((place // 32) // a * p + slot) * 32 + place % 32 AS mix_position
+FROM d JOIN plan ON plan.source = d.source AND k = (place // 32) % a""",
 }
