@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwise.llm import decontaminate, mixing, quality_rules
+from rankwise.llm import decontaminate, line_templates, mixing, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,6 +14,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"),
                                 table(spark, sf_dir, "benchmark"))
@@ -25,6 +29,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op5_line_templates": op5_line_templates,
     "op7_decontaminate": op7_decontaminate,
     "op8_mixing": op8_mixing,
 }
@@ -87,4 +92,36 @@ SELECT doc_id, d.source, a AS mix_units, p AS mix_period, place // 32 AS mix_blo
   (place // 32) // a * p + slot AS mix_slot,
   ((place // 32) // a * p + slot) * 32 + place % 32 AS mix_position
 FROM d JOIN plan ON plan.source = d.source AND k = (place // 32) % a""",
+    # Forms and templates as texts; ids are unique there.
+    "op5_line_templates": r"""
+WITH l AS (SELECT doc_id, i - 1 AS line_no, line, trim(regexp_replace(regexp_replace(line,
+    '[^\x09-\x0D\x20]*[0-9][^\x09-\x0D\x20]*', '<*>', 'g'), '[\x09-\x0D\x20]+', ' ', 'g')) AS form
+  FROM (SELECT doc_id, unnest(s) AS line, unnest(range(1, len(s) + 1)) AS i
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents))),
+t AS (SELECT *, string_split(form, ' ') AS tokens FROM l WHERE form <> ''),
+f AS (SELECT form, any_value(tokens) AS tokens, any_value(len(tokens)) AS n,
+    any_value(len(list_filter(tokens, lambda x: x <> '<*>'))) AS fixed,
+    count(DISTINCT doc_id) AS docs FROM t GROUP BY form),
+leaves AS (SELECT n, tokens[1:2] AS head FROM f GROUP BY ALL HAVING count(*) > 1 AND sum(docs) >= 3),
+apart AS (SELECT * FROM (SELECT form, n, tokens[1:2] AS head, docs, unnest(tokens) AS token,
+      unnest(range(len(tokens))) AS pos FROM f JOIN leaves l USING (n)
+      WHERE n >= 5 AND l.head = tokens[1:2]) WHERE token <> '<*>'),
+common AS (SELECT n, head, pos, token FROM apart GROUP BY ALL HAVING sum(docs) >= 3),
+general AS (SELECT form, n, head, list([CAST(pos AS VARCHAR), token] ORDER BY pos) AS template
+  FROM apart JOIN common USING (n, head, pos, token) GROUP BY ALL
+  HAVING count(*) >= 5 AND count(*) < n AND count(*) >= 0.5 * n),
+named AS (SELECT f.form, coalesce(CAST([f.n] AS VARCHAR) || CAST(template AS VARCHAR), f.form) AS template
+  FROM f LEFT JOIN general g ON f.form = g.form WHERE template IS NOT NULL OR fixed >= 0.5 * f.n),
+met AS (SELECT t.doc_id, line_no, template FROM t JOIN named USING (form)),
+recurring AS (SELECT template, min(doc_id) AS first FROM met GROUP BY template
+  HAVING count(DISTINCT doc_id) >= 3),
+gone AS (SELECT DISTINCT doc_id, line_no FROM met JOIN recurring USING (template)
+  WHERE doc_id <> first),
+out AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.line_no)
+      FILTER (WHERE gone.line_no IS NULL) AS text,
+    count(*) FILTER (WHERE form <> '') AS n_lines, count(gone.line_no) AS n_dropped
+  FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.line_no = l.line_no GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(out.text, '') END AS text,
+  CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped
+FROM documents d LEFT JOIN out USING (doc_id)""",
 }
