@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwise.llm import decontaminate, line_templates, mixing, quality_rules
+from rankwise.llm import decontaminate, line_templates, mixing, ngram_join, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,6 +14,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -29,6 +33,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_ngram_join": op4_ngram_join,
     "op5_line_templates": op5_line_templates,
     "op7_decontaminate": op7_decontaminate,
     "op8_mixing": op8_mixing,
