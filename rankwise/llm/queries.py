@@ -3,13 +3,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankwise.llm import decontaminate, line_templates, mixing, ngram_join, quality_rules
+from rankwise.llm import (
+    decontaminate,
+    line_templates,
+    lm_automaton,
+    mixing,
+    ngram_join,
+    quality_rules,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_automaton.score(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -32,6 +43,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_automaton": op1_lm_automaton,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
     "op5_line_templates": op5_line_templates,
