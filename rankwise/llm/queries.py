@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankwise.llm import (
     decontaminate,
@@ -9,6 +10,7 @@ from rankwise.llm import (
     lm_automaton,
     mixing,
     ngram_join,
+    pii,
     quality_rules,
 )
 
@@ -21,6 +23,13 @@ def op1_lm_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_automaton.score(table(spark, sf_dir, "documents"))
 
 
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is the secret that takes pseudonyms back: set it on a cluster."""
+    key = spark.conf.get("spark.rankwise.pii.key", "not a secret: for tests")
+    out = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key.encode())
+    return out.select("doc_id", "text", F.size("pii_found").cast("long").alias("n_replaced"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -44,6 +53,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lm_automaton": op1_lm_automaton,
+    "op2_pseudonyms": op2_pseudonyms,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
     "op5_line_templates": op5_line_templates,
