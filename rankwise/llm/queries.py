@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rankwise.llm import (
     decontaminate,
+    html_blocks,
     line_templates,
     lm_automaton,
     mixing,
@@ -42,6 +43,10 @@ def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"),
                                 table(spark, sf_dir, "benchmark"))
@@ -57,6 +62,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
     "op5_line_templates": op5_line_templates,
+    "op6_html_blocks": op6_html_blocks,
     "op7_decontaminate": op7_decontaminate,
     "op8_mixing": op8_mixing,
 }
