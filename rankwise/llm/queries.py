@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from rankwise.llm import (
     decontaminate,
     html_blocks,
+    licenses,
     line_templates,
     lm_automaton,
     mixing,
     ngram_join,
     pii,
     quality_rules,
+    warc,
 )
 
 
@@ -56,6 +58,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derivative records of all pages; files of them are written by warc.write."""
+    made = warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+    return made.withColumnRenamed("source_id", "page_id")
+
+
 QUERIES = {
     "op1_lm_automaton": op1_lm_automaton,
     "op2_pseudonyms": op2_pseudonyms,
@@ -65,6 +77,8 @@ QUERIES = {
     "op6_html_blocks": op6_html_blocks,
     "op7_decontaminate": op7_decontaminate,
     "op8_mixing": op8_mixing,
+    "op9_licenses": op9_licenses,
+    "op10_warc": op10_warc,
 }
 
 # Words of a text, lower-cased A-Z only, as DuckDB sees them.
@@ -72,6 +86,23 @@ _ALNUM = """list_filter(string_split_regex(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
 
+
+
+def _canonical_sql(text: str) -> str:
+    """The canonical form of a licence text, step by step."""
+    quoted = [s.replace("'", "''") for s in (licenses.COPYRIGHT, licenses.PUNCTUATION)]
+    out = f"regexp_replace(lower(coalesce({text}, '')), '{quoted[0]}', ' ', 'g')"
+    out = f"' ' || regexp_replace({out}, '{quoted[1]}', '  ', 'g') || ' '"
+    for word, other in licenses.EQUIVALENT.items():
+        out = f"replace({out}, ' {word} ', ' {other} ')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
+
+
+def _known_sql() -> str:
+    rows = ((name, text.replace("'", "''")) for name, text in licenses.KNOWN)
+    return ", ".join(f"('{name}', '{text}')" for name, text in rows)
+
+
 ORACLE: dict[str, str] = {
     # Every window of every document against every window of every item.
     "op7_decontaminate": f"""
@@ -157,4 +188,17 @@ out AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.line_no)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(out.text, '') END AS text,
   CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped
 FROM documents d LEFT JOIN out USING (doc_id)""",
+    "op9_licenses": f"""
+WITH k AS (SELECT form, min(license) AS license FROM (
+  SELECT license, {_canonical_sql("text")} AS form FROM (VALUES {_known_sql()}) AS v(license, text))
+  WHERE form <> '' GROUP BY form),
+l AS (SELECT doc_id, license FROM (
+  SELECT doc_id, {_canonical_sql("line")} AS form
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)) JOIN k USING (form)),
+n AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names
+  FROM l GROUP BY doc_id),
+d AS (SELECT doc_id, {_canonical_sql("text")} AS form FROM documents)
+SELECT d.doc_id, CASE WHEN form <> '' THEN sha256(form) END AS digest, license,
+  coalesce(n, 0) AS n_license_lines, coalesce(names, '') AS line_licenses
+FROM d LEFT JOIN k USING (form) LEFT JOIN n ON n.doc_id = d.doc_id""",
 }
