@@ -6,25 +6,27 @@ folder (``rankwise.session.scratch_path``) and read the result back.
 """
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from rankwise import adapters
 from rankwise.contracts import DEFAULT_COLUMNS as C
-from rankwise.contracts import OUTPUT, conform
-from rankwise.operators import (build_lookup, count_by, count_by_salted,
-                                dedup_keep_one, enrich, key_skew_frame,
-                                partition_sizes, top_per_group)
+from rankwise.contracts import DETECTIONS, OUTPUT, conform
+from rankwise.operators import (build_lookup, count_by, count_by_hot_salted,
+                                count_by_salted, dedup_keep_one, enrich, hot_keys,
+                                key_skew_frame, partition_sizes, top_per_group)
 from rankwise.plans.jobs import (count_stage, dedup_stage, multiset_difference,
                                  run_top_items_job, top_items, top_items_stages,
                                  top_items_prepartitioned, top_items_skew_aware,
                                  top_stage)
 from rankwise.plans.stages import StageChain
-from rankwise.session import scratch_path
-from rankwise.sources import read, write
+from rankwise.session import remove_path, scratch_path
+from rankwise.sources import dated_output_path, read, split_rejects, write
 
 # Query parameters.
 TOP_X = 5            # lineitem-based jobs
@@ -33,6 +35,10 @@ SALTS = 4            # explicit salt count for the salted-count query
 RUN_DATE = "2026-04-21"
 NULL_ITEM = "item-7"       # item value turned into null for null-policy queries
 NULL_ID_LINE = 7           # line number whose detection id becomes null
+BAD_ID_LINE = 7            # line number whose detection id becomes unreadable text
+HOT_REDUCERS = 16          # reducers that hot keys are measured against
+LAYOUT_PARTITIONS = 4      # partitions of the measured layout, one left empty
+ODD_ENDS = [",x", "\ny", '"z"', "\\w", ""]      # item endings, by rank
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,10 +55,6 @@ def _ev(spark, sf):
     return adapters.detections_from_events(spark, sf)
 
 
-def _cust(spark, sf):
-    return adapters.locations_from_customer(spark, sf)
-
-
 def _deduped(spark, sf):
     return dedup_stage()(_li(spark, sf))
 
@@ -76,45 +78,50 @@ def q_top_items_skew_aware(spark, sf):
 
 
 def q_top_items_prepartitioned(spark, sf):
-    return top_items_prepartitioned(_li(spark, sf), _sup(spark, sf), TOP_X)[0]
+    return top_items_prepartitioned(_li(spark, sf), _sup(spark, sf), TOP_X)
 
 
 def q_top_items_events(spark, sf):
-    return top_items(_ev(spark, sf), _cust(spark, sf), TOP_X_EVENTS)
+    return top_items(_ev(spark, sf), _sup(spark, sf), TOP_X_EVENTS)
 
 
 def q_top_items_events_identical(spark, sf):
-    return top_items(_ev(spark, sf), _cust(spark, sf), TOP_X_EVENTS,
+    return top_items(_ev(spark, sf), _sup(spark, sf), TOP_X_EVENTS,
                      assume_identical=True)
 
 
 def q_top_items_events_skew_aware(spark, sf):
-    return top_items_skew_aware(_ev(spark, sf), _cust(spark, sf), TOP_X_EVENTS)[0]
+    return top_items_skew_aware(_ev(spark, sf), _sup(spark, sf), TOP_X_EVENTS)[0]
 
 
 def q_jobs_equivalence(spark, sf):
     baseline = _baseline(spark, sf)
     salted = top_items_skew_aware(_li(spark, sf), _sup(spark, sf), TOP_X,
-                                  force_salts=SALTS)[0]
+                                  reducers=10_000)[0]
     return multiset_difference(baseline, salted)
 
 
-def _job_from_files(spark, sf, fmt, skew_aware):
+def _job_from_files(spark, sf, fmt, job):
     """The file-to-file job (as the CLI runs it) on the adapted tables."""
     base = scratch_path(spark, f"job-{fmt}")
-    a = write(_li(spark, sf), fmt, base + "/detections", dated=False)
-    b = write(_sup(spark, sf), fmt, base + "/locations", dated=False)
-    run = run_top_items_job(spark, a, b, base + "/out/", TOP_X, skew_aware=skew_aware,
+    a = write(_li(spark, sf), fmt, base + "/in/detections", dated=False)
+    b = write(_sup(spark, sf), fmt, base + "/in/locations", dated=False)
+    run = run_top_items_job(spark, a, b, base + "/out/", TOP_X, job=job,
                             input_format=fmt, run_date=RUN_DATE)
+    remove_path(spark, base + "/in")
     return read(spark, "parquet", run.output_path, schema=OUTPUT)
 
 
 def q_job_run_parquet(spark, sf):
-    return _job_from_files(spark, sf, "parquet", skew_aware=False)
+    return _job_from_files(spark, sf, "parquet", "baseline")
 
 
 def q_job_run_csv_skew_aware(spark, sf):
-    return _job_from_files(spark, sf, "csv", skew_aware=True)
+    return _job_from_files(spark, sf, "csv", "skew_aware")
+
+
+def q_job_run_json_prepartitioned(spark, sf):
+    return _job_from_files(spark, sf, "json", "prepartitioned")
 
 
 # --- operators ----------------------------------------------------------------
@@ -132,11 +139,37 @@ def q_count_by_keys_salted(spark, sf):
                            salt_from=[C.detection], name=C.count)
 
 
+def _third_at_one_key(spark, sf):
+    """Detections of which a third are moved to one location and item."""
+    moved = F.col(C.detection) % 3 == 0
+    return (_li(spark, sf)
+            .withColumn(C.item, F.when(moved, F.lit("item-hot")).otherwise(F.col(C.item)))
+            .withColumn(C.location, F.when(moved, F.lit(1)).otherwise(F.col(C.location))))
+
+
+def q_salted_hot_keys(spark, sf):
+    rows = dedup_stage()(_third_at_one_key(spark, sf))
+    hot = hot_keys(rows, [C.location, C.item], HOT_REDUCERS)
+    return count_by_hot_salted(rows, [C.location, C.item], hot, salt_from=[C.detection],
+                               name=C.count)
+
+
 def q_rank_items(spark, sf):
     return top_per_group(_counts(spark, sf), [C.location], C.count, C.item,
                          None, keep_count=True)
 
 
+def q_rank_items_hot(spark, sf):
+    """Every item ranked where one location has a third of all items."""
+    li = adapters.table(spark, sf, "lineitem")
+    rows = li.select(
+        F.when(F.col("l_partkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_suppkey"))
+        .alias(C.location), F.concat(F.lit("part-"), F.col("l_partkey").cast("string"))
+        .alias(C.item))
+    return top_per_group(count_by(rows, [C.location, C.item], C.count), [C.location],
+                         C.count, C.item, None, keep_count=True)
+
+
 def q_topx_per_group(spark, sf):
     return top_per_group(_counts(spark, sf), [C.location], C.count, C.item,
                          TOP_X, keep_count=True)
@@ -148,6 +181,16 @@ def q_enrich_lookup(spark, sf):
     return enrich(seen, lookup, C.location, C.location_name)
 
 
+def _as_text_key(df):
+    return df.withColumn(C.location, F.concat(F.lit("loc-"), F.col(C.location).cast("string")))
+
+
+def q_enrich_lookup_text_key(spark, sf):
+    seen = _as_text_key(_ev(spark, sf).select(C.location).distinct())
+    lookup = build_lookup(_as_text_key(_sup(spark, sf)), C.location, C.location_name)
+    return enrich(seen, lookup, C.location, C.location_name)
+
+
 def q_lookup_build(spark, sf):
     sup = adapters.table(spark, sf, "supplier")
     named = sup.select(F.col("s_suppkey").alias(C.location),
@@ -167,7 +210,9 @@ def q_location_skew(spark, sf):
 
 
 def q_partition_skew(spark, sf):
-    return partition_sizes(_li(spark, sf))
+    dealt = _li(spark, sf).repartitionById(
+        LAYOUT_PARTITIONS, (F.col(C.camera) % (LAYOUT_PARTITIONS - 1)).cast("int"))
+    return partition_sizes(dealt, LAYOUT_PARTITIONS)
 
 
 _METRICS_SCHEMA = StructType([
@@ -195,16 +240,36 @@ def q_compose_stages(spark, sf):
 # --- sources and sinks --------------------------------------------------------
 
 def q_scan_parquet(spark, sf):
-    return read(spark, "PARQUET", f"{sf.rstrip('/')}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        "l_returnflag", "l_linestatus")
+    return read(spark, "PARQUET", f"{sf.rstrip('/')}/lineitem.parquet")
+
+
+def q_read_rejects(spark, sf):
+    """A CSV input of which some ids are no numbers: rows read and rejected."""
+    broken = _li(spark, sf).withColumn(C.detection, F.concat(
+        F.when(F.col(C.camera) == BAD_ID_LINE, F.lit("id-")).otherwise(F.lit("")),
+        F.col(C.detection).cast("string")))
+    target = write(broken, "csv", scratch_path(spark, "rejects"), dated=False)
+    good, bad = split_rejects(read(spark, "csv", target, schema=DETECTIONS, malformed="reject"))
+    return good.select(F.lit("read").alias("record")).unionByName(
+        bad.select(F.lit("rejected").alias("record"))).groupBy("record") \
+        .agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _odd(spark, sf):
+    """The baseline's rows with values that formats are apt to lose."""
+    end = F.element_at(F.array(*map(F.lit, ODD_ENDS)), F.col(C.rank))
+    last = F.col(C.rank) == len(ODD_ENDS)
+    return (_baseline(spark, sf)
+            .withColumn(C.item, F.when(last, F.lit("\\N")).otherwise(F.concat(F.col(C.item), end)))
+            .withColumn(C.location_name, F.when(last, F.lit("")).when(
+                F.col(C.rank) > 1, F.col(C.location_name))))
 
 
 def _roundtrip(spark, sf, fmt):
-    target = write(_baseline(spark, sf), fmt, scratch_path(spark, f"rt-{fmt}"),
+    target = write(_odd(spark, sf), fmt, scratch_path(spark, f"rt-{fmt}"),
                    run_date=RUN_DATE, schema=OUTPUT)
-    back = read(spark, fmt, target, schema=None if fmt == "txt" else OUTPUT)
-    return back
+    return read(spark, fmt, target, schema=None if fmt == "txt" else OUTPUT,
+                multiline=fmt == "csv")
 
 
 def q_roundtrip_parquet(spark, sf):
@@ -231,13 +296,32 @@ def q_sink_overwrite(spark, sf):
     return read(spark, "parquet", target, schema=OUTPUT)
 
 
+def q_sink_errorifexists(spark, sf):
+    """The first write succeeds, the second is refused, the first stays."""
+    base, refused = scratch_path(spark, "once"), False
+    target = write(_baseline(spark, sf), "parquet", base, mode="errorifexists", run_date=RUN_DATE)
+    try:
+        write(_baseline(spark, sf, TOP_X_EVENTS), "parquet", base, mode="errorifexists",
+              run_date=RUN_DATE)
+    except AnalysisException:
+        refused = True
+    return read(spark, "parquet", target, schema=OUTPUT).agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(refused).alias("refused"))
+
+
 def q_sink_dated_path(spark, sf):
-    base = scratch_path(spark, "dated") + "/result.parquet"
-    target = write(_baseline(spark, sf), "parquet", base, run_date=RUN_DATE,
-                   schema=OUTPUT)
-    if not target.endswith(f"/{RUN_DATE}/result.parquet"):
-        raise AssertionError(f"unexpected dated path {target}")
-    return read(spark, "parquet", target, schema=OUTPUT)
+    """The four shapes of an output path, each written and read back."""
+    root = scratch_path(spark, "dated")
+    rows = _baseline(spark, sf)
+    back = []
+    for shape in ("a/", "b/result.parquet", "c/result"):
+        target = write(rows, "parquet", f"{root}/{shape}", run_date=RUN_DATE, schema=OUTPUT)
+        back.append((target[len(root) + 1:], target))
+    bare = dated_output_path("output", RUN_DATE)
+    back.append((bare, write(rows, "parquet", f"{root}/{bare}", dated=False, schema=OUTPUT)))
+    return functools.reduce(DataFrame.unionByName, [
+        read(spark, "parquet", target, schema=OUTPUT).withColumn("path", F.lit(path))
+        for path, target in back])
 
 
 def q_sink_partitioned(spark, sf):
@@ -265,6 +349,19 @@ def q_null_policy_drop(spark, sf):
                      null_policy="drop")
 
 
+def q_null_policy_fail(spark, sf):
+    """The outcome of the guard as a row: whether it failed the job, and on what."""
+    guarded = top_items(_li_with_nulls(spark, sf), _sup(spark, sf), TOP_X, null_policy="fail")
+    try:
+        guarded.write.format("noop").mode("overwrite").save()
+        said = ""
+    except Exception as error:  # noqa: BLE001 -- the failure is the result
+        said = str(error)
+    nulls = _li_with_nulls(spark, sf).filter(F.col(C.item).isNull() | F.col(C.detection).isNull())
+    return nulls.agg(F.lit("null value in column" in said).alias("failed"),
+                     F.count(F.lit(1)).alias("rows_with_nulls"))
+
+
 def q_null_policy_default(spark, sf):
     return top_items(_li_with_nulls(spark, sf), _sup(spark, sf), TOP_X,
                      null_policy="default")
@@ -280,12 +377,16 @@ QUERIES: dict[str, Query] = {
     "jobs_equivalence": q_jobs_equivalence,
     "job_run_parquet": q_job_run_parquet,
     "job_run_csv_skew_aware": q_job_run_csv_skew_aware,
+    "job_run_json_prepartitioned": q_job_run_json_prepartitioned,
     "dedup_keep_one": q_dedup_keep_one,
     "count_by_keys": q_count_by_keys,
     "count_by_keys_salted": q_count_by_keys_salted,
+    "salted_hot_keys": q_salted_hot_keys,
     "rank_items": q_rank_items,
+    "rank_items_hot": q_rank_items_hot,
     "topx_per_group": q_topx_per_group,
     "enrich_lookup": q_enrich_lookup,
+    "enrich_lookup_text_key": q_enrich_lookup_text_key,
     "lookup_build": q_lookup_build,
     "key_skew": q_key_skew,
     "location_skew": q_location_skew,
@@ -293,14 +394,17 @@ QUERIES: dict[str, Query] = {
     "stage_metrics": q_stage_metrics,
     "compose_stages": q_compose_stages,
     "scan_parquet": q_scan_parquet,
+    "read_rejects": q_read_rejects,
     "roundtrip_parquet": q_roundtrip_parquet,
     "roundtrip_csv": q_roundtrip_csv,
     "roundtrip_json": q_roundtrip_json,
     "roundtrip_text": q_roundtrip_text,
     "sink_overwrite": q_sink_overwrite,
+    "sink_errorifexists": q_sink_errorifexists,
     "sink_dated_path": q_sink_dated_path,
     "sink_partitioned": q_sink_partitioned,
     "output_contract": q_output_contract,
     "null_policy_drop": q_null_policy_drop,
     "null_policy_default": q_null_policy_default,
+    "null_policy_fail": q_null_policy_fail,
 }

@@ -17,6 +17,7 @@ from pyspark.sql.types import (IntegerType, LongType, StringType, StructField,
 
 from rankwise.functions.columns import not_null
 
+# Names, types and nullability of the data contracts.
 DETECTIONS = StructType([
     StructField("geographical_location_oid", LongType(), False),
     StructField("video_camera_oid", LongType(), False),

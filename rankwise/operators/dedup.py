@@ -21,7 +21,7 @@ def dedup_keep_one(df: DataFrame, key: str,
     as at most one row per map task (hot ids never pile up in one task).
 
     ``assume_identical=True`` is the fast path for inputs whose duplicates
-    are full copies: a key-only ``distinct`` (hash aggregate, no buffer).
+    are full copies: a ``distinct`` over all columns (hash aggregate, no buffer).
     It keeps several rows per key if copies disagree, so it is opt-in.
     """
     if key not in df.columns:

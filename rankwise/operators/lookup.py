@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 # Fixed value: largest lookup (measured bytes, see lookup_size) that is
 # broadcast; beyond it the enrichment is a sort-merge join.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-# Fixed value: per-row overhead assumed on top of the key and string bytes.
-_ROW_OVERHEAD = 32
+# Fixed value: bytes of a hashed row besides its key and value: row header and
+# field slots, the null-safe key's flag, the hash entry at its load factor, and
+# what alignment adds to each.
+ROW_OVERHEAD = 160
 
 _KEY = "__lookup_key"
 
@@ -21,14 +23,19 @@ def build_lookup(lookup: DataFrame, key: str, value: str) -> DataFrame:
     return lookup.groupBy(key).agg(F.max(value).alias(value))
 
 
-def lookup_size(lookup: DataFrame, value: str) -> tuple[int, int]:
-    """(rows, estimated bytes) of a lookup, measured with one aggregate."""
+def lookup_size(lookup: DataFrame, key: str, value: str) -> tuple[int, int]:
+    """(rows, bytes as a hash relation), measured with one aggregate.
+
+    Key and value count with the bytes of their text, the key twice, as a
+    null-safe join hashes a second copy of it; every row costs ``ROW_OVERHEAD``.
+    """
+    def text_bytes(c: str):
+        return F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint")
     row = lookup.agg(F.count(F.lit(1)).alias("rows"),
-                     F.coalesce(F.sum(F.octet_length(F.col(value).cast("string"))),
-                                F.lit(0))
+                     F.coalesce(F.sum(2 * text_bytes(key) + text_bytes(value)), F.lit(0))
                      .alias("chars")).first()
     rows = int(row["rows"])
-    return rows, rows * _ROW_OVERHEAD + int(row["chars"])
+    return rows, rows * ROW_OVERHEAD + int(row["chars"])
 
 
 def enrich(df: DataFrame, lookup: DataFrame, key: str, value: str, *,
@@ -49,7 +56,7 @@ def enrich(df: DataFrame, lookup: DataFrame, key: str, value: str, *,
     if value in df.columns:
         raise ValueError(f"column {value!r} already exists")
     side = lookup.select(F.col(key).alias(_KEY), F.col(value))
-    size = size_bound if size_bound is not None else lookup_size(side, value)[1]
+    size = size_bound if size_bound is not None else lookup_size(side, _KEY, value)[1]
     side = F.broadcast(side) if size <= broadcast_limit else side.hint("merge")
     joined = df.join(side, df[key].eqNullSafe(side[_KEY]), "left")
     columns = list(df.columns)

@@ -10,11 +10,11 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-# Skew is a max/avg size ratio strictly above 1.5; the salted
-# count uses max(2, ceil(ratio)) buckets.
+# Skew is a max/avg size ratio strictly above 1.5; a salted key
+# gets two buckets at least.
 SKEW_THRESHOLD = 1.5
 MIN_SALTS = 2
 
@@ -35,26 +35,35 @@ def _report(largest, rows, units, threshold) -> SkewReport:
     return SkewReport(factor, factor > threshold, units, rows, largest)
 
 
-def partition_sizes(df: DataFrame) -> DataFrame:
-    """(partition_id, rows) for every partition of ``df``, empty ones too."""
-    spark = df.sparkSession
+def partition_sizes(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """(partition_id, rows) of the layout that ``df`` runs with.
+
+    ``partitions`` is the number of partitions that ``df`` was dealt to, so that
+    empty ones are listed too; without it only those that hold rows are. Nothing
+    runs while the plan is built.
+    """
     counted = (df.groupBy(F.spark_partition_id().alias("partition_id"))
                .agg(F.count(F.lit(1)).alias("rows")))
-    every = spark.range(df.rdd.getNumPartitions()).select(
+    if partitions is None:
+        return counted
+    every = df.sparkSession.range(partitions).select(
         F.col("id").cast("int").alias("partition_id"))
     return (every.join(counted, "partition_id", "left")
             .select("partition_id", F.coalesce("rows", F.lit(0)).alias("rows")))
 
 
-def partition_skew(df: DataFrame,
-                   threshold: float = SKEW_THRESHOLD) -> SkewReport:
-    """Skew of the input layout: largest partition over the average one."""
-    parts = df.rdd.getNumPartitions()
-    row = (df.groupBy(F.spark_partition_id().alias("pid"))
-           .agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.max("n").alias("largest"), F.sum("n").alias("rows"))
+def partition_skew(df: DataFrame, threshold: float = SKEW_THRESHOLD,
+                   partitions: int | None = None) -> SkewReport:
+    """Skew of the layout: largest partition over the average one.
+
+    Without ``partitions`` the average is over those up to the last that holds
+    rows, which is all that the rows themselves can tell.
+    """
+    row = (partition_sizes(df)
+           .agg(F.max("rows").alias("largest"), F.sum("rows").alias("rows"),
+                F.max(F.col("partition_id") + 1).alias("units"))
            .first())
-    return _report(row["largest"], row["rows"], parts, threshold)
+    return _report(row["largest"], row["rows"], partitions or int(row["units"] or 0), threshold)
 
 
 def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -87,13 +96,38 @@ def key_skew(df: DataFrame, keys: Sequence[str],
     return _report(row["largest"], row["rows"], row["keys"], threshold)
 
 
-def choose_salts(factor: float, reducers: int | None = None) -> int:
-    """Salt buckets for a measured skew factor: ``max(2, ceil(factor))``.
+def choose_salts(factor: float) -> int:
+    """Salt buckets for a skew factor when all keys are salted alike."""
+    return max(MIN_SALTS, math.ceil(factor))
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with more rows than an even share of one reducer, and their salts."""
+    rows: int                        # of all keys
+    reducers: int
+    keys: list[tuple]                # key values
+    salts: list[int]                 # buckets of each
+
+    @property
+    def skewed(self) -> bool:
+        return bool(self.keys)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], reducers: int | None = None) -> HotKeys:
+    """Keys that hold more than ``1 / reducers`` of the rows.
 
-    With ``reducers`` the count is capped there: more buckets than reduce
-    tasks cannot spread a hot key any further, and every extra bucket only
-    multiplies the phase-1 rows of ordinary keys. Any count gives the same
-    (exact) result.
+    Fewer than ``reducers`` keys can, so the list that reaches the driver is
+    bounded by its definition. Each gets a bucket for every reducer's share that
+    it fills, so all buckets together are fewer than twice the reducers. One job:
+    the total is observed while the counts are sorted.
     """
-    salts = max(MIN_SALTS, math.ceil(factor))
-    return min(salts, max(MIN_SALTS, reducers)) if reducers else salts
+    if reducers is None:
+        reducers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = Observation()
+    sizes = key_sizes(df, keys).observe(seen, F.coalesce(F.sum("rows"), F.lit(0)).alias("total"))
+    largest = sizes.orderBy(F.desc("rows")).limit(reducers).collect()
+    total = int(seen.get["total"]) if largest else 0
+    hot = [r for r in largest if r["rows"] * reducers > total and reducers > 1]
+    return HotKeys(total, reducers, [tuple(r[k] for k in keys) for r in hot],
+                   [max(MIN_SALTS, -(-r["rows"] * reducers // total)) for r in hot])

@@ -1,12 +1,13 @@
 """Independent DuckDB SQL for every registered query that SQL can express.
 
-Written against the raw test tables (views ``lineitem``, ``supplier``,
-``events``, ``customer``). Column names and types follow the Spark side:
+Written against the raw test tables (views ``lineitem``, ``supplier`` and
+``events``). Column names and types follow the Spark side:
 ranks are INTEGER, counts BIGINT.
 """
 from __future__ import annotations
 
-from rankwise.catalog import NULL_ID_LINE, NULL_ITEM, TOP_X, TOP_X_EVENTS
+from rankwise.catalog import (BAD_ID_LINE, LAYOUT_PARTITIONS, NULL_ID_LINE, NULL_ITEM,
+                              RUN_DATE, TOP_X, TOP_X_EVENTS)
 
 _LINEITEM_DETECTIONS = """
     SELECT l_suppkey AS geographical_location_oid,
@@ -29,12 +30,7 @@ _EVENT_DETECTIONS = f"{_EVENT_ONCE} UNION ALL {_EVENT_ONCE}"
 _SUPPLIER_LOCATIONS = """
     SELECT s_suppkey AS geographical_location_oid,
            s_name AS geographical_location
-    FROM supplier WHERE s_acctbal >= 0"""
-
-_CUSTOMER_LOCATIONS = """
-    SELECT c_custkey AS geographical_location_oid,
-           c_name AS geographical_location
-    FROM customer WHERE c_acctbal >= 0"""
+    FROM supplier"""
 
 _LINEITEM_WITH_NULLS = f"""
     SELECT geographical_location_oid, video_camera_oid,
@@ -84,10 +80,25 @@ def _top(detections, locations, top_x) -> str:
 
 _LI = _chain(_LINEITEM_DETECTIONS, _SUPPLIER_LOCATIONS, TOP_X)
 BASELINE = _LI + " SELECT * FROM top"
-_TEXT_LINE = ("coalesce(CAST(geographical_location_oid AS VARCHAR), '\\N') || ',' || "
-              "coalesce(geographical_location, '\\N') || ',' || "
-              "coalesce(CAST(item_rank AS VARCHAR), '\\N') || ',' || "
-              "coalesce(item_name, '\\N')")
+_ODD = _LI + r""", odd AS (
+    SELECT geographical_location_oid,
+           CASE WHEN item_rank = 5 THEN '' WHEN item_rank > 1 THEN geographical_location END
+               AS geographical_location, item_rank,
+           CASE item_rank WHEN 1 THEN item_name || ',x' WHEN 2 THEN item_name || chr(10) || 'y'
+               WHEN 3 THEN item_name || '"z"' WHEN 4 THEN item_name || '\w' ELSE '\N' END
+               AS item_name
+    FROM top)"""
+
+
+def _escape(column: str) -> str:
+    out = f"CAST({column} AS VARCHAR)"
+    for plain, escaped in (("'\\'", "'\\\\'"), ("','", "'\\,'"), ("chr(10)", "'\\n'"), ("chr(13)", "'\\r'")):
+        out = f"replace({out}, {plain}, {escaped})"
+    return f"coalesce({out}, '\\N')"
+
+
+_TEXT_LINE = " || ',' || ".join(map(_escape, (
+    "geographical_location_oid", "geographical_location", "item_rank", "item_name")))
 
 
 def _skew(frame_sql: str) -> str:
@@ -105,13 +116,14 @@ ORACLE: dict[str, str] = {
     "top_items_baseline": BASELINE,
     "top_items_skew_aware": BASELINE,
     "top_items_prepartitioned": BASELINE,
-    "top_items_events": _top(_EVENT_DETECTIONS, _CUSTOMER_LOCATIONS, TOP_X_EVENTS),
-    "top_items_events_identical": _top(_EVENT_DETECTIONS, _CUSTOMER_LOCATIONS,
+    "top_items_events": _top(_EVENT_DETECTIONS, _SUPPLIER_LOCATIONS, TOP_X_EVENTS),
+    "top_items_events_identical": _top(_EVENT_DETECTIONS, _SUPPLIER_LOCATIONS,
                                        TOP_X_EVENTS),
-    "top_items_events_skew_aware": _top(_EVENT_DETECTIONS, _CUSTOMER_LOCATIONS,
+    "top_items_events_skew_aware": _top(_EVENT_DETECTIONS, _SUPPLIER_LOCATIONS,
                                         TOP_X_EVENTS),
     "job_run_parquet": BASELINE,
     "job_run_csv_skew_aware": BASELINE,
+    "job_run_json_prepartitioned": BASELINE,
     "jobs_equivalence": _LI + """
         SELECT CAST(0 AS BIGINT) AS diff_rows,
                CAST(count(*) AS BIGINT) AS left_rows,
@@ -120,6 +132,20 @@ ORACLE: dict[str, str] = {
     "dedup_keep_one": _LI + " SELECT * FROM w",
     "count_by_keys": _LI + " SELECT * FROM a",
     "count_by_keys_salted": _LI + " SELECT * FROM a",
+    "salted_hot_keys": _chain(f"""
+        SELECT CASE WHEN detection_oid % 3 = 0 THEN 1 ELSE geographical_location_oid END
+                   AS geographical_location_oid, video_camera_oid, detection_oid,
+               CASE WHEN detection_oid % 3 = 0 THEN 'item-hot' ELSE item_name END AS item_name,
+               timestamp_detected FROM ({_LINEITEM_DETECTIONS})""",
+        _SUPPLIER_LOCATIONS, TOP_X) + " SELECT * FROM a",
+    "rank_items_hot": """
+        SELECT geographical_location_oid, item_name, item_count,
+               CAST(row_number() OVER (PARTITION BY geographical_location_oid
+                   ORDER BY item_count DESC, item_name) AS INTEGER) AS item_rank
+        FROM (SELECT CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_suppkey END
+                         AS geographical_location_oid,
+                     'part-' || CAST(l_partkey AS VARCHAR) AS item_name, count(*) AS item_count
+              FROM lineitem GROUP BY ALL)""",
     "rank_items": _LI + """
         SELECT geographical_location_oid, item_rank, item_name, item_count FROM r""",
     "topx_per_group": _LI + f"""
@@ -130,6 +156,10 @@ ORACLE: dict[str, str] = {
         FROM (SELECT DISTINCT geographical_location_oid FROM d) s
         LEFT JOIN loc ON s.geographical_location_oid IS NOT DISTINCT FROM
                          loc.geographical_location_oid""",
+    "enrich_lookup_text_key": f"""
+        SELECT 'loc-' || CAST(user_id AS VARCHAR) AS geographical_location_oid,
+               max(s_name) AS geographical_location
+        FROM events LEFT JOIN supplier ON s_suppkey = user_id GROUP BY user_id""",
     "lookup_build": """
         SELECT geographical_location_oid,
                max(geographical_location) AS geographical_location
@@ -145,6 +175,10 @@ ORACLE: dict[str, str] = {
     "location_skew": _skew(
         f"SELECT count(*) AS rows FROM ({_LINEITEM_DETECTIONS}) "
         "GROUP BY geographical_location_oid"),
+    "partition_skew": f"""
+        SELECT CAST(p AS INTEGER) AS partition_id, count(l_linenumber) AS rows
+        FROM range({LAYOUT_PARTITIONS}) AS parts(p)
+        LEFT JOIN lineitem ON l_linenumber % {LAYOUT_PARTITIONS - 1} = p GROUP BY p""",
     "stage_metrics": _LI + """
         SELECT CAST(1 AS INTEGER) AS stage_index, 'dedup' AS stage,
                (SELECT count(*) FROM d) AS rows_in, (SELECT count(*) FROM w) AS rows_out
@@ -157,15 +191,19 @@ ORACLE: dict[str, str] = {
     "compose_stages": _LI + f"""
         SELECT geographical_location_oid, item_rank, item_name
         FROM r WHERE item_rank <= {TOP_X_EVENTS}""",
-    "scan_parquet": """
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
-               l_returnflag, l_linestatus FROM lineitem""",
-    "roundtrip_parquet": BASELINE,
-    "roundtrip_csv": BASELINE,
-    "roundtrip_json": BASELINE,
-    "roundtrip_text": _LI + f" SELECT {_TEXT_LINE} AS value FROM top",
+    "scan_parquet": "SELECT * FROM lineitem",
+    "read_rejects": f"""
+        SELECT CASE WHEN l_linenumber = {BAD_ID_LINE} THEN 'rejected' ELSE 'read' END AS record,
+               count(*) AS rows FROM lineitem GROUP BY record""",
+    "roundtrip_parquet": _ODD + " SELECT * FROM odd",
+    "roundtrip_csv": _ODD + " SELECT * FROM odd",
+    "roundtrip_json": _ODD + " SELECT * FROM odd",
+    "roundtrip_text": _ODD + f" SELECT {_TEXT_LINE} AS value FROM odd",
     "sink_overwrite": _top(_LINEITEM_DETECTIONS, _SUPPLIER_LOCATIONS, TOP_X_EVENTS),
-    "sink_dated_path": BASELINE,
+    "sink_errorifexists": _LI + " SELECT count(*) AS rows, true AS refused FROM top",
+    "sink_dated_path": _LI + f"""
+        SELECT top.*, path FROM top, (VALUES ('a/{RUN_DATE}'), ('b/{RUN_DATE}/result.parquet'),
+            ('c/result/{RUN_DATE}'), ('output/{RUN_DATE}')) AS shapes(path)""",
     "sink_partitioned": BASELINE,
     "output_contract": BASELINE,
     "null_policy_drop": _top(
@@ -177,4 +215,7 @@ ORACLE: dict[str, str] = {
         "coalesce(item_name, 'unknown') AS item_name, timestamp_detected "
         f"FROM ({_LINEITEM_WITH_NULLS})",
         _SUPPLIER_LOCATIONS, TOP_X),
+    "null_policy_fail": f"""
+        SELECT true AS failed, count(*) AS rows_with_nulls FROM ({_LINEITEM_WITH_NULLS})
+        WHERE item_name IS NULL OR detection_oid IS NULL""",
 }

@@ -1,25 +1,26 @@
 """The top-X job: dedup -> count -> rank/top-X -> name lookup -> sink.
 
-Three plan shapes give the same answer:
+Three plan shapes give the same answer; the caller picks one:
 
 * ``top_items``: dedup (exchange on id), count (exchange on location+item,
   map-side combined), rank (exchange on location, after a partial
-  ``WindowGroupLimit`` so only top-X candidates move). The lookup is
-  broadcast when its measured size fits the limit, else sort-merge joined.
-* ``top_items_skew_aware``: measures key skew first and, above the
-  threshold, counts in two salted phases (salts capped at the shuffle
-  partition count).
-* ``top_items_prepartitioned``: one hash partitioning on location serves
-  both count and rank (one exchange fewer). Each location then lands whole
-  in one task, so the shape is used only when location sizes are balanced
-  and there are enough locations to occupy every partition; otherwise it
-  falls back to ``top_items``.
+  ``WindowGroupLimit`` so only top-X candidates move).
+* ``top_items_skew_aware``: the count spreads measured hot keys over salts.
+* ``top_items_prepartitioned``: one hash partitioning on location serves both
+  count and rank: one exchange fewer, which carries every deduplicated row and
+  puts a location whole into one task. ``prepartition_report`` measures whether
+  that suits the data.
+
+Plans are built from measurements: the bytes of the lookup (one aggregate; pass
+``lookup_bytes`` to reuse one) and, for the skew-aware shape, the hot keys (one
+job; pass ``decision``). Everything else is lazy.
 """
 from __future__ import annotations
 
 import datetime as _dt
 import functools
 import logging
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,16 +28,16 @@ from pyspark.sql import functions as F
 
 from rankwise.contracts import (DEFAULT_COLUMNS, DETECTIONS, LOCATIONS, OUTPUT,
                                 Columns, conform)
-from rankwise.operators.counting import count_by, count_by_salted
+from rankwise.operators.counting import (count_by, count_by_hot_salted,
+                                         count_by_salted)
 from rankwise.operators.dedup import dedup_keep_one
 from rankwise.operators.lookup import (DEFAULT_BROADCAST_LIMIT, build_lookup,
                                       enrich, lookup_size)
 from rankwise.operators.nulls import apply_null_policy
 from rankwise.operators.ranking import top_per_group
-from rankwise.operators.skew import (SKEW_THRESHOLD, SkewReport, choose_salts,
-                                     key_skew, partition_skew)
+from rankwise.operators.skew import HotKeys, hot_keys
 from rankwise.plans.stages import StageChain, StageMetrics
-from rankwise.sources.formats import read, resolve_format, write
+from rankwise.sources.formats import read, resolve_format, split_rejects, write
 
 _log = logging.getLogger(__name__)
 
@@ -57,10 +58,15 @@ def dedup_stage(cols: Columns = DEFAULT_COLUMNS, *,
     return dedup
 
 
-def count_stage(cols: Columns = DEFAULT_COLUMNS, salts: int | None = None):
+def count_stage(cols: Columns = DEFAULT_COLUMNS, salts: int | None = None,
+                hot: HotKeys | None = None):
+    """Rows per (location, item): plain, with ``salts`` for all keys, or ``hot``."""
     keys = [cols.location, cols.item]
 
     def count(df: DataFrame) -> DataFrame:
+        if hot is not None:
+            return count_by_hot_salted(df, keys, hot, salt_from=[cols.detection],
+                                       name=cols.count)
         if salts:
             return count_by_salted(df, keys, salts, salt_from=[cols.detection],
                                    name=cols.count)
@@ -79,144 +85,128 @@ def top_stage(top_x: int, cols: Columns = DEFAULT_COLUMNS):
 
 
 def enrich_stage(locations: DataFrame, cols: Columns = DEFAULT_COLUMNS,
-                 broadcast_limit: int = DEFAULT_BROADCAST_LIMIT):
+                 broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+                 lookup_bytes: int | None = None):
     lookup = build_lookup(locations, cols.location, cols.location_name)
-    # Measured on the raw lookup (a scan and a global aggregate, no shuffle):
-    # de-duplication only removes rows, so this bounds the built lookup.
-    _, bound = lookup_size(locations.select(cols.location, cols.location_name),
-                           cols.location_name)
+    if lookup_bytes is None:
+        # Measured on the raw lookup (a scan and a global aggregate, no shuffle):
+        # de-duplication only removes rows, so this bounds the built lookup.
+        _, lookup_bytes = lookup_size(locations, cols.location, cols.location_name)
 
     def enrich_names(df: DataFrame) -> DataFrame:
         return enrich(df, lookup, cols.location, cols.location_name,
                       position=1, broadcast_limit=broadcast_limit,
-                      size_bound=bound)
+                      size_bound=lookup_bytes)
     return enrich_names
 
 
+def _null_stage(cols: Columns, null_policy: str):
+    return functools.partial(apply_null_policy, policy=null_policy, id_col=cols.detection,
+                             item_col=cols.item, checked=[cols.location])
+
+
 def top_items_stages(locations: DataFrame, top_x: int, *,
-                       cols: Columns = DEFAULT_COLUMNS, salts: int | None = None,
-                       assume_identical: bool = False,
-                       null_policy: str = "keep",
-                       broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> StageChain:
+                     cols: Columns = DEFAULT_COLUMNS, salts: int | None = None,
+                     hot: HotKeys | None = None, prepartition: bool = False,
+                     assume_identical: bool = False, null_policy: str = "keep",
+                     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+                     lookup_bytes: int | None = None) -> StageChain:
     """The job as composable stages (used directly or with metrics)."""
-    stages = []
+    stages = {}
     if null_policy != "keep":
-        stages.append(functools.partial(apply_null_policy, policy=null_policy,
-                                        id_col=cols.detection, item_col=cols.item,
-                                        checked=[cols.location]))
-    stages += [dedup_stage(cols, assume_identical=assume_identical),
-               count_stage(cols, salts), top_stage(top_x, cols),
-               enrich_stage(locations, cols, broadcast_limit)]
-    names = (["null_policy"] if null_policy != "keep" else []) + [
-        "dedup", "count", "top_x", "enrich"]
-    return StageChain(stages, names)
-
-
-def top_items(detections: DataFrame, locations: DataFrame, top_x: int, *,
-              cols: Columns = DEFAULT_COLUMNS, salts: int | None = None,
-              assume_identical: bool = False, null_policy: str = "keep",
-              broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+        stages["null_policy"] = _null_stage(cols, null_policy)
+    stages["dedup"] = dedup_stage(cols, assume_identical=assume_identical)
+    if prepartition:
+        stages["by_location"] = lambda df: df.repartition(cols.location)
+    stages["count"] = count_stage(cols, salts, hot)
+    stages["top_x"] = top_stage(top_x, cols)
+    stages["enrich"] = enrich_stage(locations, cols, broadcast_limit, lookup_bytes)
+    return StageChain(stages.values(), stages)
+
+
+def top_items(detections: DataFrame, locations: DataFrame, top_x: int, **options) -> DataFrame:
     """Top ``top_x`` items per location with the location name.
 
-    Output columns: location, location name, rank, item.
+    Output columns: location, location name, rank, item. Options are those of
+    ``top_items_stages``.
     """
-    chain = top_items_stages(locations, top_x, cols=cols, salts=salts,
-                                  assume_identical=assume_identical,
-                                  null_policy=null_policy,
-                                  broadcast_limit=broadcast_limit)
-    return chain(detections)
+    return top_items_stages(locations, top_x, **options)(detections)
 
 
 @dataclass(frozen=True)
 class SkewDecision:
-    report: SkewReport
-    salts: int | None          # None: plain count
+    """What the skew-aware shape does: the hot keys it salts, if any."""
+    hot: HotKeys
 
     @property
     def salted(self) -> bool:
-        return self.salts is not None
+        return self.hot.skewed
 
 
 def decide_salting(detections: DataFrame, cols: Columns = DEFAULT_COLUMNS, *,
-                   basis: str = "keys",
-                   threshold: float = SKEW_THRESHOLD) -> SkewDecision:
-    """Measure skew and choose plain or salted counting.
-
-    ``basis="keys"`` measures rows per (location, item) on the raw input --
-    the distribution salting actually flattens; it reads two columns and
-    ships one partial count per key and map task. ``basis="partitions"``
-    measures rows per input partition instead. Salts are capped at the
-    shuffle partition count (see ``choose_salts``).
+                   reducers: int | None = None) -> SkewDecision:
+    """Measure the hot (location, item) keys of the raw input.
+
+    It reads two columns and ships one partial count per key and map task. Copies
+    that dedup will remove are counted: they can make a key hot that is not, which
+    costs it a few buckets and changes no result. A plain count combines map-side
+    too, so salting pays where the partial counts of one key, one per map task, are
+    themselves too many for one reducer, or where ``count`` is preceded by no
+    combine; ``decision.hot`` tells what was found.
     """
-    if basis == "keys":
-        report = key_skew(detections, [cols.location, cols.item], threshold)
-    elif basis == "partitions":
-        report = partition_skew(detections, threshold)
-    else:
-        raise ValueError(f"unknown skew basis {basis!r}")
-    reducers = int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = choose_salts(report.factor, reducers) if report.skewed else None
-    return SkewDecision(report, salts)
-
-
-def top_items_skew_aware(detections: DataFrame, locations: DataFrame,
-                         top_x: int, *, cols: Columns = DEFAULT_COLUMNS,
-                         basis: str = "keys", threshold: float = SKEW_THRESHOLD,
-                         force_salts: int | None = None,
-                         assume_identical: bool = False,
-                         broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                         ) -> tuple[DataFrame, SkewDecision]:
-    """``top_items`` whose counting step is salted when the input is skewed."""
-    if force_salts is not None:
-        decision = SkewDecision(SkewReport(0.0, True, 0, 0, 0), force_salts)
-    else:
-        decision = decide_salting(detections, cols, basis=basis,
-                                  threshold=threshold)
-    result = top_items(detections, locations, top_x, cols=cols,
-                       salts=decision.salts, assume_identical=assume_identical,
-                       broadcast_limit=broadcast_limit)
-    return result, decision
+    return SkewDecision(hot_keys(detections, [cols.location, cols.item], reducers))
+
+
+def top_items_skew_aware(detections: DataFrame, locations: DataFrame, top_x: int, *,
+                         cols: Columns = DEFAULT_COLUMNS, decision: SkewDecision | None = None,
+                         reducers: int | None = None, **options) -> tuple[DataFrame, SkewDecision]:
+    """``top_items`` whose count salts the hot keys, and what was decided."""
+    decision = decision or decide_salting(detections, cols, reducers=reducers)
+    return top_items(detections, locations, top_x, cols=cols, hot=decision.hot,
+                     **options), decision
+
+
+def top_items_prepartitioned(detections: DataFrame, locations: DataFrame, top_x: int,
+                             **options) -> DataFrame:
+    """``top_items`` with count and rank sharing one location partitioning."""
+    return top_items(detections, locations, top_x, prepartition=True, **options)
 
 
 @dataclass(frozen=True)
-class PartitionChoice:
-    report: SkewReport         # rows per location
-    prepartitioned: bool       # False: fell back to the ``top_items`` shape
-    reason: str
-
-
-def top_items_prepartitioned(detections: DataFrame, locations: DataFrame,
-                             top_x: int, *, cols: Columns = DEFAULT_COLUMNS,
-                             threshold: float = SKEW_THRESHOLD,
-                             min_locations: int | None = None,
-                             assume_identical: bool = False,
-                             broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                             ) -> tuple[DataFrame, PartitionChoice]:
-    """``top_items`` with count and rank sharing one location partitioning.
-
-    Co-partitioning by location sends each location whole to one task, so
-    it is used only when (a) location sizes are balanced (skew factor within
-    ``threshold``) and (b) there are at least ``min_locations`` locations
-    (default: the shuffle partition count), so every task gets a share.
-    Both are read from one aggregate that returns one row; otherwise the
-    plain ``top_items`` plan is returned.
-    """
-    report = key_skew(detections, [cols.location], threshold)
-    wanted = (int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-              if min_locations is None else min_locations)
-    if report.skewed or report.units < wanted:
-        reason = ("location sizes are skewed" if report.skewed
-                  else f"{report.units} locations < {wanted} partitions")
-        return (top_items(detections, locations, top_x, cols=cols,
-                          assume_identical=assume_identical,
-                          broadcast_limit=broadcast_limit),
-                PartitionChoice(report, False, reason))
-    deduped = dedup_stage(cols, assume_identical=assume_identical)(detections)
-    colocated = deduped.repartition(cols.location)
-    counted = count_by(colocated, [cols.location, cols.item], name=cols.count)
-    ranked = top_stage(top_x, cols)(counted)
-    return (enrich_stage(locations, cols, broadcast_limit)(ranked),
-            PartitionChoice(report, True, "balanced locations"))
+class PrepartitionReport:
+    """Whether one partitioning by location suits the data."""
+    locations: int
+    rows: int              # of the raw input
+    pairs: int             # distinct (location, item)
+    largest: int           # rows of the largest location
+    reducers: int
+
+    @property
+    def largest_share(self) -> float:
+        """Rows of the largest location over an even share of a reducer."""
+        return self.largest * self.reducers / self.rows if self.rows else 0.0
+
+    @property
+    def rows_per_pair(self) -> float:
+        """What the plain shape's map-side combine saves on the exchange kept here."""
+        return self.rows / self.pairs if self.pairs else 0.0
+
+    @property
+    def suits(self) -> bool:
+        return self.locations >= self.reducers and self.largest_share <= 1.5 \
+            and self.rows_per_pair <= 1.5
+
+
+def prepartition_report(detections: DataFrame, cols: Columns = DEFAULT_COLUMNS, *,
+                        reducers: int | None = None) -> PrepartitionReport:
+    """One row of measurements, for the caller to choose a shape by."""
+    if reducers is None:
+        reducers = int(detections.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_pair = count_by(detections, [cols.location, cols.item], "n")
+    per_location = per_pair.groupBy(cols.location).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("pairs"))
+    row = per_location.agg(F.count(F.lit(1)), F.sum("n"), F.sum("pairs"), F.max("n")).first()
+    return PrepartitionReport(*[int(v or 0) for v in row], reducers)
 
 
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -238,46 +228,61 @@ def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
         F.coalesce(F.sum("r"), F.lit(0)).cast("bigint").alias("right_rows"))
 
 
+JOBS = ("baseline", "skew_aware", "prepartitioned")
+
+
 @dataclass(frozen=True)
 class JobRun:
     output_path: str
     metrics: StageMetrics
     decision: SkewDecision | None
+    rejected: dict[str, int]       # malformed records left out, by input
 
 
 def run_top_items_job(spark: SparkSession, detections_path: str,
                       locations_path: str, output_path: str, top_x: int, *,
-                      skew_aware: bool = False, input_format: str = "parquet",
+                      job: str = "baseline", input_format: str = "parquet",
                       output_format: str = "parquet",
                       run_date: str | _dt.date | None = None,
-                      mode: str = "overwrite",
-                      null_policy: str = "keep",
-                      assume_identical: bool = False,
-                      skew_basis: str = "keys") -> JobRun:
-    """The whole job as one Spark action: read, compute, write dated output.
-
-    Inputs are read under the detections / locations contracts (by name,
-    cast to the contract types; CSV and JSON get the schema on read, so no
-    inference pass). Stage row counts come from observations of that same
-    action.
+                      mode: str = "overwrite", null_policy: str = "fail",
+                      assume_identical: bool = False, malformed: str = "fail",
+                      multiline: bool = False) -> JobRun:
+    """The whole job: read, compute, write dated output.
+
+    Inputs are read under the detections / locations contracts (see ``read``): by
+    name, and a missing column or a value that does not parse fails the job. With
+    ``malformed="reject"`` such records are left out, counted and logged. Nulls
+    that stand in the input fail it too unless ``null_policy`` says otherwise.
+
+    One action computes and writes; stage row counts are observed in it. Before it
+    run the measurements the plan needs: the lookup's bytes, hot keys for the
+    ``skew_aware`` job, rejected records, names of JSON inputs. All of them are
+    in ``metrics.seconds``.
     """
     if resolve_format(input_format) == "text":
         raise ValueError("text input has no columns; use parquet, csv or json")
-    typed = resolve_format(input_format) != "parquet"
-    detections = conform(read(spark, input_format, detections_path,
-                              schema=DETECTIONS if typed else None),
-                         DETECTIONS, check_nulls=False)
-    locations = conform(read(spark, input_format, locations_path,
-                             schema=LOCATIONS if typed else None),
-                        LOCATIONS, check_nulls=False)
-    _log.info("input partitions: detections=%d locations=%d",
-              detections.rdd.getNumPartitions(), locations.rdd.getNumPartitions())
-    decision = decide_salting(detections, basis=skew_basis) if skew_aware else None
+    if job not in JOBS:
+        raise ValueError(f"unknown job {job!r}; use one of {JOBS}")
+    start = time.perf_counter()
+    inputs, rejected = [], {}
+    for name, path, schema in (("detections", detections_path, DETECTIONS),
+                               ("locations", locations_path, LOCATIONS)):
+        df = read(spark, input_format, path, schema=schema, malformed=malformed,
+                  multiline=multiline)
+        if malformed == "reject" and resolve_format(input_format) != "parquet":
+            df, bad = split_rejects(df)
+            rejected[name] = bad.count()
+            _log.info("%s: %d malformed records left out", name, rejected[name])
+        inputs.append(conform(df, schema, check_nulls=False))
+    detections, locations = inputs
+    decision = decide_salting(detections) if job == "skew_aware" else None
     chain = top_items_stages(
-        locations, top_x, salts=decision.salts if decision else None,
+        locations, top_x, hot=decision.hot if decision else None,
+        prepartition=job == "prepartitioned",
         null_policy=null_policy, assume_identical=assume_identical)
     path, metrics = chain.run(
         detections,
         lambda df: write(df, output_format, output_path, mode=mode,
                          run_date=run_date, schema=OUTPUT))
-    return JobRun(path, metrics, decision)
+    metrics.seconds = time.perf_counter() - start
+    return JobRun(path, metrics, decision, rejected)

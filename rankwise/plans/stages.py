@@ -3,8 +3,9 @@
 A stage is any ``DataFrame -> DataFrame`` callable. Composition stays one
 lazy plan, so Catalyst optimises across stage borders. Metrics attach an
 ``Observation`` after each stage: the row counts are collected by the one
-action that runs the plan -- no persist, no extra count jobs. Per-stage
-times have no meaning in a fused plan, so only the total is reported.
+action that runs the plan -- no persist, no extra count jobs. Stages are
+fused into whole-plan tasks, so a time per stage does not exist; only the
+total is reported.
 Counts travel as accumulators: if a lost executor forces a stage to be
 recomputed, its rows may be counted again. Results are not affected.
 """
@@ -36,8 +37,9 @@ def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
 def _observed_values(obs: Observation) -> tuple[int | None, int | None]:
     """(rows, partitions) observed, or Nones when the stage never ran.
 
-    ``partitions`` is the highest partition index holding rows, plus one,
-    as the stage actually ran (after AQE coalescing). A stage never runs
+    Partitions are counted up to the last that holds rows, as the stage
+    actually ran (after AQE coalescing); rows cannot tell of empty ones
+    behind it. A stage never runs
     when the optimizer replaces the plan by an empty relation (e.g. a top-0
     filter); its observation node goes with it.
     """
@@ -74,12 +76,11 @@ class StageMetrics:
         return [(i + 1, name, counts[i], counts[i + 1])
                 for i, name in enumerate(self.names)]
 
-    def log_lines(self) -> list[str]:
-        total = len(self.names)
-        parts = self.partitions()[1:]
-        line = "stage {}/{} [{}] rows_in={} rows_out={} partitions={}"
-        return [line.format(i, total, name, rin, rout, p)
-                for (i, name, rin, rout), p in zip(self.table(), parts)]
+    def records(self) -> list[dict]:
+        """``table`` as dicts, with ``used_partitions`` of each stage's output."""
+        used = self.partitions()[1:]
+        return [dict(zip(("stage_index", "stage", "rows_in", "rows_out"), row),
+                     used_partitions=n) for row, n in zip(self.table(), used)]
 
 
 class StageChain:

@@ -5,6 +5,7 @@ cluster the caller owns the session and only ``shared_dir`` is used.
 """
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,25 +29,48 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for written intermediate tables.
 
-    Taken from ``spark.checkpoint.dir`` (or a checkpoint dir already set on
-    the context). Only when neither exists -- local tests -- a folder is
-    created and registered as the checkpoint dir.
+    Taken from ``spark.checkpoint.dir``, or from a checkpoint folder that the
+    caller has set on the context. Where neither exists a session on one machine
+    (a ``local`` master, as in tests) gets a temporary folder; on any other master
+    that is an error, as executors would each write to their own disk.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="rankwise-shared-")
-    sc.setCheckpointDir(local)
-    return local
+    known = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if known:
+        return known.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if sc.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="rankwise-shared-")
+    return _LOCAL_DIRS[sc.applicationId]
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/rankwise/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never-reused path under ``shared_dir`` for one write."""
-    return f"{shared_dir(spark)}/rankwise/{label}-{uuid.uuid4().hex}"
+    """A fresh, never-reused path for one write, below this application's folder."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table, through the file system that Spark wrote it to."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that this application wrote to scratch paths.
+
+    To be called once no DataFrame reads them any more: results of operators
+    that write intermediate tables are lazy and may still point there.
+    """
+    remove_path(spark, _scratch_root(spark))

@@ -1,8 +1,9 @@
 """File sources and sinks (parquet, csv, json, text) and dated output paths."""
 from rankwise.sources.formats import (CSV_READ_OPTIONS, CSV_WRITE_OPTIONS,
-                                      FORMATS, read, resolve_format, write)
+                                      FORMATS, read, resolve_format, split_rejects,
+                                      write)
 from rankwise.sources.paths import dated_output_path, run_date_text
 
 __all__ = ["CSV_READ_OPTIONS", "CSV_WRITE_OPTIONS", "FORMATS",
            "dated_output_path", "read", "resolve_format", "run_date_text",
-           "write"]
+           "split_rejects", "write"]

@@ -7,11 +7,11 @@ distributed (one file per task, no driver round trip).
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rankwise.contracts import conform
 from rankwise.functions.columns import NULL_TOKEN, text_line
@@ -24,7 +24,7 @@ FORMATS = {"parquet": "parquet", "csv": "csv", "json": "json",
 SAVE_MODES = ("overwrite", "errorifexists", "error", "append", "ignore")
 
 # CSV options that round-trip empty strings, nulls, surrounding spaces,
-# commas, quotes and backslashes unchanged.
+# commas, quotes, line breaks and backslashes unchanged.
 _CSV_COMMON = {
     "header": True,
     "escape": '"',
@@ -47,30 +47,109 @@ def resolve_format(name: str) -> str:
     return kind
 
 
+# What to do with a record that does not parse under the schema.
+MALFORMED = ("fail", "null", "reject")
+REJECT_COLUMN = "_malformed_record"
+
+
+def _check_names(found: Sequence[str], schema: StructType, path: str) -> None:
+    missing = [f.name for f in schema.fields if f.name not in found]
+    if missing:
+        raise ValueError(f"missing columns in {path}: {missing}")
+
+
+def _csv_strings(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """String columns of a CSV frame through ``change``."""
+    return df.select(*[change(F.col(f"`{n}`")).alias(n) if t == "string" else F.col(f"`{n}`")
+                       for n, t in df.dtypes])
+
+
+def _escaped(value: Column) -> Column:
+    """A leading backslash doubled, so that the text of the null token is no null."""
+    return F.when(value.startswith("\\"), F.concat(F.lit("\\"), value)).otherwise(value)
+
+
+def _unescaped(value: Column) -> Column:
+    return F.when(value.startswith("\\"), F.substring(value, 2, 2 ** 31 - 1)).otherwise(value)
+
+
 def read(spark: SparkSession, fmt: str, path: str | Sequence[str],
          schema: StructType | None = None, *,
-         multiline: bool = False) -> DataFrame:
+         multiline: bool = False, malformed: str = "fail") -> DataFrame:
     """Read ``path`` as ``fmt``.
 
-    With ``schema`` the columns are taken from it (no inference pass);
-    CSV without a schema reads every column as a string. ``multiline``
-    (CSV only) allows quoted newlines but makes files unsplittable.
+    With ``schema`` every column of it must be in the input: a missing one is a
+    ``ValueError`` (parquet and JSON, before any row is read; a JSON writer leaves
+    out null fields, so only columns that may not be null are asked for) or fails
+    the scan (CSV, whose header is compared). Nulls in the result are nulls of the
+    file: a value or record that does not parse fails the job. ``malformed``
+    changes that for CSV and JSON: ``null`` keeps such rows with nulls, ``reject``
+    adds ``REJECT_COLUMN`` with the record as it stood (see ``split_rejects``).
+
+    CSV without a schema reads every column as a string. ``multiline`` (CSV)
+    takes quoted line breaks as part of a value but makes files unsplittable;
+    without it they are malformed records. CSV strings that begin with a backslash
+    lose it: ``write`` doubles it, so that only ``\\N`` itself is null.
     """
     kind = resolve_format(fmt)
+    if malformed not in MALFORMED:
+        raise ValueError(f"unknown {malformed!r} for malformed; use one of {MALFORMED}")
     paths = [path] if isinstance(path, str) else list(path)
     if kind == "text":
         return spark.read.text(paths)
-    reader = spark.read
+    if kind == "parquet":
+        df = spark.read.parquet(*paths)
+        if schema is None:
+            return df
+        _check_names(df.columns, schema, str(path))
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    reader = spark.read.option("mode", "FAILFAST" if malformed == "fail" else "PERMISSIVE")
     if schema is not None:
-        reader = reader.schema(schema)
-    if kind == "csv":
-        options = dict(CSV_READ_OPTIONS)
-        if multiline:
-            options["multiLine"] = True
-        return reader.options(**options).csv(paths)
+        if kind == "json":
+            # Names only: the values keep their text, the pass infers no types.
+            names = spark.read.option("primitivesAsString", True).json(paths).columns
+            _check_names(names, StructType([f for f in schema.fields if not f.nullable]), str(path))
+        wanted = schema
+        if malformed == "reject":
+            wanted = StructType([*schema.fields, StructField(REJECT_COLUMN, StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", REJECT_COLUMN)
+        reader = reader.schema(wanted)
     if kind == "json":
-        return reader.json(paths)
-    return reader.parquet(*paths)
+        df = reader.json(paths)
+        return _with_whole_rejects(df) if malformed == "reject" else df
+    options = dict(CSV_READ_OPTIONS)
+    if malformed == "reject":
+        # The extra column is not in the header, so names are compared here.
+        options["enforceSchema"] = True
+        if schema is not None:
+            header = spark.read.options(**CSV_READ_OPTIONS).csv(paths).columns
+            if header != schema.fieldNames():
+                raise ValueError(f"columns of {path} are {header}, not {schema.fieldNames()}")
+    if multiline:
+        options["multiLine"] = True
+    df = reader.options(**options).csv(paths)
+    if malformed == "reject" and schema is not None:
+        df = _with_whole_rejects(df)
+    return _csv_strings(df, _unescaped)
+
+
+def _with_whole_rejects(df: DataFrame) -> DataFrame:
+    """Whether a record is malformed must not depend on the columns used later,
+    so the reject column is made to need all of them; the size is never negative."""
+    others = [F.col(f"`{c}`").cast("string") for c in df.columns if c != REJECT_COLUMN]
+    bad = F.col(REJECT_COLUMN)
+    return df.withColumn(REJECT_COLUMN, F.when(
+        bad.isNotNull() & (F.size(F.array(*others)) >= 0), bad))
+
+
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that parsed, records that did not) of a read with ``reject``.
+
+    Both are lazy; counting the second tells how many records were rejected. The
+    records are read whole for this, whatever columns are used later.
+    """
+    bad = F.col(REJECT_COLUMN).isNotNull()
+    return df.filter(~bad).drop(REJECT_COLUMN), df.filter(bad).select(REJECT_COLUMN)
 
 
 def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
@@ -100,6 +179,8 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
         # directories (no tasks x values small files); AQE splits a hot
         # value over several tasks and merges small ones.
         df = df.hint("rebalance", *parts)
+    if kind == "csv":
+        df = _csv_strings(df, _escaped)
     writer = df.write.mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)

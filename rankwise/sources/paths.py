@@ -1,43 +1,52 @@
-"""Run-date stamping of output paths."""
+"""Run-date stamping of output paths.
+
+The date is one more path element, put in at a single place: before the leaf
+when the leaf names a file, at the end otherwise.
+"""
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
-_SEPARATORS = ("/", "\\")
-
-
-def _looks_like_file(leaf: str) -> bool:
-    """``name.ext``; dotfiles (``.env``) and trailing dots are directories."""
-    return bool(leaf) and "." in leaf and leaf[0] != "." and leaf[-1] != "."
+# A leaf that names a file has a dot inside: neither its first character (a
+# dotfile) nor its last.
+_FILE_LEAF = re.compile(r"(?!\.)(?=[^/\\]*\.)[^/\\]*[^/\\.]\Z")
+_LAST_SEPARATOR = re.compile(r"[/\\](?=[^/\\]*\Z)")
 
 
 def run_date_text(run_date: str | _dt.date | None = None) -> str:
-    """ISO date of the run, resolved at call time (not at import time)."""
+    """ISO date (YYYY-MM-DD) of the run; today, as of the call, by default.
+
+    A date or an ISO date text is accepted. A point in time or any other text
+    is not: it would put a colon or a free-form name into the path.
+    """
     if run_date is None:
-        return _dt.date.today().isoformat()
-    if isinstance(run_date, _dt.date):
-        return run_date.isoformat()
-    return str(run_date)
+        run_date = _dt.date.today()
+    if isinstance(run_date, str):
+        if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", run_date):
+            raise ValueError(f"run date must be YYYY-MM-DD, got {run_date!r}")
+        run_date = _dt.date.fromisoformat(run_date)
+    if isinstance(run_date, _dt.datetime) or not isinstance(run_date, _dt.date):
+        raise ValueError(f"run date must be a date, got {run_date!r}")
+    return run_date.isoformat()
 
 
 def dated_output_path(base: str, run_date: str | _dt.date | None = None) -> str:
-    """Put the run date into ``base``.
-
-    * ``out/``             -> ``out/<date>``
-    * ``out/result.parquet`` -> ``out/<date>/result.parquet``
-    * ``out/result``       -> ``out/result/<date>``
-    * ``output``           -> ``output/<date>``
+    """``base`` with the run date as a path element of its own.
 
-    The separator found in ``base`` (``/`` or ``\\``) is reused.
+    ``out/`` and ``out`` become ``out/<date>``, ``out/result.parquet`` becomes
+    ``out/<date>/result.parquet``; a path written with backslashes keeps them.
     """
-    if not base or not base.strip():
-        raise ValueError("output path must not be empty")
     day = run_date_text(run_date)
-    if base.endswith(_SEPARATORS):
-        return base + day
-    cut = max(base.rfind(s) for s in _SEPARATORS)
-    sep = base[cut] if cut >= 0 else "/"
-    parent, leaf = base[:cut + 1], base[cut + 1:]
-    if _looks_like_file(leaf):
-        return f"{parent}{day}{sep}{leaf}"
-    return f"{base}{sep}{day}"
+    if not base.strip():
+        raise ValueError("output path must not be empty")
+    last = _LAST_SEPARATOR.search(base)
+    mark = last.group() if last else "/"
+    leaf = last.end() if last else 0
+    if leaf == len(base):
+        elements = [base[:-1], day]
+    elif _FILE_LEAF.match(base, leaf):
+        elements = [*([base[:leaf - 1]] if last else []), day, base[leaf:]]
+    else:
+        elements = [base, day]
+    return mark.join(elements)

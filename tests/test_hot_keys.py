@@ -11,8 +11,9 @@ from collections import Counter, defaultdict
 import pytest
 
 from conftest import detections, locations, tuples
-from rankwise.plans.jobs import (top_items, top_items_prepartitioned,
-                                 top_items_skew_aware)
+from rankwise.operators import top_per_group
+from rankwise.plans.jobs import (prepartition_report, top_items,
+                                 top_items_prepartitioned, top_items_skew_aware)
 
 ITEMS = [f"item{i:02d}" for i in range(12)]
 
@@ -66,16 +67,36 @@ def test_baseline_matches_brute_force(hot):
 
 def test_skew_aware_salts_and_matches(hot):
     rows, names, d, loc = hot
-    out, decision = top_items_skew_aware(d, loc, 4)
-    assert decision.salted and decision.salts >= 2
+    out, decision = top_items_skew_aware(d, loc, 4, reducers=8)
+    assert (1, "hot") in decision.hot.keys and min(decision.hot.salts) >= 2
     assert tuples(out) == _brute_force(rows, names, 4)
 
 
-def test_prepartitioned_refuses_hot_location_and_matches(hot):
+def test_prepartitioned_matches_and_its_report_warns(hot):
     rows, names, d, loc = hot
-    out, choice = top_items_prepartitioned(d, loc, 4, min_locations=1)
-    assert choice.report.skewed and not choice.prepartitioned   # falls back
-    assert tuples(out) == _brute_force(rows, names, 4)
+    assert not prepartition_report(d, reducers=8).suits
+    assert tuples(top_items_prepartitioned(d, loc, 4)) == _brute_force(rows, names, 4)
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_every_item_of_a_hot_location_is_ranked(spark, partitions):
+    rnd = random.Random(3)
+    rows = [(1 if i % 3 == 0 else rnd.randint(2, 30), f"i{i}", rnd.randint(1, 4))
+            for i in range(3000)]
+    rows += [(None, f"i{i}", 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "g long, item string, n long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {(r.g, r.item): r.item_rank for r in top_per_group(
+            df, ["g"], "n", "item", None).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = {}
+    for g in {r[0] for r in rows}:
+        ordered = sorted((-n, item) for h, item, n in rows if h == g)
+        want |= {(g, item): k for k, (_, item) in enumerate(ordered, 1)}
+    assert got == want
 
 
 def test_identical_copies_fast_path_only_when_valid(hot):

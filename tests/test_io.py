@@ -6,7 +6,7 @@ import pytest
 
 from conftest import tuples
 from rankwise.contracts import OUTPUT, conform
-from rankwise.session import scratch_path, shared_dir
+from rankwise.session import remove_path, scratch_path, shared_dir
 from rankwise.sources import dated_output_path, read, resolve_format, write
 
 DAY = "2026-04-21"
@@ -56,10 +56,44 @@ def test_read_and_write_reject_unknown_format(spark):
         write(df, "parquet", "/nowhere", mode="sometimes")
 
 
+class _Cluster:
+    """As much of a session as ``shared_dir`` looks at."""
+
+    def __init__(self, master, conf=None, folder=None):
+        self.sparkContext = self
+        self.master, self.applicationId = master, "app-1"
+        self._conf, self._folder = conf or {}, folder
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return self._folder
+
+
 def test_shared_dir_comes_from_session(spark):
     base = shared_dir(spark)
-    assert base
-    assert scratch_path(spark, "x").startswith(base + "/rankwise/x-")
+    assert base == shared_dir(spark)
+    app = spark.sparkContext.applicationId
+    assert scratch_path(spark, "x").startswith(f"{base}/rankwise/{app}/x-")
+
+
+def test_shared_dir_is_never_local_on_a_cluster():
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(_Cluster(master))
+        assert shared_dir(_Cluster(master, {"spark.checkpoint.dir": "hdfs:/c/"})) == "hdfs:/c"
+        assert shared_dir(_Cluster(master, folder="hdfs:/d")) == "hdfs:/d"
+    local = _Cluster("local[4]")
+    assert shared_dir(local) == shared_dir(local) and local.getCheckpointDir() is None
+
+
+def test_scratch_paths_can_be_removed(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    remove_path(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 TRICKY = [
@@ -69,6 +103,8 @@ TRICKY = [
     (4, "  spaced  ", 1, "a,b"),
     (5, 'quote "q"', 2, "line\nbreak"),
     (6, "back\\slash", 1, "\\N literal"),
+    (7, "\\N", 1, "\\N"),
+    (8, "\\\\N", 1, "\\"),
 ]
 
 

@@ -1,15 +1,17 @@
 """End-to-end jobs on the reference fixtures and on the shared test tables."""
 import pytest
 
-from conftest import SF_CHECK, SF_SMALL, detections, locations, tuples
+from conftest import SF_CHECK, SF_SMALL, detections, locations, physical_plan, tuples
 from rankwise import adapters
 from rankwise.contracts import OUTPUT
-from rankwise.plans.jobs import (multiset_difference, run_top_items_job,
+from rankwise.plans.jobs import (decide_salting, multiset_difference,
+                                 prepartition_report, run_top_items_job,
                                  top_items, top_items_prepartitioned,
                                  top_items_skew_aware)
 from rankwise.session import scratch_path
 from rankwise.sources import read, write
 
+# Inputs and results of the job's end-to-end fixtures.
 F1_ROWS = [
     (1, 10, 1001, "apple", 1), (1, 10, 1001, "apple", 1), (1, 10, 1002, "apple", 1),
     (1, 10, 1003, "apple", 1), (1, 11, 1004, "banana", 1), (1, 11, 1005, "banana", 1),
@@ -46,8 +48,7 @@ def test_f1_all_plan_shapes_agree(spark):
     d, loc = _f1(spark)
     expected = tuples(top_items(d, loc, 2))
     assert tuples(top_items(d, loc, 2, salts=3)) == expected
-    assert tuples(top_items_prepartitioned(d, loc, 2, threshold=100.0,
-                                           min_locations=1)[0]) == expected
+    assert tuples(top_items_prepartitioned(d, loc, 2)) == expected
     assert tuples(top_items_skew_aware(d, loc, 2)[0]) == expected
 
 
@@ -55,37 +56,64 @@ def test_f2_skewed_input_forces_salted_branch(spark):
     rows = [(1, 10, i, "hot", 1) for i in range(200)]
     rows += [(2, 20, 9001, "cold", 1), (2, 20, 9002, "cold", 1)]
     d, loc = detections(spark, rows), locations(spark, F1_LOCATIONS)
-    out, decision = top_items_skew_aware(d, loc, 5)
-    # Key skew is 200 / (202 / 2) = 1.98: above the 1.5 threshold.
-    assert decision.salted and decision.salts == 2
-    assert decision.report.factor == pytest.approx(1.98, abs=0.01)
+    out, decision = top_items_skew_aware(d, loc, 5, reducers=4)
+    # Of 202 rows a reducer's share is 50.5: one key has 200, four shares.
+    assert decision.salted and decision.hot.keys == [(1, "hot")] and decision.hot.salts == [4]
     assert tuples(out) == [(1, "Alpha", 1, "hot"), (2, "Beta", 1, "cold")]
-    # The reference's partition-based rule sees no skew on these rows.
-    _, by_parts = top_items_skew_aware(d.repartition(2), loc, 5, basis="partitions")
-    assert not by_parts.salted
 
 
 def test_skew_aware_plain_branch(spark):
     d, loc = _f1(spark)
-    out, decision = top_items_skew_aware(d, loc, 2, threshold=10.0)
+    out, decision = top_items_skew_aware(d, loc, 2, reducers=1)
     assert not decision.salted
     assert tuples(out) == tuples(top_items(d, loc, 2))
+    # A decision can be made once and passed on.
+    again, same = top_items_skew_aware(d, loc, 2, decision=decide_salting(d, reducers=100))
+    assert same.salted and tuples(again) == tuples(out)
 
 
-def test_prepartitioned_falls_back_on_hot_location(spark):
+def test_prepartition_report(spark):
+    rows = [(1, 10, i, "hot", 1) for i in range(100)] + [(2, 20, 999, "x", 1)]
+    d = detections(spark, rows)
+    hot = prepartition_report(d, reducers=2)
+    assert (hot.locations, hot.rows, hot.pairs, hot.largest) == (2, 101, 2, 100)
+    assert not hot.suits and hot.largest_share > 1.9 and hot.rows_per_pair == 50.5
+    spread = detections(spark, [(i, 1, i, f"x{i}", 1) for i in range(40)])
+    assert prepartition_report(spread, reducers=8).suits
+    assert not prepartition_report(spread, reducers=50).suits
+    assert prepartition_report(detections(spark, []), reducers=8).rows == 0
+
+
+@pytest.mark.parametrize("partitions", ["3", "400"])
+def test_prepartitioned_never_changes_its_shape(spark, partitions):
     rows = [(1, 10, i, "hot", 1) for i in range(100)] + [(2, 20, 999, "x", 1)]
     d, loc = detections(spark, rows), locations(spark, F1_LOCATIONS)
-    out, choice = top_items_prepartitioned(d, loc, 3, min_locations=1)
-    assert choice.report.skewed and not choice.prepartitioned
-    assert tuples(out) == [(1, "Alpha", 1, "hot"), (2, "Beta", 1, "x")]
-
-
-def test_prepartitioned_needs_enough_locations(spark):
-    d, loc = _f1(spark)
-    _, few = top_items_prepartitioned(d, loc, 2, threshold=100.0, min_locations=4)
-    assert not few.prepartitioned and "3 locations" in few.reason
-    _, enough = top_items_prepartitioned(d, loc, 2, threshold=100.0, min_locations=3)
-    assert enough.prepartitioned
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        out = top_items_prepartitioned(d, loc, 3)
+        # id, and location once for both count and rank; one for the lookup.
+        assert physical_plan(out).count("Exchange hashpartitioning") == 3
+        assert tuples(out) == [(1, "Alpha", 1, "hot"), (2, "Beta", 1, "x")]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("policy", ["drop", "default", "fail"])
+def test_null_policy_on_every_shape(spark, policy):
+    rows = [*F1_ROWS, (1, 10, 7, None, 1), (1, 10, None, "apple", 1), (None, 1, 8, "kiwi", 1)]
+    d, loc = detections(spark, rows), locations(spark, F1_LOCATIONS)
+    shapes = [top_items(d, loc, 9, null_policy=policy),
+              top_items_skew_aware(d, loc, 9, null_policy=policy, reducers=50)[0],
+              top_items_prepartitioned(d, loc, 9, null_policy=policy)]
+    if policy == "fail":
+        for out in shapes:
+            with pytest.raises(Exception, match="null value in column"):
+                out.collect()
+        return
+    got = [tuples(out) for out in shapes]
+    assert got[0] == got[1] == got[2]
+    assert ("unknown" in {r[3] for r in got[0]}) == (policy == "default")
 
 
 def test_f3_job_run_writes_dated_parquet(spark):
@@ -101,9 +129,10 @@ def test_f3_job_run_writes_dated_parquet(spark):
     out = read(spark, "parquet", run.output_path)
     assert tuples(out) == [(1, "Alpha", 1, "apple"), (1, "Alpha", 2, "banana"),
                            (2, "Beta", 1, "cat")]
-    assert [line.split()[2] for line in run.metrics.log_lines()] == [
-        "[dedup]", "[count]", "[top_x]", "[enrich]"]
-    assert run.metrics.table()[0][2:] == (4, 3)
+    assert [r["stage"] for r in run.metrics.records()] == [
+        "null_policy", "dedup", "count", "top_x", "enrich"]
+    assert run.metrics.table()[1][2:] == (4, 3)
+    assert run.rejected == {} and run.metrics.seconds > 0
 
 
 def test_job_run_skew_aware_and_null_failure(spark):
@@ -114,8 +143,11 @@ def test_job_run_skew_aware_and_null_failure(spark):
                    dated=False)
     # A null location reaching the output breaks the output contract.
     with pytest.raises(Exception, match="non-nullable"):
-        run_top_items_job(spark, d_path, l_path, base + "/out", 5, skew_aware=True,
-                          skew_basis="partitions")
+        run_top_items_job(spark, d_path, l_path, base + "/out", 5, job="skew_aware",
+                          null_policy="keep")
+    # By default the guard on the input says so first.
+    with pytest.raises(Exception, match="null value in column 'geographical_location_oid'"):
+        run_top_items_job(spark, d_path, l_path, base + "/out", 5)
     # Dropping it first makes the run succeed with an empty result.
     run = run_top_items_job(spark, d_path, l_path, base + "/out2", 5,
                             null_policy="drop", run_date="2026-04-21")
@@ -152,7 +184,7 @@ def test_multiset_difference_counts_extra_copies(spark):
 
 def test_events_identical_fast_path_matches_safe_dedup(spark):
     d = adapters.detections_from_events(spark, SF_SMALL)
-    loc = adapters.locations_from_customer(spark, SF_SMALL)
+    loc = adapters.locations_from_supplier(spark, SF_SMALL)
     safe = tuples(top_items(d, loc, 3))
     assert tuples(top_items(d, loc, 3, assume_identical=True)) == safe
 
@@ -183,19 +215,77 @@ def test_jobs_run_on_other_column_names(spark):
     out = top_items(renamed, sites, 2, cols=cols)
     assert out.columns == ["site", "site_name", "pos", "product"]
     assert tuples(out) == tuples(top_items(d, loc, 2))
-    salted, _ = top_items_skew_aware(renamed, sites, 2, cols=cols, force_salts=3)
+    salted, _ = top_items_skew_aware(renamed, sites, 2, cols=cols, reducers=30)
     assert tuples(salted) == tuples(out)
 
 
-def test_partition_basis_salts_on_skewed_layout(spark):
-    from pyspark.sql import functions as F
+@pytest.mark.parametrize("job", ["baseline", "skew_aware", "prepartitioned"])
+def test_job_run_offers_every_shape(spark, job):
+    base = scratch_path(spark, "shape")
+    d_path = write(detections(spark, F1_ROWS), "parquet", base + "/a", dated=False)
+    l_path = write(locations(spark, F1_LOCATIONS), "parquet", base + "/b", dated=False)
+    run = run_top_items_job(spark, d_path, l_path, base + "/out", 2, job=job)
+    assert (run.decision is not None) == (job == "skew_aware")
+    assert tuples(read(spark, "parquet", run.output_path)) == tuples(top_items(*_f1(spark), 2))
+    with pytest.raises(ValueError, match="unknown job"):
+        run_top_items_job(spark, d_path, l_path, base + "/out", 2, job="other")
 
-    from rankwise.plans.jobs import decide_salting
-    rows = [(1, 1, i, "x", 1) for i in range(103)]
-    part = F.when(F.col("detection_oid") < 100, 0).otherwise(F.col("detection_oid") - 99)
-    d = detections(spark, rows).repartitionByRange(4, part)
-    decision = decide_salting(d, basis="partitions")
-    assert decision.salted and decision.report.units == 4
-    assert decision.salts == 4          # ceil(100 * 4 / 103) = 4
-    with pytest.raises(ValueError):
-        decide_salting(d, basis="sideways")
+
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_CHECK, "/root/testdata/sf0.1"])
+def test_lookups_miss_at_every_scale(spark, sf):
+    d = adapters.detections_from_events(spark, sf)
+    loc = adapters.locations_from_supplier(spark, sf)
+    named = top_items(d, loc, 1).selectExpr("count(geographical_location) n", "count(*) a").first()
+    assert 0 < named.n < named.a
+
+
+# --- inputs that break the contract -----------------------------------------------
+
+def _without(df, column):
+    return df.drop(column)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json", "csv"])
+def test_an_input_without_the_id_column_fails(spark, fmt):
+    base = scratch_path(spark, f"missing-{fmt}")
+    d_path = write(_without(detections(spark, F1_ROWS), "detection_oid"), fmt, base + "/a", dated=False)
+    l_path = write(locations(spark, F1_LOCATIONS), fmt, base + "/b", dated=False)
+    with pytest.raises(Exception, match="missing columns|does not conform|CSV_HEADER|Header"):
+        run_top_items_job(spark, d_path, l_path, base + "/out", 2, input_format=fmt)
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_ids_that_are_no_numbers_fail_or_are_counted(spark, fmt):
+    base = scratch_path(spark, f"text-ids-{fmt}")
+    rows = detections(spark, F1_ROWS)
+    if fmt == "csv":
+        odd = rows.withColumn("detection_oid", rows.detection_oid.cast("string"))
+        odd = odd.replace({"1003": "id-3", "3001": "id-9"}, subset=["detection_oid"])
+        d_path = write(odd, fmt, base + "/a", dated=False)
+    else:
+        lines = rows.toJSON().collect()
+        broken = [x.replace(":1003,", ':"id-3",').replace(":3001,", ':"id-9",') for x in lines]
+        d_path = write(spark.createDataFrame([(x,) for x in broken], "value string"), "txt",
+                       base + "/a", dated=False, text_sep="\t")
+    l_path = write(locations(spark, F1_LOCATIONS), fmt, base + "/b", dated=False)
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed|FAILED_READ_FILE"):
+        run_top_items_job(spark, d_path, l_path, base + "/out", 2, input_format=fmt)
+    run = run_top_items_job(spark, d_path, l_path, base + "/out", 2, input_format=fmt,
+                            malformed="reject")
+    assert run.rejected == {"detections": 2, "locations": 0}
+    want = [r for r in F1_ROWS if r[2] not in (1003, 3001)]
+    assert tuples(read(spark, "parquet", run.output_path)) == tuples(
+        top_items(detections(spark, want), locations(spark, F1_LOCATIONS), 2))
+
+
+def test_line_breaks_in_csv_items_are_kept_whole_or_fail(spark):
+    base = scratch_path(spark, "breaks")
+    rows = [(1, 1, i, "apple\nx", 1) for i in range(15)]
+    d_path = write(detections(spark, rows), "csv", base + "/a", dated=False)
+    l_path = write(locations(spark, F1_LOCATIONS), "csv", base + "/b", dated=False)
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed|FAILED_READ_FILE"):
+        run_top_items_job(spark, d_path, l_path, base + "/out", 2, input_format="csv",
+                          null_policy="drop")
+    run = run_top_items_job(spark, d_path, l_path, base + "/out", 2, input_format="csv",
+                            multiline=True)
+    assert tuples(read(spark, "parquet", run.output_path)) == [(1, "Alpha", 1, "apple\nx")]

@@ -46,5 +46,5 @@ def test_all_shapes_match_brute_force(spark, rows, names, top_x):
     assert tuples(top_items(d, loc, top_x)) == want
     assert tuples(top_items(d, loc, top_x, salts=3)) == want
     assert tuples(top_items_skew_aware(d, loc, top_x)[0]) == want
-    assert tuples(top_items_prepartitioned(d, loc, top_x, min_locations=1,
-                                           threshold=1e9)[0]) == want
+    assert tuples(top_items_skew_aware(d, loc, top_x, reducers=1000)[0]) == want
+    assert tuples(top_items_prepartitioned(d, loc, top_x)) == want

@@ -4,8 +4,8 @@ import functools
 import pytest
 from pyspark.sql import functions as F
 
-from rankwise.operators import (choose_salts, key_skew, partition_sizes,
-                                partition_skew)
+from rankwise.operators import (choose_salts, count_by_hot_salted, hot_keys, key_skew,
+                                partition_sizes, partition_skew)
 from rankwise.plans.stages import StageChain
 
 
@@ -35,9 +35,11 @@ def test_partition_skew_empty(spark):
 
 def test_partition_sizes_include_empty_partitions(spark):
     df = spark.range(0, 3, 1, 1).repartition(3, F.lit(0))   # one full, two empty
-    sizes = sorted(r.rows for r in partition_sizes(df).collect())
-    assert sizes == [0, 0, 3]
-    assert sorted(r.partition_id for r in partition_sizes(df).collect()) == [0, 1, 2]
+    sizes = partition_sizes(df, 3).collect()
+    assert sorted(r.rows for r in sizes) == [0, 0, 3]
+    assert sorted(r.partition_id for r in sizes) == [0, 1, 2]
+    assert [r.rows for r in partition_sizes(df).collect()] == [3]
+    assert partition_skew(df, partitions=3).factor == 3.0
 
 
 def test_key_skew(spark):
@@ -52,8 +54,21 @@ def test_choose_salts():
     assert choose_salts(0.0) == 2
     assert choose_salts(1.98) == 2
     assert choose_salts(3.2) == 4
-    assert choose_salts(133_000.0, reducers=2000) == 2000
-    assert choose_salts(3.2, reducers=1) == 2
+    assert choose_salts(133_000.0) == 133_000
+
+
+def test_hot_keys(spark):
+    df = spark.createDataFrame([("hot",)] * 80 + [(None,)] * 15 + [("a",)] * 4 + [("b",)],
+                               "k string")
+    hot = hot_keys(df, ["k"], 10)
+    assert dict(zip(hot.keys, hot.salts)) == {("hot",): 8, (None,): 2}
+    assert (hot.rows, hot.reducers, hot.skewed) == (100, 10, True)
+    assert not hot_keys(df, ["k"], 1).skewed
+    assert not hot_keys(df.limit(0), ["k"], 10).skewed
+    got = count_by_hot_salted(df.withColumn("id", F.monotonically_increasing_id()), ["k"], hot,
+                              salt_from=["id"], name="n")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [("hot", 80), (None, 15), ("a", 4), ("b", 1)], key=repr)
 
 
 # --- composition ----------------------------------------------------------------
@@ -90,7 +105,8 @@ def test_stages_metrics_single_action(spark):
     result, metrics = pipe.run(df, lambda d: sorted(r.v for r in d.collect()))
     assert result == [4, 6, 8]
     assert metrics.table() == [(1, "plus_one", 3, 3), (2, "times_two", 3, 3)]
-    assert len(metrics.log_lines()) == 2 and "rows_in=3 rows_out=3" in metrics.log_lines()[0]
+    assert [(r["stage"], r["rows_in"], r["rows_out"]) for r in metrics.records()] == [
+        ("plus_one", 3, 3), ("times_two", 3, 3)]
     assert all(p >= 1 for p in metrics.partitions())
 
 
@@ -106,7 +122,8 @@ def test_stages_metrics_report_partitions(spark):
     pipe = StageChain([lambda d: d.filter("v < 40")], names=["all"])
     _, metrics = pipe.run(df, lambda d: d.collect())
     assert metrics.partitions() == [4, 4]
-    assert metrics.log_lines() == ["stage 1/1 [all] rows_in=40 rows_out=40 partitions=4"]
+    assert metrics.records() == [{"stage_index": 1, "stage": "all", "rows_in": 40,
+                                  "rows_out": 40, "used_partitions": 4}]
 
 
 def test_stages_metrics_on_empty_input(spark):
