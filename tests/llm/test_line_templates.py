@@ -1,5 +1,7 @@
 """Line templates: planted boilerplate goes, prose stays, odd rows are defined."""
 import random
+import re
+from collections import Counter
 
 import pytest
 
@@ -14,6 +16,48 @@ def prose(rng, n):
                     for _ in range(n))
 
 
+def plain(rows):
+    """Texts of (doc_id, text, ...) rows with distinct ids after the dedup."""
+    forms, seen = {}, Counter()
+    for r in rows:
+        for k, line in enumerate((r[1] or "").split("\n")):
+            tokens = tuple("<*>" if re.search("[0-9]", w) else w
+                           for w in re.findall(r"[^\x09-\x0D\x20]+", line))
+            if tokens:
+                forms[r[0], k] = tokens
+                seen[tokens] += 1
+    leaves, support = {}, Counter()
+    for f in seen:
+        leaves.setdefault((len(f), f[:t.DEPTH]), []).append(f)
+    open_leaves = {k: fs for k, fs in leaves.items() if k[0] >= t.MIN_FIXED and len(fs) > 1
+                   and sum(seen[f] for f in fs) >= t.MIN_DOCS}
+    for k, fs in open_leaves.items():
+        for f in fs:
+            for i, w in enumerate(f):
+                support[k, i, w] += seen[f] if w != "<*>" else 0
+    template = {}
+    for f in seen:
+        k = len(f), f[:t.DEPTH]
+        fixed = tuple((i, w) for i, w in enumerate(f) if support[k, i, w] >= t.MIN_DOCS)
+        if k in open_leaves and t.MIN_FIXED <= len(fixed) < len(f) \
+                and len(fixed) >= t.FIXED_SHARE * len(f):
+            template[f] = k, fixed
+        elif sum(w != "<*>" for w in f) >= t.FIXED_SHARE * len(f):
+            template[f] = f
+    docs = {}
+    for (d, _), f in forms.items():
+        docs.setdefault(template.get(f), set()).add(d)
+    out = {}
+    for r in rows:
+        lines = (r[1] or "").split("\n")
+        gone = {k for k in range(len(lines)) if (f := template.get(forms.get((r[0], k))))
+                and len(docs[f]) >= t.MIN_DOCS and min(docs[f]) != r[0]}
+        kept = [x for k, x in enumerate(lines) if k not in gone]
+        left = any((r[0], k) in forms and k not in gone for k in range(len(lines)))
+        out[r[0]] = None if r[1] is None else "\n".join(kept), bool(gone) and not left
+    return out
+
+
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(11)
@@ -41,6 +85,18 @@ def test_templates_go_but_for_the_first_document(spark, rows, limit):
         assert (got[i].n_lines, got[i].n_dropped) == (len(lines), len(lines) - len(want))
 
 
+def test_equals_the_definition(spark):
+    rng = random.Random(21)
+    few = ["a", "b", "c", "of", "the", "x1"]
+    rows = [(i, "\n".join(" ".join(rng.choice(few) for _ in range(rng.randint(1, 9)))
+                          for _ in range(rng.randint(0, 6)))) for i in range(200)]
+    got = deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = plain(rows)
+    assert {r.doc_id: r.text for r in got.collect()} == {i: x for i, (x, _) in want.items()}
+    kept = clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in kept} == {i for i, (_, gone) in want.items() if not gone}
+
+
 def test_copies_leave_their_first_document_whole(spark):
     rng = random.Random(2)
     text = "\n".join(prose(rng, 12) for _ in range(4))

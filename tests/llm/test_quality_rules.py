@@ -1,7 +1,10 @@
 """Quality rules: base statistics against a plain count, MCD on planted outliers."""
+import json
+import math
 import random
 import re
 
+import numpy as np
 import pytest
 
 from rankwise.llm import quality_rules as q
@@ -22,6 +25,56 @@ def plain(text):
             len(lines) - len(set(lines)), len(hit), failed)
 
 
+def vectors(text):
+    n, chars, symbols, dup, hit, _ = plain(text)
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    share = lambda a, b: math.log(1 + 100 * a / max(b, 1))
+    return [math.log(max(n, 1)), math.log(max(chars, 1) / max(n, 1)),
+            math.log(max(n, 1) / max(len(set(words)), 1)), share(symbols, n),
+            share(dup, len(lines)), share(hit, n)]
+
+
+def distances(rows):
+    """Squared distances by the definition, one group after the other."""
+    groups = {}
+    for k, r in enumerate(rows):
+        if not plain(r[1])[5]:
+            for key in ((r[2], (r[3],)), (r[2],)):
+                groups.setdefault(json.dumps(key), []).append(k)
+    x = np.array([vectors(r[1]) for r in rows])
+    floors = np.array(list(q.FLOORS.values()))
+    made = {}
+    for key, members in groups.items():
+        cells = np.sort(np.floor(x[members] * q.GRID), axis=0)
+        def at(share):
+            return cells[max(math.ceil(share * len(members)) - 1, 0)] / q.GRID
+        centre = at(.5)
+        spread = np.diag(np.maximum((at(.75) - at(.25)) / 1.349, floors) ** 2)
+        for _ in range(q.STEPS):
+            d = np.einsum("ij,jk,ik->i", x[members] - centre, np.linalg.inv(spread),
+                          x[members] - centre)
+            bucket = np.floor(np.log(d + 1e-6) * q.BUCKETS_PER_UNIT)
+            order = np.sort(bucket)
+            last = order[min(len(order), math.ceil(q.SUPPORT * len(order))) - 1]
+            near = x[members][bucket <= last]
+            centre = near.mean(axis=0)
+            spread = q.CONSISTENCY * np.cov(near.T, bias=True) + np.diag(floors ** 2)
+        made[key] = len(members), centre, np.linalg.inv(spread)
+    out = []
+    for k, r in enumerate(rows):
+        known = [made.get(json.dumps(key)) for key in ((r[2], (r[3],)), (r[2],))]
+        known = [m for m in known if m and m[0] >= q.MIN_GROUP]
+        d = x[k] - known[0][1] if known else None
+        out.append(None if plain(r[1])[5] or not known else float(d @ known[0][2] @ d))
+    return out
+
+
+def keeps(rows):
+    return [not plain(r[1])[5] and (d is None or d <= q.LIMIT)
+            for r, d in zip(rows, distances(rows), strict=True)]
+
+
 def prose(rng, n):
     return " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(2, 9)))
                     for _ in range(n))
@@ -52,6 +105,17 @@ def test_statistics_equal_a_plain_count(spark, rows):
                           for r in got)
 
 
+def test_distances_equal_the_definition(spark, rows):
+    numbered = [(k, *r[1:]) for k, r in enumerate(rows)]
+    got = {r.doc_id: r for r in q.judge(spark.createDataFrame(numbered, DDL)).collect()}
+    want = distances(rows)
+    assert sum(d is not None for d in want) > 150
+    for k, (d, kept) in enumerate(zip(want, keeps(rows), strict=True)):
+        assert (got[k].distance is None) == (d is None) and got[k].kept == kept
+        if d is not None:
+            assert got[k].distance == pytest.approx(d, rel=1e-6)
+
+
 def test_outliers_go_and_clean_documents_stay(spark, rows):
     kept = {r.doc_id: r.kept for r in q.judge(spark.createDataFrame(rows, DDL)).collect()}
     assert all(kept[i] for i in range(160)) and kept[305]
