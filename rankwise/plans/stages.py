@@ -102,6 +102,11 @@ class StageChain:
     def names(self) -> list[str]:
         return list(self._names)
 
+    def before(self, name: str) -> StageChain:
+        """The chain of the stages in front of the one called ``name``."""
+        end = self._names.index(name)
+        return StageChain(self._stages[:end], self._names[:end])
+
     def __call__(self, df: DataFrame) -> DataFrame:
         return functools.reduce(lambda acc, stage: acc.transform(stage),
                                 self._stages, df)
