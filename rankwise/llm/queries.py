@@ -34,7 +34,7 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents"))
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("distance")
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +103,93 @@ def _known_sql() -> str:
     return ", ".join(f"('{name}', '{text}')" for name, text in rows)
 
 
+def _quality_sql() -> str:
+    """The quality rules step by step. A document's rank by distance bucket in
+    its group, less one, is the number of documents in nearer buckets."""
+    q, v, pairs = quality_rules, quality_rules.VECTOR, quality_rules.PAIRS
+
+    def share(part, whole):
+        return f"ln(1 + 100 * {part} / CAST(greatest({whole}, 1) AS DOUBLE))"
+    vector = {"x_words": "ln(CAST(greatest(n_words, 1) AS DOUBLE))",
+              "x_length": "ln(greatest(word_chars, 1) / CAST(greatest(n_words, 1) AS DOUBLE))",
+              "x_variety": "ln(greatest(n_words, 1) / CAST(greatest(n_distinct, 1) AS DOUBLE))",
+              "x_symbols": share("n_symbols", "n_words"),
+              "x_lines": share("n_dup_lines", "n_lines"),
+              "x_repeats": share("n_repeat_words", "n_words")}
+
+    def plus(parts):
+        return " + ".join(parts) or "0"
+
+    def solved(prefix=""):
+        """Forward substitution; an alias may be used by the ones after it."""
+        y = [f"({a} - {prefix}m_{a} - ({plus(f'{prefix}l_{a}_{b} * y_{b}' for b in v[:i])}))"
+             f" / {prefix}l_{a}_{a} AS y_{a}" for i, a in enumerate(v)]
+        return ", ".join([*y, f"{plus(f'y_{a} * y_{a}' for a in v)} AS d"])
+    cells = " UNION ALL ".join(
+        f"SELECT g, '{x}' AS name, floor({x} * {q.GRID}) AS cell FROM p" for x in v)
+
+    def at(x, level):
+        return f"min(cell) FILTER (name = '{x}' AND upto >= {level} * n) / {q.GRID}"
+    start = ", ".join(
+        [f"{at(x, 0.5)} AS m_{x}, greatest(({at(x, 0.75)} - {at(x, 0.25)}) / 1.349, {f}) AS l_{x}_{x}"
+         for x, f in q.FLOORS.items()] + [f"0.0 AS l_{a}_{b}" for a, b in pairs if a != b])
+    steps = []
+    for k in range(1, q.STEPS + 1):
+        means = [f"avg({a}) AS m_{a}" for a in v] + [f"avg({a} * {b}) AS p_{a}_{b}" for a, b in pairs]
+        factor = []
+        for i, a in enumerate(v):
+            for j, b in enumerate(v[:i + 1]):
+                spread = f"{q.CONSISTENCY!r} * (p_{a}_{b} - m_{a} * m_{b})" \
+                    + (f" + {q.FLOORS[a] ** 2!r}" if a == b else "")
+                left = f"({spread} - ({plus(f'l_{a}_{c} * l_{b}_{c}' for c in v[:j])}))"
+                factor.append(f"sqrt({left}) AS l_{a}_{b}" if a == b
+                              else f"{left} / l_{b}_{b} AS l_{a}_{b}")
+        steps.append(f"""near{k} AS (SELECT *, floor(ln(d + 1e-6) * {q.BUCKETS_PER_UNIT}) AS bucket
+  FROM (SELECT p.*, {solved()} FROM p JOIN e{k - 1} USING (g))),
+e{k} AS (SELECT g, n_group, {", ".join(f"m_{a}" for a in v)}, {", ".join(factor)} FROM (
+  SELECT g, any_value(n_group) AS n_group, {", ".join(means)} FROM (
+    SELECT *, rank() OVER (PARTITION BY g ORDER BY bucket) - 1 AS before,
+      count(*) OVER (PARTITION BY g) AS n_group FROM near{k})
+  WHERE before < {q.SUPPORT} * n_group GROUP BY g))""")
+    names = [f"m_{a}" for a in v] + [f"l_{a}_{b}" for a, b in pairs]
+    chosen = ", ".join(f"CASE WHEN own.g IS NULL THEN wide.{c} ELSE own.{c} END AS {c}" for c in names)
+    last, blank = q.STEPS, r"[\x09-\x0D\x20]+"
+    return f"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '{blank}'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+                lambda x: regexp_matches(x, '[^\\x09-\\x0D\\x20]')) AS l FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + {q.WINDOW - 1}], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {q.WINDOW - 2})) AS i FROM w)),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1),
+hit AS (SELECT doc_id, count(*) AS n FROM (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {q.WINDOW})) FROM twice) GROUP BY doc_id),
+s AS (SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(len(list_distinct(w)) AS BIGINT) AS n_distinct,
+    CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(l) AS BIGINT) AS n_lines,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(hit.n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN hit USING (doc_id)),
+x AS (SELECT *, n_words < {q.MIN_WORDS}
+      OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed,
+    lang || '/' || source AS own_g, lang AS wide_g,
+    {", ".join(f"{c} AS {x}" for x, c in vector.items())} FROM s),
+p AS (SELECT unnest([own_g, wide_g]) AS g, {", ".join(v)} FROM x WHERE NOT base_failed),
+cells AS (SELECT *, sum(1) OVER (PARTITION BY g, name ORDER BY cell) AS upto,
+    count(*) OVER (PARTITION BY g, name) AS n FROM ({cells})),
+e0 AS (SELECT g, {start} FROM cells GROUP BY g),
+{", ".join(steps)},
+large AS (SELECT * FROM e{last} WHERE n_group >= {q.MIN_GROUP}),
+judged AS (SELECT *, {solved()} FROM (
+  SELECT x.*, {chosen} FROM x LEFT JOIN large own ON own.g = own_g
+  LEFT JOIN large wide ON wide.g = wide_g))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(d <= {q.LIMIT!r}, true) AS kept FROM judged"""
+
+
 ORACLE: dict[str, str] = {
+    "op3_quality_rules": _quality_sql(),
     # Every window of every document against every window of every item.
     "op7_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
@@ -165,12 +251,12 @@ WITH l AS (SELECT doc_id, i - 1 AS line_no, line, trim(regexp_replace(regexp_rep
 t AS (SELECT *, string_split(form, ' ') AS tokens FROM l WHERE form <> ''),
 f AS (SELECT form, any_value(tokens) AS tokens, any_value(len(tokens)) AS n,
     any_value(len(list_filter(tokens, lambda x: x <> '<*>'))) AS fixed,
-    count(DISTINCT doc_id) AS docs FROM t GROUP BY form),
-leaves AS (SELECT n, tokens[1:2] AS head FROM f GROUP BY ALL HAVING count(*) > 1 AND sum(docs) >= 3),
-apart AS (SELECT * FROM (SELECT form, n, tokens[1:2] AS head, docs, unnest(tokens) AS token,
+    count(*) AS lines FROM t GROUP BY form),
+leaves AS (SELECT n, tokens[1:2] AS head FROM f GROUP BY ALL HAVING count(*) > 1 AND sum(lines) >= 3),
+apart AS (SELECT * FROM (SELECT form, n, tokens[1:2] AS head, lines, unnest(tokens) AS token,
       unnest(range(len(tokens))) AS pos FROM f JOIN leaves l USING (n)
       WHERE n >= 5 AND l.head = tokens[1:2]) WHERE token <> '<*>'),
-common AS (SELECT n, head, pos, token FROM apart GROUP BY ALL HAVING sum(docs) >= 3),
+common AS (SELECT n, head, pos, token FROM apart GROUP BY ALL HAVING sum(lines) >= 3),
 general AS (SELECT form, n, head, list([CAST(pos AS VARCHAR), token] ORDER BY pos) AS template
   FROM apart JOIN common USING (n, head, pos, token) GROUP BY ALL
   HAVING count(*) >= 5 AND count(*) < n AND count(*) >= 0.5 * n),
