@@ -47,3 +47,17 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", previous)
     assert utc == other
+
+
+def test_entry_works_without_the_training_data_subpackage(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+    root = Path(entry_module.__file__).parent
+    skip = shutil.ignore_patterns("llm", ".git", "__pycache__", "corpus_pipeline.py", ".*")
+    shutil.copytree(root, tmp_path / "copy", ignore=skip)
+    done = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(*sorted(e.queries()))"],
+        cwd=tmp_path / "copy", env={"PATH": "/usr/bin"}, capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == sorted(QUERIES), done.stderr[-500:]
