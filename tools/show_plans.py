@@ -22,7 +22,7 @@ from rankwise.catalog import QUERIES  # noqa: E402
 from rankwise.session import local_session  # noqa: E402
 
 SHOWN = ["top_items_baseline", "top_items_skew_aware", "top_items_prepartitioned",
-         "top_items_events_identical", "key_skew", "jobs_equivalence"]
+         "top_items_events_identical", "salted_hot_keys", "key_skew", "jobs_equivalence"]
 
 
 def _plan(df) -> str:
