@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankwise.session import scratch_path
+from rankwise.llm.tables import stored
 
 
 def connected(edges: DataFrame, label: str) -> DataFrame:
@@ -19,31 +19,26 @@ def connected(edges: DataFrame, label: str) -> DataFrame:
     """
     spark = edges.sparkSession
 
-    def stored(df: DataFrame) -> DataFrame:
-        path = scratch_path(spark, label)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
     def print_of(df: DataFrame):
         # Order-free and one row: enough to see that two rounds are equal.
         return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
                       F.sum(F.xxhash64("v", "u") % 1_000_003)).first()
 
-    now = stored(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"),
-                                               F.least("u", "v").alias("v")).distinct())
+    now = stored(spark, edges.filter("u <> v").select(F.greatest("u", "v").alias("u"),
+                                               F.least("u", "v").alias("v")).distinct(), label)
     seen = print_of(now)
     while True:
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("least"))
         hooked = both.join(least, "u").filter(F.col("v") > F.col("u")) \
             .select(F.col("v").alias("u"), F.least("least", "u").alias("v")).distinct()
-        hooked = stored(hooked)
+        hooked = stored(spark, hooked, label)
         down = hooked.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("least"))
         met = down.join(least, "u")
-        now = stored(met.select(F.col("v").alias("u"), F.col("least").alias("v"))
+        now = stored(spark, met.select(F.col("v").alias("u"), F.col("least").alias("v"))
                      .union(least.select("u", F.col("least").alias("v")))
-                     .filter("u <> v").distinct())
+                     .filter("u <> v").distinct(), label)
         found = print_of(now)
         if found == seen:
             break

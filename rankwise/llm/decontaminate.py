@@ -10,22 +10,16 @@ text, and what is left is compared word by word.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankwise.llm import sizes
+from rankwise.llm.tables import stored
 from rankwise.llm.text import alnum_words, ascii_lower
-from rankwise.session import scratch_path
 
 WINDOW = 10
 
 
-def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def item_windows(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
     """(phrase, tokens, item_id as string): every window of every item once."""
     tokens = F.transform(alnum_words(F.col(text)), ascii_lower)
@@ -113,8 +107,8 @@ def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id:
             item_text: str, window: int, limit: int) -> DataFrame:
     """One row per (doc_id, hash of the text): n_words, rows, spans, items."""
     spark = docs.sparkSession
-    windows = _stored(spark, item_windows(items, item_id, item_text, window), "windows")
-    ahead = _stored(spark, prefixes(docs, windows, text, limit), "window-prefixes")
+    windows = stored(spark, item_windows(items, item_id, item_text, window), "windows")
+    ahead = stored(spark, prefixes(docs, windows, text, limit), "window-prefixes")
     ahead, small = sizes.hinted(ahead, limit)
     words = _doc_words(docs, doc_id, text)
     hits = _hits_by_broadcast(words, ahead) if small else _hits_by_shuffle(words, ahead)
@@ -182,6 +176,6 @@ def clean(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: st
     found = _judged(docs, items, doc_id, text, item_id, item_text, window, limit) \
         .filter(F.size("spans") > 0).select(F.col("doc_id").alias("c_doc"),
                                             F.col("row_key").alias("c_key"))
-    found, _ = sizes.hinted(_stored(docs.sparkSession, found, "contaminated"), limit)
+    found, _ = sizes.hinted(stored(docs.sparkSession, found, "contaminated"), limit)
     return docs.join(found, docs[doc_id].eqNullSafe(found["c_doc"])
                      & (F.xxhash64(docs[text]) == found["c_key"]), "left_anti")

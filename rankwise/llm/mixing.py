@@ -22,12 +22,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankwise.llm import sizes
+from rankwise.llm.tables import stored
 from rankwise.llm.text import fresh
-from rankwise.session import scratch_path
 
 BLOCK_DOCS = 32
 PERIOD = 1000            # units that weights are rounded to; a source has one at least
@@ -35,12 +35,6 @@ GROUP_ROWS = 20_000      # aim for the rows numbered together
 FAR = 1 << 60
 
 
-def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def square_root_weights(counts: DataFrame) -> DataFrame:
     """Weights between equal and proportional: the square root of the number of
     documents, in whole millionths so that their sum is exact."""
@@ -128,8 +122,8 @@ def mix(docs: DataFrame, *, weights: dict | None = None, doc_id: str = "doc_id",
     counts = docs.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n")) \
         .withColumn("key", F.to_json(F.struct("source")))
     weighted = given_weights(counts, weights) if weights else square_root_weights(counts)
-    sources = _stored(spark, units(weighted, period), "mix-sources")
-    plan = _stored(spark, schedule(sources), "mix-schedule")
+    sources = stored(spark, units(weighted, period), "mix-sources")
+    plan = stored(spark, schedule(sources), "mix-schedule")
     largest = sources.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     digits = max(1, math.ceil(math.log(max(largest / GROUP_ROWS, 1), 16)))
 
@@ -138,7 +132,7 @@ def mix(docs: DataFrame, *, weights: dict | None = None, doc_id: str = "doc_id",
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("key", "prefix").agg(F.count(F.lit(1)).alias("n")) \
         .select("key", "prefix", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    offsets, _ = sizes.hinted(_stored(spark, offsets, "mix-offsets"))
+    offsets, _ = sizes.hinted(stored(spark, offsets, "mix-offsets"))
     inside = Window.partitionBy("key", "prefix").orderBy("order", "content")
     ranked = rows.withColumn("content", F.xxhash64("row")) \
         .withColumn("place", F.row_number().over(inside).cast("long") - 1) \

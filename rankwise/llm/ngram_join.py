@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from rankwise.llm import sizes
 from rankwise.llm.components import connected
-from rankwise.session import scratch_path
+from rankwise.llm.tables import stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -207,12 +207,6 @@ def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["node", "links", "first"])
 
 
-def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _candidates(texts: DataFrame, limit: int) -> DataFrame:
     """(node, comp): texts that share a subtrie with another, by component."""
     spark = texts.sparkSession
@@ -220,7 +214,7 @@ def _candidates(texts: DataFrame, limit: int) -> DataFrame:
     subtries = leaves.groupBy("tree", "key").agg(F.min("node").alias("first"),
                                                  F.count(F.lit(1)).alias("n")) \
         .filter("n > 1").drop("n")
-    subtries, _ = sizes.hinted(_stored(spark, subtries, "subtries"), limit)
+    subtries, _ = sizes.hinted(stored(spark, subtries, "subtries"), limit)
     edges = leaves.join(subtries, ["tree", "key"]).filter(F.col("node") != F.col("first")) \
         .select(F.col("node").alias("u"), F.col("first").alias("v")).distinct()
     return connected(edges, "candidates")
@@ -251,13 +245,13 @@ def _verified(spark: SparkSession, docs: DataFrame, texts: DataFrame, comps: Dat
               threshold: float, block_texts: int, block_shingles: int,
               limit: int) -> DataFrame:
     """(node, links, first) as units give them."""
-    members = _stored(spark, texts.join(comps, "node").select("node", "comp", "size", "rep"),
+    members = stored(spark, texts.join(comps, "node").select("node", "comp", "size", "rep"),
                       "candidate-texts")
-    units = _stored(spark, _units(members, block_texts, block_shingles), "verify-units")
+    units = stored(spark, _units(members, block_texts, block_shingles), "verify-units")
     wanted, _ = sizes.hinted(members.select("node", "rep"), limit)
     found = docs.join(wanted, docs["row_key"].eqNullSafe(wanted["rep"]["key"])
                       & docs["id"].eqNullSafe(wanted["rep"]["id"])).select("node", "text")
-    found = _stored(spark, found.mapInArrow(_shingled, "node binary, shingles array<long>"),
+    found = stored(spark, found.mapInArrow(_shingled, "node binary, shingles array<long>"),
                     "candidate-shingles")
     return found.join(units, "node").groupBy("unit").applyInPandas(
         lambda pdf: _verify(pdf, threshold), "node binary, links long, first binary")
@@ -273,16 +267,16 @@ def _classed(docs: DataFrame, doc_id: str, text: str, threshold: float, trees: i
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("row_key"),
                        F.col(text).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    signed = _stored(spark, rows.mapInArrow(
+    signed = stored(spark, rows.mapInArrow(
         lambda batches: _signed(batches, trees, length),
         f"id {id_type}, row_key long, node binary, size long, keys array<long>"), "signatures")
     texts = signed.filter("node is not null").groupBy("node").agg(
         F.min(F.struct("id", F.col("row_key").alias("key"))).alias("rep"),
         F.first("size").alias("size"), F.first("keys").alias("keys"),
         F.count(F.lit(1)).alias("rows"))
-    texts = _stored(spark, texts, "texts")
+    texts = stored(spark, texts, "texts")
     comps = _candidates(texts, limit)
-    links = _stored(spark, _verified(spark, rows, texts, comps, threshold, block_texts,
+    links = stored(spark, _verified(spark, rows, texts, comps, threshold, block_texts,
                                      block_shingles, limit), "links")
     counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
     classes = connected(links.filter(F.col("node") != F.col("first"))
@@ -294,7 +288,7 @@ def _classed(docs: DataFrame, doc_id: str, text: str, threshold: float, trees: i
         .filter((F.col("rows") > 1) | F.col("n_links").isNotNull()) \
         .select("node", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                 (F.col("rows") - 1).alias("n_copies"), "first")
-    return signed.select("id", "row_key", "node"), _stored(spark, known, "text-classes")
+    return signed.select("id", "row_key", "node"), stored(spark, known, "text-classes")
 
 
 def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
@@ -335,10 +329,10 @@ def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     others = met.filter(~(F.col("first.id").eqNullSafe(F.col("id"))
                           & F.col("first.key").eqNullSafe(F.col("row_key")))) \
         .select(F.col("id").alias("o_id"), F.col("row_key").alias("o_key")).distinct()
-    others, _ = sizes.hinted(_stored(spark, others, "other-rows"), limit)
+    others, _ = sizes.hinted(stored(spark, others, "other-rows"), limit)
     again = rows.filter("node is not null").groupBy("id", "row_key").count() \
         .filter("count > 1").select(F.col("id").alias("a_id"), F.col("row_key").alias("a_key"))
-    again, _ = sizes.hinted(_stored(spark, again, "repeated-rows"), limit)
+    again, _ = sizes.hinted(stored(spark, again, "repeated-rows"), limit)
     key = F.xxhash64(docs[text])
 
     def same(other, i, k):
