@@ -14,12 +14,12 @@ The counts of the whole training part would be too large for a task, so the
 automaton is never held whole. Texts are written once as *blocks* of about
 ``BLOCK_TOKENS`` tokens, and each block is traversed with the part of the
 automaton that it can reach: the counts of its own distinct tokens and bigrams.
-Token counts come back to the blocks by a join on the token. Bigrams are 64-bit
-hashes, cut by their high bits into ``shards``; a shard receives the sorted keys
-of every block, with their training counts, as one binary value per block, sums
-them, and returns the totals in the order in which the keys came. So a bigram
-costs its 8 bytes once, and a frequent one is one key per block, never one per
-occurrence.
+To get them, a block sends hashes of these with their training counts to
+``shards``, ranges of the hashes; a shard sums what all blocks sent and answers
+with the totals in the order in which the hashes came. So a frequent token or
+bigram costs one key per block and never one per occurrence. Tokens are told
+apart by 64 bits. Bigrams are by their shard and 48 bits: with a million keys a
+shard, however many shards there are, one bigram in 10^8 shares a count.
 """
 from __future__ import annotations
 
@@ -31,11 +31,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankwise.session import scratch_path
+from rankwise.llm.tables import stored
+
 
 FOLDS, HELD_OUT = 7, 2      # crc32(id as text) mod 7 = 2 is held out
 PRIOR = 300.0
@@ -45,6 +47,7 @@ ROWS_AT_ONCE = 256
 # No word holds white space, so these two cannot be words.
 END, START = b"\n", b"\t"
 U64 = np.uint64
+PAIR_BYTES = 6
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -87,18 +90,23 @@ class _Block:
 
     def rows(self, block_id: int, id_type: pa.DataType) -> pa.RecordBatch:
         at = np.array(self.at, np.int32)
+        # Frequent tokens get small numbers: these compress well.
+        counts = np.bincount(at, minlength=len(self.number))
+        order = np.concatenate([[0, 1], 2 + np.argsort(-counts[2:], kind="stable")])
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order))
+        words = list(self.number)
         held = [is_held_out(i) for i in self.ids]
-        training = np.repeat(~np.array(held, bool), self.lengths)
-        counts = np.bincount(at[training], minlength=len(self.number))
-        counts[0] = len(held) - sum(held)
+        training = sum(n for n, h in zip(self.lengths, held, strict=True) if not h)
+        pack = zstandard.ZstdCompressor(level=3).compress
         return pa.RecordBatch.from_arrays(
-            [pa.array([block_id], pa.int64()), pa.array([self.ids], pa.list_(id_type)),
+            [pa.array([block_id], pa.int64()), pa.array([len(at)], pa.int64()),
+             pa.array([training], pa.int64()), pa.array([self.ids], pa.list_(id_type)),
              pa.array([held], pa.list_(pa.bool_())),
              pa.array([self.lengths], pa.list_(pa.int32())),
-             pa.array([at], pa.list_(pa.int32())),
-             pa.array([list(self.number)], pa.list_(pa.binary())),
-             pa.array([counts.astype(np.int64)], pa.list_(pa.int64()))],
-            names=["block", "ids", "held", "lengths", "at", "words", "counts"])
+             pa.array([pack(rank[at].tobytes())], pa.binary()),
+             pa.array([pack(b"\n".join(words[i] for i in order[2:]))], pa.binary())],
+            names=["block", "tokens", "training", "ids", "held", "lengths", "at", "words"])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], id_type: pa.DataType, size: int):
@@ -117,25 +125,33 @@ def _blocks(batches: Iterator[pa.RecordBatch], id_type: pa.DataType, size: int):
         yield now.rows(base + made, id_type)
 
 
-def _pairs(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a block: hash keys of its distinct bigrams, sorted; how often they occur
-    in training; and per token its bigram's place among the keys and its fold."""
-    at, lengths = np.asarray(row["at"], np.int64), np.asarray(row["lengths"])
-    before = np.empty_like(at)
-    before[1:] = at[:-1]
-    before[np.cumsum(lengths) - lengths] = 0
-    hashes = word_hashes(row["words"])
-    # Equal pairs of token numbers first: most pairs of a block repeat in it.
-    pair = before * len(hashes) + at
-    distinct, place = np.unique(pair, return_inverse=True)
-    keys = bigram_keys(hashes[distinct // len(hashes)], hashes[distinct % len(hashes)])
-    order = np.argsort(keys, kind="stable")
-    rank = np.empty_like(order)
-    rank[order] = np.arange(len(order))
-    place = rank[place]
-    training = np.repeat(~np.asarray(row["held"], bool), lengths)
-    counts = np.bincount(place[training], minlength=len(keys))
-    return keys[order], counts, place, before
+class _Keys:
+    """What a block asks for: its tokens and bigrams, in the order of their hashes."""
+
+    def __init__(self, row: dict):
+        unpack = zstandard.ZstdDecompressor().decompress
+        self.at = np.frombuffer(unpack(row["at"]), np.int32).astype(np.int64)
+        words = unpack(row["words"])
+        hashes = word_hashes([START, END, *(words.split(b"\n") if words else [])])
+        self.lengths = np.asarray(row["lengths"], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        held = np.asarray(row["held"], bool)
+        training = np.repeat(~held, self.lengths)
+        self.word_order = np.argsort(hashes, kind="stable")
+        self.words = hashes[self.word_order]
+        counts = np.bincount(self.at[training], minlength=len(hashes))
+        counts[0] = (~held).sum()          # texts begin once
+        self.word_counts = counts[self.word_order]
+        # Equal pairs of token numbers first: most pairs of a block repeat in it.
+        self.before = np.empty_like(self.at)
+        self.before[1:] = self.at[:-1]
+        self.before[self.starts] = 0
+        distinct, place = np.unique(self.before * len(hashes) + self.at, return_inverse=True)
+        self.ends = distinct // len(hashes), distinct % len(hashes)
+        keys = bigram_keys(hashes[self.ends[0]], hashes[self.ends[1]])
+        self.pair_order = np.argsort(keys, kind="stable")
+        self.pairs = keys[self.pair_order]
+        self.pair_counts = np.bincount(place[training], minlength=len(keys))[self.pair_order]
 
 
 def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -144,32 +160,60 @@ def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.append(np.searchsorted(keys, np.arange(shards, dtype=U64) * U64(step)), len(keys))
 
 
+def _low_bytes(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :PAIR_BYTES].tobytes()
+
+
+def _from_low_bytes(data: bytes) -> np.ndarray:
+    part = np.frombuffer(data, np.uint8).reshape(-1, PAIR_BYTES)
+    out = np.zeros((len(part), 8), np.uint8)
+    out[:, :PAIR_BYTES] = part
+    return out.reshape(-1).view(U64)
+
+
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    return (r for batch in batches for i in range(batch.num_rows)
+            for r in batch.slice(i, 1).to_pylist())
+
+
 def _requests(batches: Iterator[pa.RecordBatch], shards: int):
-    """Blocks to (block, shard, keys, counts)."""
-    for batch in batches:
-        for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
-            keys, counts, _, _ = _pairs(row)
-            cuts = _cuts(keys, shards)
-            spans = [(s, a, b) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
-                     if b > a]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["block"]] * len(spans), pa.int64()),
-                 pa.array([s for s, _, _ in spans], pa.int64()),
-                 pa.array([keys[a:b].tobytes() for _, a, b in spans], pa.binary()),
-                 pa.array([counts[a:b].astype(np.int32).tobytes() for _, a, b in spans],
-                          pa.binary())],
-                names=["block", "shard", "keys", "counts"])
+    """Blocks to (block, shard, words, word_counts, pairs, pair_counts)."""
+    for row in _one_by_one(batches):
+        k = _Keys(row)
+        words, pairs = _cuts(k.words, shards), _cuts(k.pairs, shards)
+        spans = [(s, slice(*words[s:s + 2]), slice(*pairs[s:s + 2])) for s in range(shards)]
+
+        def counts(all_counts, part):
+            return all_counts[part].astype(np.int32).tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([row["block"]] * shards, pa.int64()), pa.array(range(shards), pa.int64()),
+             pa.array([k.words[w].tobytes() for _, w, _ in spans], pa.binary()),
+             pa.array([counts(k.word_counts, w) for _, w, _ in spans], pa.binary()),
+             pa.array([_low_bytes(k.pairs[p]) for _, _, p in spans], pa.binary()),
+             pa.array([counts(k.pair_counts, p) for _, _, p in spans], pa.binary())],
+            names=["block", "shard", "words", "word_counts", "pairs", "pair_counts"])
+
+
+def _summed(keys: list[np.ndarray], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list]:
+    """Distinct keys, their sums, and the sums in the order of each part's keys."""
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    flat = np.concatenate([np.frombuffer(c, np.int32) for c in counts])
+    total = np.bincount(place, weights=flat, minlength=len(distinct)).astype(np.int64)
+    ends = np.cumsum([len(k) for k in keys])
+    return distinct, total, [total[p].tobytes() for p in np.split(place, ends[:-1])]
 
 
 def _totals(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One shard: for each block the training totals of the keys it sent."""
-    keys = [np.frombuffer(k, U64) for k in pdf["keys"]]
-    counts = [np.frombuffer(c, np.int32) for c in pdf["counts"]]
-    _, place = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
-    ends = np.cumsum([len(k) for k in keys])
-    answers = [total[p].astype(np.int64).tobytes() for p in np.split(place, ends[:-1])]
-    return pd.DataFrame({"block": pdf["block"], "shard": pdf["shard"], "totals": answers})
+    """One shard: for each block the training totals of the keys it sent; the
+    first row also has the number of distinct training tokens of the shard."""
+    words, total, word_totals = _summed([np.frombuffer(k, U64) for k in pdf["words"]],
+                                        list(pdf["word_counts"]))
+    known = int(((total > 0) & (words != word_hashes([START])[0])).sum())
+    _, _, pair_totals = _summed([_from_low_bytes(k) for k in pdf["pairs"]],
+                                list(pdf["pair_counts"]))
+    return pd.DataFrame({"block": pdf["block"].to_numpy(), "shard": pdf["shard"].to_numpy(),
+                         "words": word_totals, "pairs": pair_totals,
+                         "distinct": [known] + [0] * (len(pdf) - 1)})
 
 
 def traverse(at: list[int], lengths: list[int], arcs: dict[int, float], fail: list[float],
@@ -190,41 +234,31 @@ def traverse(at: list[int], lengths: list[int], arcs: dict[int, float], fail: li
     return out
 
 
-def _scored(batches: Iterator[pa.RecordBatch], total: int, distinct: int, prior: float):
+def _scored(batches: Iterator[pa.RecordBatch], total: int, distinct: int, prior: float,
+            id_type: pa.DataType):
     """Blocks with the totals of their tokens and bigrams to one row per text."""
-    for batch in batches:
-        for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
-            keys, _, place, before = _pairs(row)
-            seen = np.concatenate([np.frombuffer(x["totals"], np.int64) for x in row["answers"]])
-            known = np.zeros(len(row["words"]), np.int64)
-            for x in row["known"]:
-                known[x["pos"]] = x["n"]
-            lower = np.log10((known + 1) / (total + distinct + 1))
-            fail = np.log10(prior / (known + prior))
-            at = np.asarray(row["at"], np.int64)
-            # One token of each bigram that has an arc gives the arc its ends.
-            _, example = np.unique(place, return_index=True)
-            example = example[seen > 0]
-            h, w = before[example], at[example]
-            weight = np.log10((seen[seen > 0] + prior * 10.0 ** lower[w]) / (known[h] + prior))
-            arcs = dict(zip((h * len(known) + w).tolist(), weight.tolist(), strict=True))
-            lengths = row["lengths"]
-            scores = traverse(row["at"], lengths, arcs, fail.tolist(), lower.tolist())
-            starts = np.cumsum(lengths) - lengths
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row["ids"]).cast(batch.schema.field("ids").type.value_type),
-                 pa.array(row["held"], pa.bool_()), pa.array(lengths, pa.int64()),
-                 pa.array(np.add.reduceat(known[at] > 0, starts, dtype=np.int64)),
-                 pa.array(np.full(len(lengths), total, np.int64)),
-                 pa.array(np.add.reduceat(lower[at], starts)), pa.array(scores, pa.float64())],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
-                       "base_score", "score"])
-
-
-def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    for row in _one_by_one(batches):
+        k = _Keys(row)
+        known = np.empty(len(k.words), np.int64)
+        known[k.word_order] = np.concatenate(
+            [np.frombuffer(x["words"], np.int64) for x in row["answers"]])
+        seen = np.concatenate([np.frombuffer(x["pairs"], np.int64) for x in row["answers"]])
+        lower = np.log10((known + 1) / (total + distinct + 1))
+        fail = np.log10(prior / (known + prior))
+        # Arcs of the states that this block can be in, for tokens it has.
+        there = k.pair_order[seen > 0]
+        h, w = k.ends[0][there], k.ends[1][there]
+        weight = np.log10((seen[seen > 0] + prior * 10.0 ** lower[w]) / (known[h] + prior))
+        arcs = dict(zip((h * len(known) + w).tolist(), weight.tolist(), strict=True))
+        scores = traverse(k.at.tolist(), k.lengths.tolist(), arcs, fail.tolist(), lower.tolist())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(row["ids"], id_type), pa.array(row["held"], pa.bool_()),
+             pa.array(k.lengths, pa.int64()),
+             pa.array(np.add.reduceat(known[k.at] > 0, k.starts, dtype=np.int64)),
+             pa.array(np.full(len(k.lengths), total, np.int64)),
+             pa.array(np.add.reduceat(lower[k.at], k.starts)), pa.array(scores, pa.float64())],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
+                   "base_score", "score"])
 
 
 def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", prior: float = PRIOR,
@@ -242,35 +276,24 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", prior:
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text"))
     ids = rows.schema["id"].dataType.simpleString()
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[ids]
-    blocks = _stored(spark, rows.mapInArrow(
+    blocks = stored(spark, rows.mapInArrow(
         lambda batches: _blocks(batches, id_type, block_tokens),
-        f"block long, ids array<{ids}>, held array<boolean>, lengths array<int>, at array<int>, "
-        "words array<binary>, counts array<long>"), "lm-blocks")
-
-    # Token counts; the start of a text (number 0) is a state but not a token.
-    here = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts"))) \
-        .select("block", "pos", F.col("col.words").alias("word"), F.col("col.counts").alias("n"))
-    known = _stored(spark, here.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n")),
-                    "lm-tokens")
-    total, distinct = known.filter(F.col("word") != F.lit(START)).agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    told = here.select("block", "pos", "word").join(known, "word") \
-        .groupBy("block").agg(F.collect_list(F.struct("pos", "n")).alias("known"))
-
-    # Bigram counts.
-    amount = blocks.agg(F.coalesce(F.sum(F.size("at")), F.lit(0))).first()[0]
+        f"block long, tokens long, training long, ids array<{ids}>, held array<boolean>, "
+        "lengths array<int>, at binary, words binary"), "lm-blocks")
+    amount, total = blocks.agg(F.coalesce(F.sum("tokens"), F.lit(0)),
+                               F.coalesce(F.sum("training"), F.lit(0))).first()
     shards = max(1, math.ceil(amount / shard_keys))
     asked = blocks.select("block", "held", "lengths", "at", "words").mapInArrow(
         lambda batches: _requests(batches, shards),
-        "block long, shard long, keys binary, counts binary")
-    answers = asked.groupBy("shard").applyInPandas(
-        _totals, "block long, shard long, totals binary") \
-        .groupBy("block").agg(F.sort_array(F.collect_list(F.struct("shard", "totals")))
-                              .alias("answers"))
-
-    whole = blocks.drop("counts").join(answers, "block").join(told, "block", "left") \
-        .withColumn("known", F.coalesce("known", F.array().cast("array<struct<pos:int,n:bigint>>")))
+        "block long, shard long, words binary, word_counts binary, pairs binary, "
+        "pair_counts binary")
+    answers = stored(spark, asked.groupBy("shard").applyInPandas(
+        _totals, "block long, shard long, words binary, pairs binary, distinct long"), "lm-totals")
+    distinct = answers.agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
+    told = answers.groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("shard", "words", "pairs"))).alias("answers"))
+    whole = blocks.select("block", "ids", "held", "lengths", "at", "words").join(told, "block")
     return whole.mapInArrow(
-        lambda batches: _scored(batches, total, distinct, prior),
+        lambda batches: _scored(batches, total, distinct, prior, id_type),
         f"doc_id {ids}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double")
