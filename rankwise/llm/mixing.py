@@ -15,6 +15,9 @@ hash prefixes give each prefix its offset, and rows are numbered inside a
 prefix. Prefixes are as long as it takes to keep each numbered group small, so
 no group is a whole source, however large.
 
+Sources are what someone weights, so there are thousands of them at most: the
+fold over one period takes a step for each of its slots and sources.
+
 A source that runs out leaves its later slots unused; the others keep theirs,
 and no document is dropped or repeated.
 """
@@ -139,11 +142,10 @@ def mix(docs: DataFrame, *, weights: dict | None = None, doc_id: str = "doc_id",
         .join(offsets, ["key", "prefix"]) \
         .withColumn("place", F.col("place") + F.col("offset"))
     ranked = ranked.withColumn("block", F.floor(F.col("place") / block_docs)) \
-        .join(F.broadcast(sources.select("key", "units")), "key") \
+        .join(sizes.hinted(sources.select("key", "units"))[0], "key") \
         .withColumn("round", F.floor(F.col("block") / F.col("units"))) \
         .withColumn("k", F.col("block") - F.col("round") * F.col("units")).drop("units")
-    # The plan has as many rows as the period, which the parameters bound.
-    placed = ranked.join(F.broadcast(plan), ["key", "k"])
+    placed = ranked.join(sizes.hinted(plan)[0], ["key", "k"])
     start = F.col("round") * F.col("period")
     slot = start + F.col("slot")
     made = {"mix_units": F.col("units"), "mix_period": F.col("period"),
