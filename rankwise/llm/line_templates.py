@@ -3,15 +3,16 @@
 A line's tokens with a digit become the wildcard ``<*>``. The tree routes it by
 its token count and its first ``DEPTH`` tokens to a leaf. Inside a leaf,
 positions where lines differ generalise: a token stays if lines of at least
-``MIN_DOCS`` documents have it at that position, and is a wildcard otherwise.
-The result is the line's template if enough of it is fixed; else the line keeps
-the form it had with its digits masked. A template found in ``MIN_DOCS``
-documents or more recurs: its lines are dropped everywhere but in the first of
-them, the one with the least id, so that copies do not wipe out each other.
-
-Lines are counted as (form, document) pairs before anything is joined, only
-distinct lines of leaves that hold several are taken apart into tokens, and
-joins are plain equi-joins that Spark may split where a line is very common.
+``MIN_DOCS`` documents have it at that position, and is a wildcard otherwise (a
+document counts once for each form). The result is the line's template if enough
+of it is fixed; else the line keeps the form it had with its digits masked. A template found in ``MIN_DOCS`` documents or more recurs:
+its lines are dropped everywhere but in the first of them, the one with the least
+id, so that copies do not wipe out each other.
+
+What moves between tasks are digests: forms and templates as 128 bits, tokens at
+their place in a leaf as 64. Forms are moved only for leaves that hold different
+ones, each form once. Counts combine before they move, and joins are plain
+equi-joins that Spark may split where a line is very common.
 """
 from __future__ import annotations
 
@@ -19,8 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwise.llm import sizes
+from rankwise.llm.tables import stored
 from rankwise.llm.text import BLANKS, fresh, lines
-from rankwise.session import scratch_path
 
 DEPTH = 2             # leading tokens that the tree branches on
 MIN_DOCS = 3          # documents that make a template recur
@@ -31,12 +32,6 @@ WILD = "<*>"
 VARIABLE = r"(?<![^\x09-\x0D\x20])[^\x09-\x0D\x200-9]*+[0-9][^\x09-\x0D\x20]*"
 
 
-def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _form(line: Column) -> Column:
     """The line with one space between tokens and wildcards for digits."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, WILD)).otherwise(line)
@@ -51,30 +46,38 @@ def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     out = out.select("doc", "line_no", _form(F.col("line")).alias("form")).filter("form <> ''")
     tokens = F.split("form", " ", -1)
     return out.withColumn("tokens", tokens).select(
-        "doc", "line_no", "form", F.md5("form").alias("line"), F.size("tokens").alias("n"),
+        "doc", "line_no", "form", F.unhex(F.md5("form")).alias("line"), F.size("tokens").alias("n"),
         F.size(F.array_remove("tokens", WILD)).alias("fixed"),
         F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"))
 
 
-def _generalised(forms: DataFrame, limit: int) -> DataFrame:
-    """(line, template): lines whose leaf generalises them beyond digits."""
-    several = forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines"),
-                                        F.sum("docs").alias("docs")) \
-        .filter((F.col("lines") > 1) & (F.col("docs") >= MIN_DOCS)).select("leaf")
-    several, _ = sizes.hinted(several, limit)
+def _generalised(spark: SparkSession, table: DataFrame, limit: int) -> DataFrame:
+    """(line, template, docs): forms whose leaf generalises them beyond digits."""
     # Lines of one leaf have one token count; those too short have no template.
-    apart = forms.filter(F.col("n") >= MIN_FIXED).join(several, "leaf").select(
-        "leaf", "line", "docs", "n", F.posexplode(F.split("form", " ", -1)).alias("pos", "token"))
-    apart = apart.filter(F.col("token") != WILD)
-    common = apart.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("support")) \
-        .filter(F.col("support") >= MIN_DOCS).drop("support")
-    stays = apart.join(common, ["leaf", "pos", "token"])
-    template = F.to_json(F.sort_array(F.collect_list(F.struct("pos", "token"))))
-    out = stays.groupBy("leaf", "line", "n").agg(F.count(F.lit(1)).alias("fixed"),
-                                                 template.alias("template"))
-    return out.filter((F.col("fixed") >= MIN_FIXED) & (F.col("fixed") < F.col("n"))
-                      & (F.col("fixed") >= FIXED_SHARE * F.col("n"))) \
-        .select("line", F.md5(F.concat_ws(" ", "leaf", "template")).alias("template"))
+    several = table.filter(F.col("n") >= MIN_FIXED).groupBy("leaf").agg(
+        F.min("line").alias("a"), F.max("line").alias("b"), F.count(F.lit(1)).alias("lines")) \
+        .filter((F.col("a") != F.col("b")) & (F.col("lines") >= MIN_DOCS)).select("leaf")
+    several, _ = sizes.hinted(stored(spark, several, "line-leaves"), limit)
+    held = table.join(several, "leaf")
+    forms = held.groupBy("line").agg(F.first("form").alias("form"), F.first("n").alias("n"),
+                                     F.first("leaf").alias("leaf"))
+    docs = held.groupBy("line").agg(F.count_distinct("doc").alias("docs"))
+    forms = stored(spark, forms.join(docs, "line")
+                   .withColumn("id", F.monotonically_increasing_id()), "line-forms")
+    apart = forms.select("id", "docs", "leaf", F.posexplode(F.split("form", " ", -1))) \
+        .filter(F.col("col") != WILD) \
+        .select("id", "docs", F.xxhash64("leaf", "pos", "col").alias("cell"))
+    common = apart.groupBy("cell").agg(F.sum("docs").alias("support")) \
+        .filter(F.col("support") >= MIN_DOCS).select("cell")
+    # A template is the set of its cells, told by two independent xors of hashes.
+    stays = apart.join(common, "cell").groupBy("id").agg(
+        F.count(F.lit(1)).alias("fixed"), F.bit_xor("cell").alias("x"),
+        F.bit_xor(F.xxhash64("cell", F.lit(1))).alias("y"))
+    out = forms.join(stays, "id").filter(
+        (F.col("fixed") >= MIN_FIXED) & (F.col("fixed") < F.col("n"))
+        & (F.col("fixed") >= FIXED_SHARE * F.col("n")))
+    return out.select("line", F.unhex(F.md5(F.concat_ws(" ", "leaf", "x", "y"))).alias("template"),
+                      "docs")
 
 
 def dropped_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
@@ -85,26 +88,23 @@ def dropped_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     and counts lie in the shared folder.
     """
     spark = docs.sparkSession
-    table = _stored(spark, line_table(docs, doc_id, text), "lines")
-    forms = table.groupBy("line").agg(
-        F.count_distinct("doc").alias("docs"), F.first("form").alias("form"),
-        F.first("n").alias("n"), F.first("fixed").alias("fixed"), F.first("leaf").alias("leaf"))
-    forms = _stored(spark, forms, "line-forms")
-    general = _stored(spark, _generalised(forms, limit), "line-templates")
+    table = stored(spark, line_table(docs, doc_id, text), "lines")
+    general = stored(spark, _generalised(spark, table, limit), "line-templates")
     # Only lines whose template may recur meet their documents again.
-    named = forms.join(general, "line", "left").filter(
-        F.col("template").isNotNull() | (F.col("fixed") >= FIXED_SHARE * F.col("n"))) \
-        .select("line", "docs", F.coalesce("template", "line").alias("template"))
-    possible = named.groupBy("template").agg(F.sum("docs").alias("docs")) \
-        .filter(F.col("docs") >= MIN_DOCS).select("template")
-    named, _ = sizes.hinted(_stored(spark, named.select("line", "template")
-                                    .join(possible, "template"), "line-names"), limit)
+    wide = general.groupBy("template").agg(F.sum("docs").alias("all")) \
+        .filter(F.col("all") >= MIN_DOCS).select("template")
+    wide = general.select("line", "template").join(wide, "template").select("line", "template")
+    plain = table.filter(F.col("fixed") >= FIXED_SHARE * F.col("n")).groupBy("line") \
+        .agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") >= MIN_DOCS) \
+        .select("line").join(general.select("line"), "line", "left_anti") \
+        .select("line", F.col("line").alias("template"))
+    named, _ = sizes.hinted(stored(spark, wide.unionByName(plain), "line-names"), limit)
     met = table.select("doc", "line_no", "line").join(named, "line")
-    met = _stored(spark, met.select("doc", "line_no", "template"), "line-matches")
+    met = stored(spark, met.select("doc", "line_no", "template"), "line-matches")
     recurring = met.groupBy("template").agg(F.count_distinct("doc").alias("docs"),
                                             F.min("doc").alias("first")) \
         .filter(F.col("docs") >= MIN_DOCS).select("template", "first")
-    recurring, _ = sizes.hinted(_stored(spark, recurring, "line-recurring"), limit)
+    recurring, _ = sizes.hinted(stored(spark, recurring, "line-recurring"), limit)
     return met.join(recurring, "template").filter(F.col("doc") != F.col("first")) \
         .groupBy("doc").agg(F.collect_set("line_no").alias("drop"))
 
@@ -120,7 +120,7 @@ def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     of one id with different texts are two. A null id counts as the least.
     """
     spark = docs.sparkSession
-    drops = _stored(spark, dropped_lines(docs, doc_id=doc_id, text=text, limit=limit)
+    drops = stored(spark, dropped_lines(docs, doc_id=doc_id, text=text, limit=limit)
                     .select(F.col("doc.id").alias("d_id"), F.col("doc.key").alias("d_key"), "drop"),
                     "line-drops")
     drops, _ = sizes.hinted(drops, limit)

@@ -18,14 +18,15 @@ def prose(rng, n):
 
 def plain(rows):
     """Texts of (doc_id, text, ...) rows with distinct ids after the dedup."""
-    forms, seen = {}, Counter()
+    forms, found = {}, {}
     for r in rows:
         for k, line in enumerate((r[1] or "").split("\n")):
             tokens = tuple("<*>" if re.search("[0-9]", w) else w
                            for w in re.findall(r"[^\x09-\x0D\x20]+", line))
             if tokens:
                 forms[r[0], k] = tokens
-                seen[tokens] += 1
+                found.setdefault(tokens, set()).add(r[0])
+    seen = {f: len(ids) for f, ids in found.items()}
     leaves, support = {}, Counter()
     for f in seen:
         leaves.setdefault((len(f), f[:t.DEPTH]), []).append(f)
