@@ -9,11 +9,13 @@ notices stand in documents.
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwise.llm import sizes
-from rankwise.llm.text import lines
+from rankwise.llm.text import fresh, lines
 
 # A copyright line begins with a copyright mark, after anything but letters.
 COPYRIGHT = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*$"
@@ -110,18 +112,24 @@ License."""),
 ]
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form; empty for a null text and one of copyright lines alone."""
-    t = F.lower(F.coalesce(text, F.lit("")))
-    t = F.when(t.rlike(r"copyright|\(c\)|©"), F.regexp_replace(t, COPYRIGHT, " ")).otherwise(t)
+def with_canonical(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with the canonical form of ``text``: empty for a null text and for one
+    of copyright lines alone. Step by step, so that each is worked out once."""
+    low, words = fresh(df, "_low"), fresh(df, "_words")
+    out = df.withColumn(low, F.lower(F.coalesce(F.col(text), F.lit(""))))
+    t = F.col(low)
+    marked = t.contains("copyright") | t.contains("(c)") | t.contains("©")
+    out = out.withColumn(low, F.when(marked, F.regexp_replace(t, COPYRIGHT, " ")).otherwise(t))
+    out = out.withColumn(words, F.array_remove(F.split(t, PUNCTUATION, -1), ""))
     # Every word stands between two spaces of its own, so that it can be replaced.
-    t = F.concat(F.lit(" "), F.regexp_replace(t, PUNCTUATION, "  "), F.lit(" "))
-    one_way = t
+    one_way = F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
     for word, other in EQUIVALENT.items():
         one_way = F.replace(one_way, F.lit(f" {word} "), F.lit(f" {other} "))
-    variants = " (?:" + "|".join(EQUIVALENT) + ") "
-    t = F.when(t.rlike(variants), one_way).otherwise(t)
-    return F.trim(F.regexp_replace(t, " +", " "))
+    variants = F.array(*(F.lit(w) for w in sorted({w.split()[0] for w in EQUIVALENT})))
+    out = out.withColumn(name, F.when(
+        F.arrays_overlap(words, variants), F.trim(F.regexp_replace(one_way, " +", " ")))
+        .otherwise(F.array_join(words, " ")))
+    return out.drop(low, words)
 
 
 def digest(form: Column) -> Column:
@@ -129,10 +137,22 @@ def digest(form: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
+def needles(known: list[tuple[str, str]]) -> str:
+    """A pattern that every text equal to a known one matches: of each, its longest
+    word that no spelling changes. It spares other texts the work."""
+    changed = {w for pair in EQUIVALENT.items() for words in pair for w in words.split()}
+    longest = set()
+    for _, text in known:
+        words = set(re.findall("[a-z0-9]+", text.lower())) - changed
+        longest.add(max(words, key=lambda w: (len(w), w), default=""))
+    return "|".join(sorted(longest))
+
+
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """(digest, license): one row per digest, the least identifier of equal texts."""
     table = spark.createDataFrame(KNOWN if known is None else known, "license string, text string")
-    return table.select(digest(canonical(F.col("text"))).alias("digest"), "license") \
+    return with_canonical(table, "text", "form").select(digest(F.col("form")).alias("digest"),
+                                                        "license") \
         .filter("digest is not null").groupBy("digest").agg(F.min("license").alias("license"))
 
 
@@ -147,18 +167,25 @@ def scan(docs: DataFrame, known: DataFrame | None = None, *, doc_id: str = "doc_
     text. Other columns are not read. ``known`` (digest, license) may have any
     size: it is broadcast only if measured small.
     """
+    may_match = needles(KNOWN) if known is None else ""
     known = known_digests(docs.sparkSession) if known is None else known
     known, _ = sizes.hinted(known.select("digest", "license"), limit)
     rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("row_key"),
                        F.col(text).alias("text"))
-    in_lines = rows.select("id", "row_key", F.posexplode(lines(F.col("text")))) \
-        .select("id", "row_key", "pos", digest(canonical(F.col("col"))).alias("digest")) \
+    # The longest words that known texts must have are rare: most documents, and
+    # most lines of the others, are out before anything is done to them.
+    single = rows.filter(F.lower("text").rlike(may_match)) \
+        .select("id", "row_key", F.posexplode(lines(F.col("text")))) \
+        .filter(F.lower("col").rlike(may_match))
+    in_lines = with_canonical(single, "col", "form") \
+        .select("id", "row_key", "pos", digest(F.col("form")).alias("digest")) \
         .join(known, "digest").groupBy("id", "row_key").agg(
             F.count_distinct("pos").alias("n"),
             F.array_join(F.sort_array(F.collect_set("license")), ",").alias("names"))
     in_lines = in_lines.select(F.col("id").alias("l_id"), F.col("row_key").alias("l_key"), "n",
                                "names")
-    whole = rows.select("id", "row_key", digest(canonical(F.col("text"))).alias("digest")) \
+    whole = with_canonical(rows, "text", "form") \
+        .select("id", "row_key", digest(F.col("form")).alias("digest")) \
         .join(known, "digest", "left")
     out = whole.join(in_lines, whole["id"].eqNullSafe(in_lines["l_id"])
                      & (whole["row_key"] == in_lines["l_key"]), "left")

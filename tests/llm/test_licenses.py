@@ -1,4 +1,6 @@
 """Licence scans: equal forms match, other texts do not, odd rows."""
+import re
+
 import pytest
 
 from rankwise.llm import licenses as li
@@ -39,11 +41,18 @@ def test_digests(spark, rows):
 def test_every_equivalent_word_is_spelled_one_way(spark):
     left = [(i, f"a {w.replace('  ', '-')}, {w.replace('  ', ' ')} b") for i, w in enumerate(li.EQUIVALENT)]
     right = [(i, f"A {o} {o} b.") for i, o in enumerate(li.EQUIVALENT.values())]
-    forms = [[r[0] for r in spark.createDataFrame(x, DDL).orderBy("doc_id")
-              .select(li.canonical(li.F.col("text"))).collect()] for x in (left, right)]
+    forms = [[r.form for r in li.with_canonical(spark.createDataFrame(x, DDL), "text", "form")
+              .orderBy("doc_id").collect()] for x in (left, right)]
     assert forms[0] == forms[1]
 
 
+def test_every_known_text_has_a_needle():
+    pattern = li.needles(li.KNOWN)
+    assert all(re.search(pattern, text.lower()) for _, text in li.KNOWN)
+    assert "" not in pattern.split("|") and not re.search(pattern, "the of and to license")
+    assert li.needles([("x", "licence owner")]) == ""
+
+
 def test_known_digests_are_unique_and_an_empty_table(spark):
     known = li.known_digests(spark)
     assert known.count() == known.select("digest").distinct().count() == len(li.KNOWN)
