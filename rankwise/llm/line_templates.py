@@ -98,7 +98,8 @@ def dropped_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         .agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") >= MIN_DOCS) \
         .select("line").join(general.select("line"), "line", "left_anti") \
         .select("line", F.col("line").alias("template"))
-    named, _ = sizes.hinted(stored(spark, wide.unionByName(plain), "line-names"), limit)
+    # These grow with the corpus, so the join is one of shuffled digests at any size.
+    named = stored(spark, wide.unionByName(plain), "line-names").hint("merge")
     met = table.select("doc", "line_no", "line").join(named, "line")
     met = stored(spark, met.select("doc", "line_no", "template"), "line-matches")
     recurring = met.groupBy("template").agg(F.count_distinct("doc").alias("docs"),
