@@ -1,14 +1,16 @@
 """Licence scans: canonical digest lookup (native).
 
-A text becomes canonical by lower-casing, dropping its copyright lines, taking
+A text becomes canonical by lower-casing, dropping its copyright notices, taking
 punctuation for white space and spelling equivalent words one way. Texts with
 equal canonical forms have equal SHA-256 digests, so a scan is a hash join of the
 digests of entire texts with those of known licences. A document is looked up
 as a whole, and each of its lines as an entire text of its own, which is how
-notices stand in documents.
+notices stand in documents. Known texts are known with their usual titles and
+without, the long ones also without what may stand around their terms.
 """
 from __future__ import annotations
 
+import pkgutil
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +19,42 @@ from pyspark.sql import functions as F
 from rankwise.llm import sizes
 from rankwise.llm.text import fresh, lines
 
-# A copyright line begins with a copyright mark, after anything but letters.
-COPYRIGHT = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*$"
+def _other_than(words: str) -> str:
+    """A pattern for the start of a word that is none of ``words``, up to where it
+    differs from all of them. Without look-ahead, which not every engine has."""
+    tree: dict = {}
+    for word in words.split():
+        node = tree
+        for c in word:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def at(node: dict, first: bool) -> str:
+        letters = "".join(sorted(c for c in node if c))
+        ways = [rf"[^\x00-\x60\x7B-\x7F{letters}]"]
+        if not first and "" not in node:
+            ways.append(r"[\x00-\x09\x0B-\x60\x7B-\x7F]|$")
+        return "(?:" + "|".join(ways + [c + at(node[c], False) for c in letters]) + ")"
+    return at(tree, True)
+
+
+# Words after a mark where a licence speaks of copyright, or lists
+# its points (a), (b), (c), and which a line may begin with once it is wrapped.
+_NO_NAMES = """act also and applies are as can claim claims disclaimer doctrines exists for holder
+holders if in including information infringement interest interests is law laws licence licences
+license licenses management material may means must nor not notice notices notification of on or
+owner owners ownership permission permissions protection resulting right rights shall similar
+statement statements status subsists that the this to treaties treaty under which will with"""
+_NO_HOLDERS = """a all an and any are as at by each every for if in is must no not of on or otherwise
+provide provided representations such that the this to under use where with you your"""
+_YEAR = r"(?:19|20)[0-9]{2}\b"
+# A copyright notice is a line that begins, after anything but letters, with a mark
+# and a second mark, a year, a blank to fill in or a name.
+COPYRIGHT = (
+    r"(?m)^[^a-z0-9\n]*(?:©|(?:copyright|\(c\))[ \t:,]*(?:\(c\)|©|copyright[ \t]|[\[<{]|[12][0-9]{3}\b)"
+    rf"|(?:copyright[ \t]+the|\(c\))[ \t][^\n]*\b{_YEAR}"
+    rf"|copyright[ \t]+(?:by[ \t]+)?{_other_than(_NO_NAMES + ' by')}"
+    rf"|\(c\)[ \t]*{_other_than(_NO_HOLDERS)})[^\n]*$")
 # ASCII punctuation and white space, and the typographic blocks of Unicode.
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{A0}-\x{BF}\x{2000}-\x{206F}\x{3000}-\x{303F}]+"
 # Words of licence texts that count as equal.
@@ -37,7 +73,7 @@ EQUIVALENT = {
     "practise": "practice", "programme": "program", "realise": "realize",
     "recognise": "recognize", "signalling": "signaling", "sub  license": "sublicense",
     "sub  licence": "sublicense", "sublicence": "sublicense", "sub  licensed": "sublicensed",
-    "utilisation": "utilization", "whilst": "while", "wilful": "wilfull",
+    "utilisation": "utilization", "whilst": "while", "wilful": "willful", "wilfull": "willful",
 }
 
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this
@@ -110,6 +146,69 @@ License."""),
     ("CC0-1.0", "Released under CC0 1.0."),
     ("all-rights-reserved", "All rights reserved."),
 ]
+# Titles that the short licences have in files of their own.
+_TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)",
+            "Expat License"],
+    "MIT-0": ["MIT No Attribution", "MIT No Attribution License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License",
+             "BSD Zero Clause License (0BSD)", "0BSD License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "BSD License",
+                     'BSD 2-Clause "Simplified" License', "Simplified BSD License",
+                     "FreeBSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD License",
+                     'BSD 3-Clause "New" or "Revised" License', "New BSD License",
+                     "Modified BSD License", "Revised BSD License"],
+}
+# For each long text where its head ends, where its terms start and
+# where they end. The copyright notice and address of the author lie before the terms.
+_LONG = {
+    "Apache-2.0": ("TERMS AND CONDITIONS FOR USE", "TERMS AND CONDITIONS FOR USE",
+                   ["END OF TERMS AND CONDITIONS", "APPENDIX: How to apply"]),
+    "GPL-2.0": ("Copyright (C)", "Everyone is permitted",
+                ["END OF TERMS AND CONDITIONS", "How to Apply These Terms"]),
+    "GPL-3.0": ("Everyone is permitted", "Everyone is permitted",
+                ["END OF TERMS AND CONDITIONS", "How to Apply These Terms"]),
+    "LGPL-2.1": ("Copyright (C)", "Everyone is permitted",
+                 ["END OF TERMS AND CONDITIONS", "How to Apply These Terms"]),
+    "LGPL-3.0": ("Everyone is permitted", "Everyone is permitted", []),
+    "MPL-1.1": ("1. Definitions", "1. Definitions", ["EXHIBIT A"]),
+    "MPL-2.0": ("1. Definitions", "1. Definitions", []),
+    "CC0-1.0": ("CREATIVE COMMONS CORPORATION IS NOT", "Statement of Purpose", []),
+    "CC-BY-SA-4.0": ("Creative Commons Corporation", "By exercising the Licensed Rights",
+                     ["Creative Commons is not a party to its public"]),
+}
+
+
+def _titled() -> list[tuple[str, str]]:
+    out = []
+    for name, text in KNOWN:
+        if name not in _TITLES or len(text) < 500:
+            continue
+        bodies = [text]
+        if name.startswith("BSD"):
+            # Points are numbered or have bullets, and the notice may have a second line.
+            bodies.append(re.sub(r"(?m)^[1-3]\. ", "* ", text))
+            bodies += ["All rights reserved.\n" + b for b in bodies]
+        out += [(name, f"{title}\n\n{b}".lstrip()) for b in bodies for title in ["", *_TITLES[name]]
+                if title or b != text]
+    return out
+
+
+def _long_texts() -> list[tuple[str, str]]:
+    out = []
+    for name, (head_end, start, ends) in _LONG.items():
+        text = pkgutil.get_data("rankwise.llm", f"license_texts/{name}.txt").decode()
+        head, a = text[:text.index(head_end)], text.index(start)
+        # The whole, with the notice or address left out, and without the head.
+        for front in dict.fromkeys([text[:a], head, ""]):
+            for b in [len(text), *map(text.index, ends)]:
+                out.append((name, front + text[a:b]))
+    return out
+
+
+KNOWN += _titled() + _long_texts()
 
 
 def with_canonical(df: DataFrame, text: str, name: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Licence scans: equal forms match, other texts do not, odd rows."""
 import re
+import textwrap
 
 import pytest
 
@@ -59,3 +60,37 @@ def test_known_digests_are_unique_and_an_empty_table(spark):
     assert li.scan(spark.createDataFrame([], DDL)).count() == 0
     none = spark.createDataFrame([], "digest string, license string")
     assert li.scan(spark.createDataFrame([(1, MIT)], DDL), none).first().license is None
+
+
+def test_whole_files_with_title_and_notice_at_any_width(spark):
+    titles = {"MIT": "MIT License", "ISC": "ISC License", "BSD-2-Clause": "BSD 2-Clause License",
+              "BSD-3-Clause": "BSD 3-Clause License", "0BSD": "Zero-Clause BSD", "MIT-0": "MIT No Attribution"}
+    short = {n: next(t for k, t in li.KNOWN if k == n and len(t) > 500) for n in titles}
+    notices = ["Copyright (c) 2020, Some One", "Copyright 1999-2004 by A. Person <a@b.example>",
+               "Copyright Some Company and others", "(c) Jane Doe", "© 2001 X\n(C) 2002 Y"]
+    rows, want = [], {}
+    for width in (30, 41, 72, 79, 100, 10_000):
+        for i, (name, text) in enumerate(short.items()):
+            body = "\n\n".join(textwrap.fill(p, width, break_long_words=False) for p in text.split("\n\n"))
+            rows.append((len(rows), f"{titles[name]}\n\n{notices[(i + width) % 5]}\n\n{body}\n"))
+            want[len(rows) - 1] = name
+        for name, (_, start, ends) in li._LONG.items():
+            text = next(t for k, t in li.KNOWN if k == name and t.count(start) and len(t) > 5000)
+            a = text.index(start)
+            b = text.index(ends[-1]) if ends else len(text)
+            body = "\n\n".join(textwrap.fill(p, width, break_long_words=False) for p in text[a:b].split("\n\n"))
+            rows.append((len(rows), text[:a] + body))
+            want[len(rows) - 1] = name
+    assert {"GPL-3.0", "LGPL-3.0", "MPL-2.0", "Apache-2.0", "CC0-1.0"} <= set(want.values())
+    got = {r.doc_id: r.license for r in li.scan(spark.createDataFrame(rows, DDL)).collect()}
+    assert got == want
+
+
+def test_only_notices_go(spark):
+    rows = [(0, "copyright notice and this permission notice appear in all copies."),
+            (1, "(c) You must retain all"), (2, "copyright holders and contributors"),
+            (3, "Copyright"), (4, "Copyright Notary Public"), (5, "  * Copyright [yyyy] [name]"),
+            (6, "copyright hol"), (7, "© X"), (8, "(c) 2020"), (9, "it is wilful"), (10, "it is willful")]
+    out = {r.doc_id: r.digest for r in li.scan(spark.createDataFrame(rows, DDL)).collect()}
+    assert [i for i in range(9) if out[i] is None] == [4, 5, 6, 7, 8]
+    assert out[9] == out[10]
