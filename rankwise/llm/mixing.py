@@ -5,10 +5,12 @@ are whole units of a period: a source with ``a`` of ``P`` units gets its block
 ``k`` (from 1) of a period released at slot ``floor((k-1)P/a)`` and due before
 slot ``ceil(kP/a)``, and earliest-deadline-first among the released blocks fills
 one slot after the other. All windows are met, so after any number of slots a
-source has had its share to within less than one block, and after a period
-exactly its share. So the schedule of one period, which the number of sources
-and the period bound, is the schedule of all: block ``k`` of a source goes to
-period ``(k-1) div a``, and documents get their slots by a join.
+source has had its share of units to within less than one block, and after a
+period exactly its share. Units are the weights rounded to a short period where
+this moves no source by more than ``ROUNDING`` of a block before one runs out, and
+else the weights themselves, whose period is their sum. The schedule of one
+period, as far as there are blocks to place, is the schedule of all: block ``k``
+of a source goes to period ``(k-1) div a``, and documents get their slots by a join.
 
 The place of a document within its source comes from two levels: counts of
 hash prefixes give each prefix its offset, and rows are numbered inside a
@@ -16,7 +18,7 @@ prefix. Prefixes are as long as it takes to keep each numbered group small, so
 no group is a whole source, however large.
 
 Sources are what someone weights, so there are thousands of them at most: the
-fold over one period takes a step for each of its slots and sources.
+fold over the slots is one task with a step for each slot and source.
 
 A source that runs out leaves its later slots unused; the others keep theirs,
 and no document is dropped or repeated.
@@ -34,6 +36,8 @@ from rankwise.llm.text import fresh
 
 BLOCK_DOCS = 32
 PERIOD = 1000            # units that weights are rounded to; a source has one at least
+ROUNDING = 1 / 16        # of a block that rounding may move a source, else weights are exact
+SLOTS_AT_ONCE = 1000     # slots that the fold adds to the plan at once
 GROUP_ROWS = 20_000      # aim for the rows numbered together
 FAR = 1 << 60
 
@@ -52,52 +56,89 @@ def given_weights(counts: DataFrame, weights: dict) -> DataFrame:
     return counts.withColumn("weight", F.coalesce(*parts, F.lit(0)).cast("long"))
 
 
-def units(weighted: DataFrame, period: int) -> DataFrame:
-    """(key, source, units): the weight as its rounded share of the period, one
-    at least. Units of all sources add up to the period that is scheduled."""
-    total = F.sum("weight").over(Window.partitionBy())
-    share = F.floor((F.col("weight") * (2 * period) + total) / (2 * F.greatest(total, F.lit(1))))
-    return weighted.withColumn("units", F.greatest(share, F.lit(1)).cast("long")) \
+def units(weighted: DataFrame, period: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """(key, source, n, units): the weight as its rounded share of the period, one at
+    least, or where that is too far off, the weight. Units of all sources add up to
+    the period that is scheduled."""
+    sources = Window.partitionBy()
+    total = F.greatest(F.sum("weight").over(sources), F.lit(1))
+    out = weighted.withColumn("total", total) \
+        .withColumn("exact", F.greatest("weight", F.lit(1)).cast("long"))
+    share = F.floor((F.col("weight") * (2 * period) + F.col("total")) / (2 * F.col("total")))
+    out = out.withColumn("rounded", F.greatest(share, F.lit(1)).cast("long"))
+    part = F.col("rounded") / F.sum("rounded").over(sources)
+    out = out.withColumn("off", F.abs(part - F.col("weight") / F.col("total"))) \
+        .withColumn("slots", F.ceil(F.col("n") / block_docs) / part)
+    # Weights with few decimals have a short period.
+    common = F.coalesce(*(F.when(F.sum(F.col("exact") % 10 ** d).over(sources) == 0, F.lit(10 ** d))
+                          for d in range(6, 0, -1)), F.lit(1))
+    near = F.max("off").over(sources) * F.min("slots").over(sources) <= ROUNDING
+    exact = F.call_function("div", F.col("exact"), common)
+    return out.withColumn("units", F.when(near, F.col("rounded")).otherwise(exact).cast("long")) \
         .select("key", "source", "n", "units")
 
 
-def schedule(sources: DataFrame) -> DataFrame:
+def _turns(blocks: Column, period: Column, share: Column, up: bool = False) -> Column:
+    """The slots that so many blocks take, exactly, rounded down or up."""
+    return F.call_function("div", blocks * period + (share - 1 if up else 0), share)
+
+
+def schedule(sources: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """One period: a row for each slot, with the source (key) whose block ``k``
-    it holds, and that block's release, deadline and slot within the period.
+    it holds, and that block's release, deadline and slot within the period. With
+    the numbers of documents (n) it ends where they have slots.
 
     The sources and their units are one row, and earliest-deadline-first is one
     fold over the slots; its state is the number of blocks that each source has
     had. Equal deadlines go by the order of the keys.
     """
-    one = sources.agg(F.sort_array(F.collect_list(F.struct("key", "units"))).alias("all"),
-                      F.coalesce(F.sum("units"), F.lit(0)).alias("period"))
+    blocks = F.least(F.ceil(F.col("n") / block_docs), F.col("units")) \
+        if "n" in sources.columns else F.col("units")
+    one = sources.withColumn("blocks", blocks.cast("long")).agg(
+        F.sort_array(F.collect_list(F.struct("key", "units", "blocks"))).alias("all"),
+        F.coalesce(F.sum("units"), F.lit(0)).alias("period"))
+    one = one.withColumn("slots", F.coalesce(F.array_max(F.transform("all", lambda s: _turns(
+        s["blocks"], F.col("period"), s["units"], True))), F.lit(0)))
     no_blocks = F.transform("all", lambda s: F.lit(0).cast("long"))
-    begin = F.struct(no_blocks.alias("had"), F.array().cast("array<int>").alias("plan"))
+    no_plan = F.array().cast("array<struct<i:int,k:bigint>>")
 
     def fill(state: Column, slot: Column) -> Column:
         def due(s: Column, i: Column) -> Column:
             had = F.get(state["had"], i)
-            released = F.floor(had * F.col("period") / s["units"]) <= slot
-            deadline = F.ceil((had + 1) * F.col("period") / s["units"])
+            released = _turns(had, F.col("period"), s["units"]) <= slot
+            deadline = _turns(had + 1, F.col("period"), s["units"], True)
             open_ = released & (had < s["units"])
             return F.struct(F.when(open_, deadline).otherwise(F.lit(FAR)).cast("long").alias("by"),
                             i.alias("i"))
-        first = F.array_min(F.transform("all", due))["i"]
-        return F.struct(
-            F.transform(state["had"], lambda x, i: F.when(i == first, x + 1).otherwise(x))
-            .alias("had"),
-            F.concat(state["plan"], F.array(first)).alias("plan"))
-    slots = F.when(F.col("period") > 0, F.sequence(F.lit(0).cast("long"), F.col("period") - 1)) \
+
+        def given(first: Column) -> Column:
+            return F.struct(
+                F.transform(state["had"], lambda x, i: F.when(i == first, x + 1).otherwise(x))
+                .alias("had"),
+                F.concat(state["plan"], F.array(F.struct(
+                    first.alias("i"), F.get(state["had"], first).alias("k")))).alias("plan"))
+        # The lambda names the first source, so that it is found once a slot.
+        return F.get(F.transform(F.array(F.array_min(F.transform("all", due))["i"]), given),
+                     F.lit(0))
+
+    def fill_some(state: Column, start: Column) -> Column:
+        return F.aggregate(
+            F.sequence(start, F.least(start + SLOTS_AT_ONCE, F.col("slots")) - 1),
+            F.struct(state["had"].alias("had"), no_plan.alias("plan")), fill,
+            lambda s: F.struct(s["had"].alias("had"),
+                               F.concat(state["plan"], s["plan"]).alias("plan")))
+    starts = F.when(F.col("slots") > 0, F.sequence(F.lit(0).cast("long"), F.col("slots") - 1,
+                                                   F.lit(SLOTS_AT_ONCE).cast("long"))) \
         .otherwise(F.array().cast("array<long>"))
-    plan = one.select("all", "period", F.aggregate(slots, begin, fill, lambda s: s["plan"])
-                      .alias("plan"))
-    plan = plan.select("period", "all", F.posexplode("plan").alias("slot", "i"))
-    plan = plan.select("period", "slot", F.get("all", F.col("i")).alias("s")) \
-        .select("period", "slot", "s.key", "s.units")
-    k = F.row_number().over(Window.partitionBy("key").orderBy("slot"))
-    plan = plan.withColumn("k", k.cast("long") - 1)
-    return plan.withColumn("release", F.floor(F.col("k") * F.col("period") / F.col("units"))) \
-        .withColumn("deadline", F.ceil((F.col("k") + 1) * F.col("period") / F.col("units")))
+    plan = one.select("all", "period", F.aggregate(
+        starts, F.struct(no_blocks.alias("had"), no_plan.alias("plan")), fill_some,
+        lambda s: s["plan"]).alias("plan"))
+    plan = plan.select("period", "all", F.posexplode("plan").alias("slot", "turn"))
+    plan = plan.select("period", "slot", F.get("all", F.col("turn.i")).alias("s"), "turn.k") \
+        .select("period", "slot", "s.key", "s.units", "k")
+    p, a = F.col("period"), F.col("units")
+    return plan.withColumn("release", _turns(F.col("k"), p, a)) \
+        .withColumn("deadline", _turns(F.col("k") + 1, p, a, True))
 
 
 def mix(docs: DataFrame, *, weights: dict | None = None, doc_id: str = "doc_id",
@@ -125,8 +166,8 @@ def mix(docs: DataFrame, *, weights: dict | None = None, doc_id: str = "doc_id",
     counts = docs.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n")) \
         .withColumn("key", F.to_json(F.struct("source")))
     weighted = given_weights(counts, weights) if weights else square_root_weights(counts)
-    sources = stored(spark, units(weighted, period), "mix-sources")
-    plan = stored(spark, schedule(sources), "mix-schedule")
+    sources = stored(spark, units(weighted, period, block_docs), "mix-sources")
+    plan = stored(spark, schedule(sources, block_docs), "mix-schedule")
     largest = sources.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     digits = max(1, math.ceil(math.log(max(largest / GROUP_ROWS, 1), 16)))
 

@@ -64,3 +64,20 @@ def test_one_period_gives_each_source_its_units(spark, units):
     assert sorted(r.slot for r in plan) == list(range(sum(units.values())))
     assert all(sum(r.key == s for r in plan) == n for s, n in units.items())
     assert all(r.release <= r.slot < r.deadline for r in plan)
+
+
+@pytest.mark.parametrize("weights", [None, {"s0": .5} | {f"s{i}": .0025 for i in range(1, 201)}])
+def test_lag_against_the_weights_themselves(spark, weights):
+    counts = {"s0": 9_000} | ({f"s{i}": 700 for i in range(1, 20)} if weights is None
+                              else {f"s{i}": 12 for i in range(1, 201)})
+    rows = [(i, s, "t") for s, n in counts.items() for i in range(n)]
+    shares = weights or {s: math.sqrt(n) for s, n in counts.items()}
+    shares = {s: w / sum(shares.values()) for s, w in shares.items()}
+    got = mixed(spark, rows, weights=weights, block_docs=1).collect()
+    assert len(got) == len(rows) and len({r.mix_position for r in got}) == len(rows)
+    slots = {r.mix_slot: r.source for r in got}
+    last = {s: max(r.mix_slot for r in got if r.source == s) for s in counts}
+    had = dict.fromkeys(counts, 0)
+    for t in range(min(last.values()) + 1):
+        had[slots[t]] += 1
+        assert all(abs(had[s] - shares[s] * (t + 1)) < 1 + 1e-3 for s in counts)
