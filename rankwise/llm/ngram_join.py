@@ -193,9 +193,11 @@ def _verify(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
         nodes, side = group["node"].tolist(), group["side"].to_numpy()
         sets = [np.asarray(s, np.int64) for s in group["shingles"]]
         n_left = int((side == 0).sum())
-        if n_left == len(sets):
+        if not group["cross"].iloc[0]:
             links = linked(sets, sets, threshold)
             np.fill_diagonal(links, False)
+        elif n_left in (0, len(sets)):
+            continue               # no text has hashed to the other block
         else:
             links = np.zeros((len(sets), len(sets)), bool)
             cross = linked(sets[:n_left], sets[n_left:], threshold)
@@ -221,8 +223,9 @@ def _candidates(texts: DataFrame, limit: int) -> DataFrame:
 
 
 def _units(members: DataFrame, block_texts: int, block_shingles: int) -> DataFrame:
-    """(node, comp, unit, side): every pair of texts of a component meets in
-    exactly one unit. Components of one block share units by hash."""
+    """(node, comp, unit, side, cross): every pair of texts of a component meets in
+    exactly one unit, one of two blocks if ``cross``, though one of these may be
+    empty. Components of one block share units by hash."""
     sized = members.groupBy("comp").agg(F.count(F.lit(1)).alias("texts"),
                                         F.sum("size").alias("total"))
     blocks = F.greatest(F.ceil(F.col("texts") / block_texts),
@@ -238,7 +241,8 @@ def _units(members: DataFrame, block_texts: int, block_shingles: int) -> DataFra
     unit = F.when(F.col("blocks") == 1, F.concat(F.lit("u"), F.pmod(F.xxhash64("comp"), shared))) \
         .otherwise(F.concat_ws("-", F.hex("comp"), low, high))
     return out.select("node", "comp", unit.alias("unit"),
-                      F.when(F.col("b") > F.col("other"), 1).otherwise(0).alias("side"))
+                      F.when(F.col("b") > F.col("other"), 1).otherwise(0).alias("side"),
+                      (F.col("b") != F.col("other")).alias("cross"))
 
 
 def _verified(spark: SparkSession, docs: DataFrame, texts: DataFrame, comps: DataFrame,

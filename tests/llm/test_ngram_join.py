@@ -124,3 +124,13 @@ def test_components(spark):
     want = sorted((x, top(x)) for x in {y for u, v in edges if u != v for y in (u, v)})
     got = connected(spark.createDataFrame(edges, "u long, v long"), "test")
     assert sorted(map(tuple, got.collect())) == want
+
+
+def test_few_long_near_copies_leave_blocks_empty(spark):
+    rng, rows = random.Random(12), []
+    for i in range(24):
+        words = [f"w{rng.randint(0, 10_000)}" for _ in range(400)]
+        for k in range(2 + i % 2):
+            rows.append((len(rows), " ".join([*words[:20 * k], f"own{k}", *words[20 * k:]])))
+    got = j.classes(spark.createDataFrame(rows, DDL), block_shingles=150)
+    assert sorted(map(tuple, got.collect()), key=repr) == plain(rows)
