@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwise.llm import (
+    byte_gru,
+    conversation_sql,
     decontaminate,
     html_blocks,
     licenses,
@@ -13,7 +15,9 @@ from rankwise.llm import (
     mixing,
     ngram_join,
     pii,
+    prefix_trie,
     quality_rules,
+    structure_repair,
     warc,
 )
 
@@ -68,6 +72,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumnRenamed("source_id", "page_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_gru.detect(table(spark, sf_dir, "documents"))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.damaged_repairs(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_lm_automaton": op1_lm_automaton,
     "op2_pseudonyms": op2_pseudonyms,
@@ -79,6 +95,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_byte_gru": op12_byte_gru,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 # Words of a text, lower-cased A-Z only, as DuckDB sees them.
@@ -189,6 +208,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 ORACLE: dict[str, str] = {
+    "op11_prefix_trie": conversation_sql.TRIE,
+    "op13_structure_repair": conversation_sql.REPAIRS,
     "op3_quality_rules": _quality_sql(),
     # Every window of every document against every window of every item.
     "op7_decontaminate": f"""

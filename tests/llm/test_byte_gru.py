@@ -1,0 +1,124 @@
+"""Byte-level language identification: gradients, the fast reader, odd rows, accuracy."""
+import numpy as np
+import pytest
+
+from conftest import SF_CHECK
+from rankwise.llm import byte_gru as g
+
+
+def plain_probabilities(net, text, window):
+    """Position by position, straight from the formulas."""
+    u, total = net.out.shape[1] // 2, np.zeros(len(net.languages))
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+    for start in range(0, len(text), window):
+        piece, states = text[start:start + window], []
+        for way, layer in enumerate(net.layers):
+            h, seen = np.zeros(u), {}
+            for t in range(len(piece)) if way == 0 else reversed(range(len(piece))):
+                x, y = layer.embed[:, piece[t]].astype(float), layer.inner.astype(float) @ h
+                r, z = sigmoid(x[:u] + y[:u]), sigmoid(x[u:2 * u] + y[u:2 * u])
+                n = np.tanh(x[2 * u:] + r * (y[2 * u:] + layer.bias[:, 0]))
+                seen[t] = h = z * h + (1 - z) * n
+            states.append(seen)
+        for t in range(len(piece)):
+            e = np.exp(net.out @ np.concatenate([states[0][t], states[1][t]]) + net.offset[:, 0])
+            total += e / e.sum()
+    return total / max(1, len(text))
+
+
+def test_gradients_are_the_slopes_of_the_loss():
+    rng = np.random.default_rng(3)
+    net = g.fresh_network(["a", "b", "c"], 3, rng)
+    for layer in net.layers:
+        for name in layer.names():
+            setattr(layer, name, getattr(layer, name).astype(float))
+    net.out, net.offset = net.out.astype(float), net.offset.astype(float)
+    data = rng.integers(0, 5, size=(6, 4)).astype(np.uint8)
+    there = np.arange(6)[:, None] < np.array([6, 4, 1, 6])
+    label = np.array([0, 1, 2, 1])
+    _, slopes = g.loss_and_gradients(net, data, there, label)
+    for weight, slope in zip(net.weights(), slopes, strict=True):
+        assert weight.shape == slope.shape
+        places = [tuple(rng.integers(n) for n in weight.shape) for _ in range(12)]
+        places = [(i, min(j, 4)) if weight.shape[1] == 256 else (i, j) for i, j in places]
+        for at in places:
+            old, step = weight[at], 1e-6
+            weight[at] = old + step
+            up, _ = g.loss_and_gradients(net, data, there, label)
+            weight[at] = old - step
+            down, _ = g.loss_and_gradients(net, data, there, label)
+            weight[at] = old
+            assert slope[at] == pytest.approx((up - down) / (2 * step), rel=1e-4, abs=1e-8)
+
+
+def test_batched_reader_equals_the_plain_network():
+    rng = np.random.default_rng(5)
+    net = g.fresh_network(["x", "y"], 4, rng)
+    texts = [b"", b"a", bytes(rng.integers(0, 256, 700, dtype=np.uint8)), b"0123456789" * 2,
+             bytes(rng.integers(0, 256, 64, dtype=np.uint8))]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = g.probabilities(g._Reader(net), np.frombuffer(b"".join(texts), np.uint8), offsets,
+                          window=16, batch=7)
+    want = np.array([plain_probabilities(net, t, 16) for t in texts])
+    assert np.allclose(got, want, atol=1e-5)
+    assert got[0].sum() == 0 and np.allclose(got[1:].sum(axis=1), 1, atol=1e-5)
+
+
+def test_training_is_repeatable_and_learns():
+    texts = [b"abab" * 30, b"cdcd" * 30] * 3
+    labels = ["one", "two"] * 3
+    a, b = (g.train(texts, labels, units=4, rounds=40) for _ in range(2))
+    assert all(np.array_equal(x, y) for x, y in zip(a.weights(), b.weights(), strict=True))
+    found = g.probabilities(g._Reader(a), np.frombuffer(b"ababababcdcdcdcd", np.uint8),
+                            np.array([0, 8, 16]))
+    assert found.argmax(axis=1).tolist() == [0, 1]
+
+
+def test_odd_rows(spark):
+    rows = [(1, "the cat and the dog " * 40, "en", 1, 2), (2, None, "en", 1, 2),
+            (3, "", "de", 1, 2), (4, "12 34 !?", None, 1, 2), (5, "the cat and the dog", None, 1, 2),
+            (5, "the cat and the dog", None, 1, 2), (None, "der hund und die katze", "de", 1, 2),
+            (6, "der hund und die katze " * 40, "de", 1, 2), (7, "é", None, 1, 2),
+            (8, "der hund und die katze " * 40_000, None, 1, 2)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, held_out int, `a.b` int")
+    out = g.detect(docs)
+    assert out.dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"),
+                          ("score", "double")]
+    got = out.collect()
+    assert len(got) == len(rows)
+    by_id = {r["doc_id"]: r for r in got}
+    assert [by_id[k]["lang_pred"] for k in (1, 2, 3, 4, 5, None, 8)] == \
+        ["en", "und", "und", "und", "en", "de", "de"]
+    assert all(0 <= r["score"] <= 1 for r in got) and by_id[2]["score"] == 0
+    assert all(r["held_out"] == g.is_held_out(r["doc_id"]) for r in got)
+    assert by_id[7]["lang_pred"] in ("en", "de")
+    first, second = (r for r in got if r["doc_id"] == 5)
+    assert first == second
+
+
+def test_nothing_to_learn_from_and_no_rows(spark):
+    docs = spark.createDataFrame([("a", "some words", None)], "doc_id string, text string, lang string")
+    assert [tuple(r) for r in g.detect(docs).collect()] == [("a", g.is_held_out("a"), "und", 0.0)]
+    assert g.detect(docs.limit(0)).collect() == []
+
+
+def test_sample_is_bounded_and_fair(spark):
+    rows = [(i, f"word{i} " * 400, "en" if i % 10 else "de") for i in range(200)]
+    docs = spark.createDataFrame(rows, "id long, text string, lang string")
+    pairs = g.training_sample(docs.selectExpr("id", "text", "lang", "false AS held",
+                                              "true AS letters"), sample_texts=30, sample_chars=50)
+    assert [x for _, x in pairs].count("de") == 15 and len(pairs) == 30
+    assert max(len(t) for t, _ in pairs) == 50
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    truth = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    got = g.detect(docs).collect()
+    assert len(got) == docs.count()
+    held = [r for r in got if r["held_out"] and r["lang_pred"] != "und"]
+    right = sum(r["lang_pred"] == truth[r["doc_id"]] for r in held)
+    assert len(held) > 200 and right / len(held) >= 0.98

@@ -8,7 +8,7 @@ import __spark_entry__ as entry_module
 from conftest import SF_SMALL
 from rankwise.llm.queries import ORACLE, QUERIES
 
-TABLES = ["documents", "benchmark", "pages"]
+TABLES = ["documents", "benchmark", "pages", "conversations"]
 FIRST_COLUMNS = {
     "op1_lm_automaton": [("doc_id", "bigint"), ("held_out", "boolean"), ("n_tokens", "bigint"),
                          ("n_known", "bigint"), ("train_tokens", "bigint"),
@@ -22,12 +22,14 @@ FIRST_COLUMNS = {
     "op7_decontaminate": [("doc_id", "bigint"), ("n_words", "bigint"), ("n_hit", "bigint"),
                           ("n_items", "bigint"), ("items_sha256", "string"),
                           ("contaminated", "boolean")],
+    "op12_byte_gru": [("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"),
+                      ("score", "double")],
 }
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_module.queries())
     assert set(ORACLE) <= set(QUERIES) & set(entry_module.oracle_sql())
 
