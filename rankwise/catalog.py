@@ -20,6 +20,7 @@ from rankwise.contracts import DETECTIONS, OUTPUT, conform
 from rankwise.operators import (build_lookup, count_by, count_by_hot_salted,
                                 count_by_salted, dedup_keep_one, enrich, hot_keys,
                                 key_skew_frame, partition_sizes, top_per_group)
+from rankwise.operators.skew import MAP_ERROR, frequent_codes, sketch_slots
 from rankwise.plans.jobs import (count_stage, dedup_stage, multiset_difference,
                                  run_top_items_job, top_items, top_items_stages,
                                  top_items_prepartitioned, top_items_skew_aware,
@@ -94,11 +95,48 @@ def q_top_items_events_skew_aware(spark, sf):
     return top_items_skew_aware(_ev(spark, sf), _sup(spark, sf), TOP_X_EVENTS)[0]
 
 
+def _salted(detections, locations):
+    """The skew-aware job on detections with a hot key: it must salt."""
+    result, decision = top_items_skew_aware(detections, locations, TOP_X, reducers=HOT_REDUCERS)
+    if not decision.salted:
+        raise AssertionError("the skew-aware job found no hot key to salt")
+    return result, decision
+
+
+def q_top_items_hot_key(spark, sf):
+    """The skew-aware job where a key has a third of all rows: the salted branch."""
+    return _salted(third_at_one_key(spark, sf), _sup(spark, sf))[0]
+
+
+def q_skew_decision(spark, sf):
+    """What the skew-aware job decided: its hot keys, each with its buckets."""
+    hot = _salted(third_at_one_key(spark, sf), _sup(spark, sf))[1].hot
+    return spark.createDataFrame(
+        [(location, item, salts) for (location, item), salts in zip(hot.keys, hot.salts)],
+        StructType([*[f for f in DETECTIONS.fields if f.name in (C.location, C.item)],
+                    StructField("salts", LongType())]))
+
+
+def q_frequent_key_estimates(spark, sf):
+    """Estimates of the sketch against exact counts: hot keys named, and kept bounds."""
+    rows = third_at_one_key(spark, sf)
+    keys, slots = [C.location, C.item], sketch_slots(HOT_REDUCERS)
+    total, top = frequent_codes(rows, keys, slots)
+    named = spark.createDataFrame(list(top.items()), "code long, estimate long")
+    exact = count_by(rows, keys, "rows").withColumn("code", F.xxhash64(*keys))
+    met = exact.join(named, "code", "left")
+    share, error = F.col("rows") * HOT_REDUCERS > total, int(MAP_ERROR / slots * total)
+    return met.agg(
+        F.sum("rows").alias("rows"), F.count_if(share).alias("hot_keys"),
+        F.count_if(share & F.col("estimate").isNotNull()).alias("hot_keys_named"),
+        F.count_if((F.col("estimate") < F.col("rows"))
+                   | (F.col("estimate") > F.col("rows") + error)).alias("out_of_bounds"))
+
+
 def q_jobs_equivalence(spark, sf):
-    baseline = _baseline(spark, sf)
-    salted = top_items_skew_aware(_li(spark, sf), _sup(spark, sf), TOP_X,
-                                  reducers=10_000)[0]
-    return multiset_difference(baseline, salted)
+    """The salted job against the plain one, where there is a key to salt."""
+    rows, names = third_at_one_key(spark, sf), _sup(spark, sf)
+    return multiset_difference(top_items(rows, names, TOP_X), _salted(rows, names)[0])
 
 
 def _job_from_files(spark, sf, fmt, job):
@@ -139,7 +177,7 @@ def q_count_by_keys_salted(spark, sf):
                            salt_from=[C.detection], name=C.count)
 
 
-def _third_at_one_key(spark, sf):
+def third_at_one_key(spark, sf):
     """Detections of which a third are moved to one location and item."""
     moved = F.col(C.detection) % 3 == 0
     return (_li(spark, sf)
@@ -148,7 +186,7 @@ def _third_at_one_key(spark, sf):
 
 
 def q_salted_hot_keys(spark, sf):
-    rows = dedup_stage()(_third_at_one_key(spark, sf))
+    rows = dedup_stage()(third_at_one_key(spark, sf))
     hot = hot_keys(rows, [C.location, C.item], HOT_REDUCERS)
     return count_by_hot_salted(rows, [C.location, C.item], hot, salt_from=[C.detection],
                                name=C.count)
@@ -374,6 +412,9 @@ QUERIES: dict[str, Query] = {
     "top_items_events": q_top_items_events,
     "top_items_events_identical": q_top_items_events_identical,
     "top_items_events_skew_aware": q_top_items_events_skew_aware,
+    "top_items_hot_key": q_top_items_hot_key,
+    "skew_decision": q_skew_decision,
+    "frequent_key_estimates": q_frequent_key_estimates,
     "jobs_equivalence": q_jobs_equivalence,
     "job_run_parquet": q_job_run_parquet,
     "job_run_csv_skew_aware": q_job_run_csv_skew_aware,

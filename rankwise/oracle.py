@@ -6,7 +6,7 @@ ranks are INTEGER, counts BIGINT.
 """
 from __future__ import annotations
 
-from rankwise.catalog import (BAD_ID_LINE, LAYOUT_PARTITIONS, NULL_ID_LINE, NULL_ITEM,
+from rankwise.catalog import (BAD_ID_LINE, HOT_REDUCERS, LAYOUT_PARTITIONS, NULL_ID_LINE, NULL_ITEM,
                               RUN_DATE, TOP_X, TOP_X_EVENTS)
 
 _LINEITEM_DETECTIONS = """
@@ -80,6 +80,13 @@ def _top(detections, locations, top_x) -> str:
 
 _LI = _chain(_LINEITEM_DETECTIONS, _SUPPLIER_LOCATIONS, TOP_X)
 BASELINE = _LI + " SELECT * FROM top"
+# A third of the detections moved to one key.
+_HOT_DETECTIONS = f"""
+    SELECT CASE WHEN detection_oid % 3 = 0 THEN 1 ELSE geographical_location_oid END
+               AS geographical_location_oid, video_camera_oid, detection_oid,
+           CASE WHEN detection_oid % 3 = 0 THEN 'item-hot' ELSE item_name END AS item_name,
+           timestamp_detected FROM ({_LINEITEM_DETECTIONS})"""
+_HOT = _chain(_HOT_DETECTIONS, _SUPPLIER_LOCATIONS, TOP_X)
 _ODD = _LI + r""", odd AS (
     SELECT geographical_location_oid,
            CASE WHEN item_rank = 5 THEN '' WHEN item_rank > 1 THEN geographical_location END
@@ -124,7 +131,20 @@ ORACLE: dict[str, str] = {
     "job_run_parquet": BASELINE,
     "job_run_csv_skew_aware": BASELINE,
     "job_run_json_prepartitioned": BASELINE,
-    "jobs_equivalence": _LI + """
+    "top_items_hot_key": _HOT + " SELECT * FROM top",
+    "skew_decision": f"""
+        SELECT geographical_location_oid, item_name,
+               CAST(greatest(2, ceil(n * {HOT_REDUCERS} / total)) AS BIGINT) AS salts
+        FROM (SELECT geographical_location_oid, item_name, count(*) AS n,
+                     sum(count(*)) OVER () AS total
+              FROM ({_HOT_DETECTIONS}) GROUP BY ALL)
+        WHERE n * {HOT_REDUCERS} > total""",
+    "frequent_key_estimates": f"""
+        SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) FILTER (WHERE hot) AS hot_keys,
+               count(*) FILTER (WHERE hot) AS hot_keys_named, CAST(0 AS BIGINT) AS out_of_bounds
+        FROM (SELECT count(*) AS n, count(*) * {HOT_REDUCERS} > sum(count(*)) OVER () AS hot
+              FROM ({_HOT_DETECTIONS}) GROUP BY geographical_location_oid, item_name)""",
+    "jobs_equivalence": _HOT + """
         SELECT CAST(0 AS BIGINT) AS diff_rows,
                CAST(count(*) AS BIGINT) AS left_rows,
                CAST(count(*) AS BIGINT) AS right_rows
@@ -132,12 +152,7 @@ ORACLE: dict[str, str] = {
     "dedup_keep_one": _LI + " SELECT * FROM w",
     "count_by_keys": _LI + " SELECT * FROM a",
     "count_by_keys_salted": _LI + " SELECT * FROM a",
-    "salted_hot_keys": _chain(f"""
-        SELECT CASE WHEN detection_oid % 3 = 0 THEN 1 ELSE geographical_location_oid END
-                   AS geographical_location_oid, video_camera_oid, detection_oid,
-               CASE WHEN detection_oid % 3 = 0 THEN 'item-hot' ELSE item_name END AS item_name,
-               timestamp_detected FROM ({_LINEITEM_DETECTIONS})""",
-        _SUPPLIER_LOCATIONS, TOP_X) + " SELECT * FROM a",
+    "salted_hot_keys": _HOT + " SELECT * FROM a",
     "rank_items_hot": """
         SELECT geographical_location_oid, item_name, item_count,
                CAST(row_number() OVER (PARTITION BY geographical_location_oid

@@ -147,12 +147,13 @@ def decide_salting(detections: DataFrame, cols: Columns = DEFAULT_COLUMNS, *,
                    reducers: int | None = None) -> SkewDecision:
     """Measure the hot (location, item) keys of the raw input.
 
-    It reads two columns and ships one partial count per key and map task. Copies
-    that dedup will remove are counted: they can make a key hot that is not, which
-    costs it a few buckets and changes no result. A plain count combines map-side
-    too, so salting pays where the partial counts of one key, one per map task, are
-    themselves too many for one reducer, or where ``count`` is preceded by no
-    combine; ``decision.hot`` tells what was found.
+    It reads two columns and ships a sketch of bounded size per map task; only if it
+    names a key, a second pass counts the rows of those named (see ``hot_keys``).
+    Copies that dedup will remove are counted: they can make a key hot that is not,
+    which costs it a few buckets and changes no result. A plain count combines
+    map-side too, so salting pays where the partial counts of one key, one per map
+    task, are themselves too many for one reducer, or where ``count`` is preceded by
+    no combine; ``decision.hot`` tells what was found.
     """
     return SkewDecision(hot_keys(detections, [cols.location, cols.item], reducers))
 

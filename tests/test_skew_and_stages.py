@@ -130,3 +130,61 @@ def test_stages_metrics_on_empty_input(spark):
     df = spark.createDataFrame([], "v long")
     _, metrics = StageChain([plus_one]).run(df, lambda d: d.collect())
     assert metrics.table() == [(1, "plus_one", 0, 0)]
+
+
+# --- hot keys from a sketch -------------------------------------------------------
+
+def test_sketch_slots_bound_the_error():
+    from rankwise.operators.skew import MAP_ERROR, MAX_MAP, sketch_slots
+    for reducers in (2, 8, 200, 10_000, 70_000):
+        assert MAP_ERROR / sketch_slots(reducers) <= 1 / (4 * reducers)
+    assert sketch_slots(10 ** 9) == MAX_MAP
+
+
+def test_frequent_codes_stay_in_their_bounds(spark):
+    """More keys than slots: estimates are bounded, and keys of twice the error are named."""
+    from rankwise.operators.skew import frequent_codes
+    rows = spark.range(40_000, numPartitions=7).select(
+        F.when(F.col("id") % 5 == 0, F.lit("hot")).when(F.col("id") % 17 == 0, F.lit("warm"))
+        .otherwise(F.col("id").cast("string")).alias("k"), (F.col("id") % 2).alias("part"))
+    slots = 128
+    total, top = frequent_codes(rows, ["k", "part"], slots)
+    exact = {r["code"]: r["count"] for r in
+             rows.groupBy(F.xxhash64("k", "part").alias("code")).count().collect()}
+    error = 3.5 / slots * total
+    assert total == 40_000
+    assert all(exact[c] <= n <= exact[c] + error for c, n in top.items())
+    assert {c for c, n in exact.items() if n > 2 * error} <= set(top)
+
+
+def test_hot_keys_equal_exact_ones_on_many_keys(spark):
+    """The sketch overflows by far; what is hot and its salts are still exact."""
+    rows = spark.range(60_000, numPartitions=5).select(
+        F.when(F.col("id") % 4 == 0, F.lit(-1)).when(F.col("id") % 9 == 0, F.lit(-2))
+        .otherwise(F.col("id")).alias("k"))
+    hot = hot_keys(rows, ["k"], 13)
+    n = {-1: 15_000, -2: 60_000 // 9 + 1 - (60_000 // 36 + 1)}
+    assert hot.keys == [(-1,), (-2,)] and hot.rows == 60_000
+    assert hot.salts == [max(2, -(-n[k] * 13 // 60_000)) for k in (-1, -2)]
+    assert hot.error <= 1 / 52
+    assert not hot_keys(rows.filter("k >= 0"), ["k"], 13).skewed
+
+
+def test_hot_keys_move_sketches_and_no_keys(spark):
+    """One row per task and group goes through the shuffles of the first pass."""
+    from rankwise.operators import skew
+    rows = spark.range(10_000, numPartitions=6).select(F.col("id").alias("k"))
+    taken = []
+    real = type(rows).first
+
+    def first(df):
+        taken.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+    type(rows).first = first
+    try:
+        skew.frequent_codes(rows, ["k"], 64)
+    finally:
+        type(rows).first = real
+    [plan] = taken
+    assert "partial_approx_top_k_accumulate" in plan and "hashpartitioning(code" not in plan
+    assert "Sort " not in plan
