@@ -13,6 +13,13 @@ from rankwise.session import scratch_path
 _RANGE, _OTHER, _BEFORE = "__range", "__other_range", "__before"
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                 rank_col: str = "item_rank") -> DataFrame:
     """Add ``rank_col`` = 1, 2, 3... per group in ``order`` (ties split)."""
@@ -26,16 +33,15 @@ def rank_all(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 
     Two levels: rows are dealt to ranges of (group, order), so a large group spans
     many ranges; a row's rank is its place inside its range plus the rows that its
-    group has in earlier ranges. The dealt rows are written to the shared folder
-    first, as both levels must see the same ranges; the number of rows per range
-    and group is small and joined back. The last column breaks no ties by itself:
-    equal rows get their ranks in any order.
+    group has in earlier ranges. ``df`` itself runs once: its rows are written to the
+    shared folder, and the bounds of the ranges come from a sample of those files.
+    The dealt rows are written too, as both levels must see the same ranges; the
+    number of rows per range and group is small and joined back. The last column
+    breaks no ties by itself: equal rows get their ranks in any order.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "ranges")
-    df.repartitionByRange(*[F.col(c) for c in group], *order) \
-        .withColumn(_RANGE, F.spark_partition_id()).write.parquet(path)
-    dealt = spark.read.parquet(path)
+    rows = _written(df, "ranked")
+    dealt = _written(rows.repartitionByRange(*[F.col(c) for c in group], *order)
+                     .withColumn(_RANGE, F.spark_partition_id()), "ranges")
     earlier = Window.partitionBy(*group).orderBy(_RANGE).rowsBetween(
         Window.unboundedPreceding, -1)
     sizes = dealt.groupBy(*group, _RANGE).agg(F.count(F.lit(1)).alias(_BEFORE)) \

@@ -113,3 +113,19 @@ def test_hot_salting_adds_few_groups(spark):
     salted = moved.withColumn("s", F.when(F.col("k") == -1, F.pmod(
         F.xxhash64("detection_oid"), F.lit(hot.salts[0]))).otherwise(0))
     assert salted.select("k", "s").distinct().count() <= distinct + 2 * reducers
+
+
+def test_rank_all_runs_its_input_once(spark, monkeypatch):
+    """What is sampled for ranges and what is dealt are files, not the counts' plan."""
+    from rankwise.catalog import QUERIES as queries
+    frame = type(spark.range(1))
+    seen, real = [], frame.repartitionByRange
+
+    def recorded(df, *args):
+        seen.append(physical_plan(df))
+        return real(df, *args)
+    monkeypatch.setattr(frame, "repartitionByRange", recorded)
+    out = queries["rank_items_hot"](spark, SF_SMALL)
+    [dealt] = seen
+    assert "FileScan parquet" in dealt and "Aggregate" not in dealt and "Exchange" not in dealt
+    assert "lineitem" not in dealt and "lineitem" not in physical_plan(out)
