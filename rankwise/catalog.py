@@ -27,15 +27,17 @@ from rankwise.plans.jobs import (count_stage, dedup_stage, multiset_difference,
                                  top_stage)
 from rankwise.plans.stages import StageChain
 from rankwise.session import remove_path, scratch_path
-from rankwise.sources import dated_output_path, read, split_rejects, write
+from rankwise.sources import (dated_output_path, read, read_checked, split_rejects, write,
+                              write_split)
 
 # Query parameters.
 TOP_X = 5            # lineitem-based jobs
 TOP_X_EVENTS = 3     # events-based jobs
 SALTS = 4            # explicit salt count for the salted-count query
-RUN_DATE = "2026-04-21"
+RUN_DATE, NEXT_DATE = "2026-04-21", "2026-04-22"
 NULL_ITEM = "item-7"       # item value turned into null for null-policy queries
 NULL_ID_LINE = 7           # line number whose detection id becomes null
+CUT_LINE, SHORT_LINE = 3, 5        # line numbers of cut records, and of ones without names
 BAD_ID_LINE = 7            # line number whose detection id becomes unreadable text
 HOT_REDUCERS = 16          # reducers that hot keys are measured against
 LAYOUT_PARTITIONS = 4      # partitions of the measured layout, one left empty
@@ -362,6 +364,16 @@ def q_sink_dated_path(spark, sf):
         for path, target in back])
 
 
+def q_sink_run_date_column(spark, sf):
+    """Two dates in one table; a second run of the first replaces that date alone."""
+    base = scratch_path(spark, "run-dates")
+    for top_x, day in ((TOP_X, RUN_DATE), (TOP_X_EVENTS, NEXT_DATE), (1, RUN_DATE)):
+        target = write(_baseline(spark, sf, top_x), "parquet", base, run_date=day, schema=OUTPUT,
+                       date_column="run_date")
+    back = read(spark, "parquet", target)
+    return back.select(*OUTPUT.fieldNames(), F.col("run_date").cast("string").alias("run_date"))
+
+
 def q_sink_partitioned(spark, sf):
     target = write(_baseline(spark, sf), "parquet",
                    scratch_path(spark, "by-location"), run_date=RUN_DATE,
@@ -400,6 +412,53 @@ def q_null_policy_fail(spark, sf):
                      F.count(F.lit(1)).alias("rows_with_nulls"))
 
 
+def _broken_lines(spark, sf):
+    """Detections as JSON lines of which some break the contract, by line number."""
+    rows = _li_with_nulls(spark, sf)
+    names, line = rows.columns, F.col(C.camera)
+
+    def record(*left_out):
+        return F.to_json(F.struct(*[c for c in names if c not in left_out]),
+                         {"ignoreNullFields": "false"})
+    return rows.select(
+        F.when(line == CUT_LINE, F.substring(record(), 1, 40))
+        .when(line == SHORT_LINE, record(C.timestamp, C.item))
+        .otherwise(record()).alias("value"))
+
+
+def _by_reason(spark, split):
+    """Rows by reason, counted in the places that they were written to."""
+    kept = split.kept(spark).select(F.lit("").alias("reason"))
+    return kept.unionByName(split.quarantined(spark).select(F.col("_reason").alias("reason"))) \
+        .groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_quarantine_json(spark, sf):
+    base = scratch_path(spark, "quarantine-json")
+    path = write(_broken_lines(spark, sf).toDF("value"), "txt", base + "/in", dated=False, text_sep="\t")
+    split = write_split(read_checked(spark, "json", path, DETECTIONS), base + "/out", DETECTIONS)
+    return _by_reason(spark, split)
+
+
+def q_quarantine_csv(spark, sf):
+    broken = _li_with_nulls(spark, sf).withColumn(C.detection, F.when(
+        F.col(C.camera) == CUT_LINE, F.lit("no id")).otherwise(F.col(C.detection).cast("string")))
+    base = scratch_path(spark, "quarantine-csv")
+    path = write(broken, "csv", base + "/in", dated=False)
+    split = write_split(read_checked(spark, "csv", path, DETECTIONS), base + "/out", DETECTIONS)
+    return _by_reason(spark, split)
+
+
+def q_job_run_quarantine(spark, sf):
+    """The job on an input with broken rows: it goes on with the others."""
+    base = scratch_path(spark, "job-quarantine")
+    a = write(_li_with_nulls(spark, sf), "parquet", base + "/in/detections", dated=False)
+    b = write(_sup(spark, sf), "parquet", base + "/in/locations", dated=False)
+    run = run_top_items_job(spark, a, b, base + "/out/", TOP_X, run_date=RUN_DATE,
+                            quarantine_path=base + "/quarantine")
+    return read(spark, "parquet", run.output_path, schema=OUTPUT)
+
+
 def q_null_policy_default(spark, sf):
     return top_items(_li_with_nulls(spark, sf), _sup(spark, sf), TOP_X,
                      null_policy="default")
@@ -443,9 +502,13 @@ QUERIES: dict[str, Query] = {
     "sink_overwrite": q_sink_overwrite,
     "sink_errorifexists": q_sink_errorifexists,
     "sink_dated_path": q_sink_dated_path,
+    "sink_run_date_column": q_sink_run_date_column,
     "sink_partitioned": q_sink_partitioned,
     "output_contract": q_output_contract,
     "null_policy_drop": q_null_policy_drop,
     "null_policy_default": q_null_policy_default,
     "null_policy_fail": q_null_policy_fail,
+    "quarantine_json": q_quarantine_json,
+    "quarantine_csv": q_quarantine_csv,
+    "job_run_quarantine": q_job_run_quarantine,
 }

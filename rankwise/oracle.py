@@ -6,8 +6,8 @@ ranks are INTEGER, counts BIGINT.
 """
 from __future__ import annotations
 
-from rankwise.catalog import (BAD_ID_LINE, HOT_REDUCERS, LAYOUT_PARTITIONS, NULL_ID_LINE, NULL_ITEM,
-                              RUN_DATE, TOP_X, TOP_X_EVENTS)
+from rankwise.catalog import (BAD_ID_LINE, CUT_LINE, HOT_REDUCERS, LAYOUT_PARTITIONS, NEXT_DATE,
+                              NULL_ID_LINE, NULL_ITEM, RUN_DATE, SHORT_LINE, TOP_X, TOP_X_EVENTS)
 
 _LINEITEM_DETECTIONS = """
     SELECT l_suppkey AS geographical_location_oid,
@@ -219,6 +219,10 @@ ORACLE: dict[str, str] = {
     "sink_dated_path": _LI + f"""
         SELECT top.*, path FROM top, (VALUES ('a/{RUN_DATE}'), ('b/{RUN_DATE}/result.parquet'),
             ('c/result/{RUN_DATE}'), ('output/{RUN_DATE}')) AS shapes(path)""",
+    "sink_run_date_column": _LI + f"""
+        SELECT *, '{RUN_DATE}' AS run_date FROM top WHERE item_rank = 1
+        UNION ALL
+        SELECT *, '{NEXT_DATE}' FROM top WHERE item_rank <= {TOP_X_EVENTS}""",
     "sink_partitioned": BASELINE,
     "output_contract": BASELINE,
     "null_policy_drop": _top(
@@ -230,6 +234,20 @@ ORACLE: dict[str, str] = {
         "coalesce(item_name, 'unknown') AS item_name, timestamp_detected "
         f"FROM ({_LINEITEM_WITH_NULLS})",
         _SUPPLIER_LOCATIONS, TOP_X),
+    "quarantine_json": f"""
+        SELECT CASE WHEN video_camera_oid = {CUT_LINE} THEN 'malformed record'
+                    WHEN video_camera_oid = {SHORT_LINE} THEN 'missing item_name'
+                    WHEN detection_oid IS NULL THEN 'null detection_oid'
+                    WHEN item_name IS NULL THEN 'null item_name' ELSE '' END AS reason,
+               count(*) AS rows FROM ({_LINEITEM_WITH_NULLS}) GROUP BY reason""",
+    "quarantine_csv": f"""
+        SELECT CASE WHEN video_camera_oid = {CUT_LINE} THEN 'malformed record'
+                    WHEN detection_oid IS NULL THEN 'null detection_oid'
+                    WHEN item_name IS NULL THEN 'null item_name' ELSE '' END AS reason,
+               count(*) AS rows FROM ({_LINEITEM_WITH_NULLS}) GROUP BY reason""",
+    "job_run_quarantine": _top(
+        f"SELECT * FROM ({_LINEITEM_WITH_NULLS}) WHERE detection_oid IS NOT NULL "
+        "AND item_name IS NOT NULL", _SUPPLIER_LOCATIONS, TOP_X),
     "null_policy_fail": f"""
         SELECT true AS failed, count(*) AS rows_with_nulls FROM ({_LINEITEM_WITH_NULLS})
         WHERE item_name IS NULL OR detection_oid IS NULL""",

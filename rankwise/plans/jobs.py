@@ -21,7 +21,7 @@ import datetime as _dt
 import functools
 import logging
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +38,7 @@ from rankwise.operators.ranking import top_per_group
 from rankwise.operators.skew import HotKeys, hot_keys
 from rankwise.plans.stages import StageChain, StageMetrics
 from rankwise.sources.formats import read, resolve_format, split_rejects, write
+from rankwise.sources.quarantine import Split, read_checked, write_split
 
 _log = logging.getLogger(__name__)
 
@@ -237,7 +238,8 @@ class JobRun:
     output_path: str
     metrics: StageMetrics
     decision: SkewDecision | None
-    rejected: dict[str, int]       # malformed records left out, by input
+    rejected: dict[str, int]       # records left out, by input
+    splits: dict[str, Split] = field(default_factory=dict)     # of a job with a quarantine
 
 
 def run_top_items_job(spark: SparkSession, detections_path: str,
@@ -247,7 +249,8 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
                       run_date: str | _dt.date | None = None,
                       mode: str = "overwrite", null_policy: str = "fail",
                       assume_identical: bool = False, malformed: str = "fail",
-                      multiline: bool = False) -> JobRun:
+                      multiline: bool = False, quarantine_path: str | None = None,
+                      date_column: str | None = None) -> JobRun:
     """The whole job: read, compute, write dated output.
 
     Inputs are read under the detections / locations contracts (see ``read``): by
@@ -255,6 +258,11 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
     ``malformed="reject"`` such records are left out, counted and logged. Nulls
     that stand in the input fail it too unless ``null_policy`` says otherwise.
 
+    With ``quarantine_path`` neither stops the job: each input is written there in
+    one pass, split into rows that keep the contract, which the job goes on with, and
+    rows that break it, each with its reason (see ``write_split``). ``date_column``
+    writes the run date as a partition column in place of a path element.
+
     One action computes and writes; stage row counts are observed in it. Before it
     run the measurements the plan needs: the lookup's bytes, hot keys for the
     ``skew_aware`` job, rejected records, names of JSON inputs. All of them are
@@ -265,9 +273,17 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
     if job not in JOBS:
         raise ValueError(f"unknown job {job!r}; use one of {JOBS}")
     start = time.perf_counter()
-    inputs, rejected = [], {}
+    inputs, rejected, splits = [], {}, {}
     for name, path, schema in (("detections", detections_path, DETECTIONS),
                                ("locations", locations_path, LOCATIONS)):
+        if quarantine_path is not None:
+            split = write_split(read_checked(spark, input_format, path, schema, multiline=multiline),
+                                f"{quarantine_path.rstrip('/')}/{name}", schema)
+            rejected[name] = sum(split.reasons.values())
+            _log.info("%s: %d rows kept, quarantined %s", name, split.kept_rows, split.reasons)
+            splits[name] = split
+            inputs.append(split.kept(spark))
+            continue
         df = read(spark, input_format, path, schema=schema, malformed=malformed,
                   multiline=multiline)
         if malformed == "reject" and resolve_format(input_format) != "parquet":
@@ -284,6 +300,6 @@ def run_top_items_job(spark: SparkSession, detections_path: str,
     path, metrics = chain.run(
         detections,
         lambda df: write(df, output_format, output_path, mode=mode,
-                         run_date=run_date, schema=OUTPUT))
+                         run_date=run_date, schema=OUTPUT, date_column=date_column))
     metrics.seconds = time.perf_counter() - start
-    return JobRun(path, metrics, decision, rejected)
+    return JobRun(path, metrics, decision, rejected, splits)

@@ -7,6 +7,8 @@ distributed (one file per task, no driver round trip).
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import operator
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from rankwise.contracts import conform
 from rankwise.functions.columns import NULL_TOKEN, text_line
-from rankwise.sources.paths import dated_output_path
+from rankwise.sources.paths import dated_output_path, run_date_text
 
 # Accepted format names (case-insensitive) and the Spark
 # source each one maps to.
@@ -79,12 +81,14 @@ def read(spark: SparkSession, fmt: str, path: str | Sequence[str],
     """Read ``path`` as ``fmt``.
 
     With ``schema`` every column of it must be in the input: a missing one is a
-    ``ValueError`` (parquet and JSON, before any row is read; a JSON writer leaves
-    out null fields, so only columns that may not be null are asked for) or fails
-    the scan (CSV, whose header is compared). Nulls in the result are nulls of the
-    file: a value or record that does not parse fails the job. ``malformed``
-    changes that for CSV and JSON: ``null`` keeps such rows with nulls, ``reject``
-    adds ``REJECT_COLUMN`` with the record as it stood (see ``split_rejects``).
+    ``ValueError`` (parquet, before any row is read) or fails the scan (CSV, whose
+    header is compared, and JSON). JSON has names in every record, so it is checked
+    record by record, in the one scan that parses it: a record without the name of
+    a column that may not be null is malformed, while a null written out is a null
+    (``write`` writes them out). Nulls in the result are nulls of the file: a value
+    or record that does not parse fails the job. ``malformed`` changes that for CSV
+    and JSON: ``null`` keeps such rows with nulls, ``reject`` adds ``REJECT_COLUMN``
+    with the record as it stood (see ``split_rejects``).
 
     CSV without a schema reads every column as a string. ``multiline`` (CSV)
     takes quoted line breaks as part of a value but makes files unsplittable;
@@ -103,20 +107,17 @@ def read(spark: SparkSession, fmt: str, path: str | Sequence[str],
             return df
         _check_names(df.columns, schema, str(path))
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    if kind == "json" and schema is not None:
+        return _json_rows(spark, paths, schema, malformed)
     reader = spark.read.option("mode", "FAILFAST" if malformed == "fail" else "PERMISSIVE")
     if schema is not None:
-        if kind == "json":
-            # Names only: the values keep their text, the pass infers no types.
-            names = spark.read.option("primitivesAsString", True).json(paths).columns
-            _check_names(names, StructType([f for f in schema.fields if not f.nullable]), str(path))
         wanted = schema
         if malformed == "reject":
             wanted = StructType([*schema.fields, StructField(REJECT_COLUMN, StringType())])
             reader = reader.option("columnNameOfCorruptRecord", REJECT_COLUMN)
         reader = reader.schema(wanted)
     if kind == "json":
-        df = reader.json(paths)
-        return _with_whole_rejects(df) if malformed == "reject" else df
+        return reader.json(paths)
     options = dict(CSV_READ_OPTIONS)
     if malformed == "reject":
         # The extra column is not in the header, so names are compared here.
@@ -133,6 +134,54 @@ def read(spark: SparkSession, fmt: str, path: str | Sequence[str],
     return _csv_strings(df, _unescaped)
 
 
+def absent_names(record: Column, schema: StructType, parsed: str) -> Column:
+    """Names of columns that may not be null and that a JSON record does not have.
+
+    The names of a record are only looked up where ``parsed``, the struct read from
+    it, has a null in such a column; so good records are gone through once.
+    """
+    names = [f.name for f in schema.fields if not f.nullable]
+    none = F.array().cast("array<string>")
+    if not names:
+        return none
+    some_null = functools.reduce(
+        operator.or_, [F.col(parsed)[n].isNull() for n in names])
+    there = F.coalesce(F.json_object_keys(record), none)
+    return F.when(some_null, F.array_except(F.array(*map(F.lit, names)), there)).otherwise(none)
+
+
+def json_records(spark: SparkSession, paths: Sequence[str], schema: StructType,
+                 mode: str) -> DataFrame:
+    """(record, row, absent): the lines of JSON files, each parsed under ``schema``
+    with ``REJECT_COLUMN``, and the names that it should have and does not."""
+    wanted = StructType([*schema.fields, StructField(REJECT_COLUMN, StringType())])
+    lines = spark.read.text(list(paths)).filter(F.trim("value") != "")
+    options = {"mode": mode}
+    if mode == "PERMISSIVE":
+        options["columnNameOfCorruptRecord"] = REJECT_COLUMN
+    rows = lines.select(F.col("value").alias("record"),
+                        F.from_json("value", wanted, options).alias("row"))
+    return rows.select("record", "row", absent_names(F.col("record"), schema, "row").alias("absent"))
+
+
+def _json_rows(spark: SparkSession, paths: Sequence[str], schema: StructType,
+               malformed: str) -> DataFrame:
+    rows = json_records(spark, paths, schema,
+                        "FAILFAST" if malformed == "fail" else "PERMISSIVE")
+    columns = [F.col("row")[f.name].alias(f.name) for f in schema.fields]
+    lacks = F.size("absent") > 0
+    if malformed == "fail":
+        # Part of the struct, so that it is made whatever columns are used later; as
+        # a filter it would parse the record once more.
+        told = F.raise_error(F.concat(F.lit("missing columns in a record: "),
+                                      F.array_join("absent", ", ")))
+        return rows.select(F.when(lacks, told).otherwise(F.col("row")).alias("row")).select(*columns)
+    if malformed == "null":
+        return rows.select(*columns)
+    bad = F.when(lacks | F.col("row")[REJECT_COLUMN].isNotNull(), F.col("record"))
+    return _with_whole_rejects(rows.select(*columns, bad.alias(REJECT_COLUMN)))
+
+
 def _with_whole_rejects(df: DataFrame) -> DataFrame:
     """Whether a record is malformed must not depend on the columns used later,
     so the reject column is made to need all of them; the size is never negative."""
@@ -155,10 +204,14 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
           run_date: str | _dt.date | None = None, dated: bool = True,
           schema: StructType | None = None,
-          partition_by: Sequence[str] = (), text_sep: str = ",") -> str:
+          partition_by: Sequence[str] = (), text_sep: str = ",",
+          date_column: str | None = None) -> str:
     """Write ``df`` as ``fmt`` and return the path actually written.
 
-    ``dated`` stamps the run date into ``path`` (see ``dated_output_path``);
+    ``dated`` stamps the run date into ``path`` (see ``dated_output_path``). With
+    ``date_column`` the path stays as it is and the run date is a partition column
+    of that name instead: all runs are one table, and ``overwrite`` replaces the
+    partitions of this run's date alone.
     ``schema`` conforms the rows to a contract first (order, types,
     non-null values); text renders each row as one delimited line;
     ``partition_by`` writes one directory per value, after a rebalance.
@@ -166,14 +219,18 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
     kind = resolve_format(fmt)
     if mode not in SAVE_MODES:
         raise ValueError(f"unknown save mode {mode!r}; use one of {SAVE_MODES}")
-    target = dated_output_path(path, run_date) if dated else path
+    target = dated_output_path(path, run_date) if dated and not date_column else path
     if schema is not None:
         df = conform(df, schema)
     parts = list(partition_by)
+    if date_column:
+        if date_column in df.columns:
+            raise ValueError(f"the rows have a column {date_column!r} already")
+        df = df.withColumn(date_column, F.lit(run_date_text(run_date)).cast("date"))
     if kind == "text":
-        body = [c for c in df.columns if c not in parts]
-        df = df.select(text_line(body, text_sep).alias("value"),
-                       *[F.col(c) for c in parts])
+        beside = [*parts, *([date_column] if date_column else [])]
+        body = [c for c in df.columns if c not in beside]
+        df = df.select(text_line(body, text_sep).alias("value"), *map(F.col, beside))
     if parts:
         # Group rows by the partition columns so each task writes few
         # directories (no tasks x values small files); AQE splits a hot
@@ -182,9 +239,16 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
     if kind == "csv":
         df = _csv_strings(df, _escaped)
     writer = df.write.mode(mode)
+    if date_column:
+        # One value a run: it needs no rebalance of its own.
+        parts = [date_column, *parts]
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if parts:
         writer = writer.partitionBy(*parts)
     if kind == "csv":
         writer = writer.options(**CSV_WRITE_OPTIONS)
+    if kind == "json":
+        # A null is written out: a record without the name would be malformed.
+        writer = writer.option("ignoreNullFields", False)
     writer.format(kind).save(target)
     return target
