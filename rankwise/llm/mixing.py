@@ -1,16 +1,14 @@
 """Mixing sources to target weights: Pfair scheduling (native).
 
 Documents of a source, in a seeded order, form blocks of ``BLOCK_DOCS``. Weights
-are whole units of a period: a source with ``a`` of ``P`` units gets its block
+are whole units of a period, shares in billionths at every size of the input: a source with ``a`` of ``P`` units gets its block
 ``k`` (from 1) of a period released at slot ``floor((k-1)P/a)`` and due before
 slot ``ceil(kP/a)``, and earliest-deadline-first among the released blocks fills
 one slot after the other. All windows are met, so after any number of slots a
 source has had its share of units to within less than one block, and after a
-period exactly its share. Units are the weights rounded to a short period where
-this moves no source by more than ``ROUNDING`` of a block before one runs out, and
-else the weights themselves, whose period is their sum. The schedule of one
-period, as far as there are blocks to place, is the schedule of all: block ``k``
-of a source goes to period ``(k-1) div a``, and documents get their slots by a join.
+period exactly its share. The schedule of one period, as far as there are blocks to place,
+is the schedule of all: block ``k`` of a source goes to period ``(k-1) div a``, and
+documents get their slots by a join.
 
 The place of a document within its source comes from two levels: counts of
 hash prefixes give each prefix its offset, and rows are numbered inside a
@@ -18,7 +16,8 @@ prefix. Prefixes are as long as it takes to keep each numbered group small, so
 no group is a whole source, however large.
 
 Sources are what someone weights, so there are thousands of them at most: the
-fold over the slots is one task with a step for each slot and source.
+fold over the slots is one task with a step for each slot and source. Slots are
+blocks and not documents, but they grow with the input.
 
 A source that runs out leaves its later slots unused; the others keep theirs,
 and no document is dropped or repeated.
@@ -35,8 +34,8 @@ from rankwise.llm.tables import stored
 from rankwise.llm.text import fresh
 
 BLOCK_DOCS = 32
-PERIOD = 1000            # units that weights are rounded to; a source has one at least
-ROUNDING = 1 / 16        # of a block that rounding may move a source, else weights are exact
+PERIOD = 1_000_000_000   # units of all sources: a billion blocks are off by half a block
+LEAST_SHARE = 1000       # a source has one in so many units at least
 SLOTS_AT_ONCE = 1000     # slots that the fold adds to the plan at once
 GROUP_ROWS = 20_000      # aim for the rows numbered together
 FAR = 1 << 60
@@ -56,25 +55,14 @@ def given_weights(counts: DataFrame, weights: dict) -> DataFrame:
     return counts.withColumn("weight", F.coalesce(*parts, F.lit(0)).cast("long"))
 
 
-def units(weighted: DataFrame, period: int, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """(key, source, n, units): the weight as its rounded share of the period, one at
-    least, or where that is too far off, the weight. Units of all sources add up to
-    the period that is scheduled."""
-    sources = Window.partitionBy()
-    total = F.greatest(F.sum("weight").over(sources), F.lit(1))
-    out = weighted.withColumn("total", total) \
-        .withColumn("exact", F.greatest("weight", F.lit(1)).cast("long"))
-    share = F.floor((F.col("weight") * (2 * period) + F.col("total")) / (2 * F.col("total")))
-    out = out.withColumn("rounded", F.greatest(share, F.lit(1)).cast("long"))
-    part = F.col("rounded") / F.sum("rounded").over(sources)
-    out = out.withColumn("off", F.abs(part - F.col("weight") / F.col("total"))) \
-        .withColumn("slots", F.ceil(F.col("n") / block_docs) / part)
-    # Weights with few decimals have a short period.
-    common = F.coalesce(*(F.when(F.sum(F.col("exact") % 10 ** d).over(sources) == 0, F.lit(10 ** d))
-                          for d in range(6, 0, -1)), F.lit(1))
-    near = F.max("off").over(sources) * F.min("slots").over(sources) <= ROUNDING
-    exact = F.call_function("div", F.col("exact"), common)
-    return out.withColumn("units", F.when(near, F.col("rounded")).otherwise(exact).cast("long")) \
+def units(weighted: DataFrame, period: int) -> DataFrame:
+    """(key, source, n, units): the weight as a share of the period, rounded to whole
+    units, and one in ``LEAST_SHARE`` at least. Units of all sources add up to the
+    period that is scheduled."""
+    total = F.greatest(F.sum("weight").over(Window.partitionBy()), F.lit(1)).cast("double")
+    share = F.round(F.col("weight") / total * F.lit(float(period))).cast("long")
+    least = max(1, period // LEAST_SHARE)
+    return weighted.withColumn("units", F.greatest(share, F.lit(least))) \
         .select("key", "source", "n", "units")
 
 
@@ -159,14 +147,14 @@ def mix(docs: DataFrame, *, weights: dict | None = None, doc_id: str = "doc_id",
     spark = docs.sparkSession
     names = {n: fresh(docs, n) for n in ("mix_units", "mix_period", "mix_block", "mix_release",
                                          "mix_deadline", "mix_slot", "mix_position")}
-    key = F.to_json(F.struct(F.col(source).alias("source")))
-    order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"),
+    key = F.to_json(F.struct(F.col(f"`{source}`").alias("source")))
+    order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit(""))))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), key.alias("key"),
                        order.alias("order"))
-    counts = docs.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n")) \
+    counts = docs.groupBy(F.col(f"`{source}`").alias("source")).agg(F.count(F.lit(1)).alias("n")) \
         .withColumn("key", F.to_json(F.struct("source")))
     weighted = given_weights(counts, weights) if weights else square_root_weights(counts)
-    sources = stored(spark, units(weighted, period, block_docs), "mix-sources")
+    sources = stored(spark, units(weighted, period), "mix-sources")
     plan = stored(spark, schedule(sources, block_docs), "mix-schedule")
     largest = sources.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     digits = max(1, math.ceil(math.log(max(largest / GROUP_ROWS, 1), 16)))

@@ -239,10 +239,11 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
 WITH RECURSIVE n AS (SELECT source, count(*) AS n,
     CAST(round(sqrt(CAST(count(*) AS DOUBLE)) * 1000000) AS BIGINT) AS weight
   FROM documents GROUP BY source),
-u AS (SELECT source, greatest(1, (weight * 2000 + sum(weight) OVER ()) // (2 * sum(weight) OVER ()))
-    :: BIGINT AS a FROM n),
-p AS (SELECT CAST(sum(a) AS BIGINT) AS p, list(source ORDER BY source) AS s,
-    list(a ORDER BY source) AS a FROM u),
+u AS (SELECT source, n, greatest(1000000, CAST(round(weight / CAST(sum(weight) OVER () AS DOUBLE)
+    * 1e9) AS BIGINT)) AS a FROM n),
+t AS (SELECT CAST(sum(a) AS BIGINT) AS p FROM u),
+p AS (SELECT p, list(source ORDER BY source) AS s, list(a ORDER BY source) AS a,
+    max((least((n + 31) // 32, a) * p + a - 1) // a) AS slots FROM u, t GROUP BY p),
 run AS (
   SELECT -1 :: BIGINT AS slot, 0 :: BIGINT AS i, list_transform(a, lambda x: 0 :: BIGINT) AS had
   FROM p
@@ -252,7 +253,7 @@ run AS (
       CASE WHEN h < p.a[j] AND (h * p.p) // p.a[j] <= slot + 1
       THEN {'d': ((h + 1) * p.p + p.a[j] - 1) // p.a[j], 'j': j :: BIGINT} END),
       lambda x: x IS NOT NULL)).j AS best
-    FROM run, p WHERE slot + 1 < p.p)),
+    FROM run, p WHERE slot + 1 < p.slots)),
 plan AS (SELECT s[i] AS source, a[i] AS a, p.p, slot,
     row_number() OVER (PARTITION BY i ORDER BY slot) - 1 AS k FROM run, p WHERE slot >= 0),
 d AS (SELECT doc_id, source, row_number() OVER (

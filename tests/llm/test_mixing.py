@@ -47,12 +47,27 @@ def test_odd_rows(spark):
     out = got.collect()
     assert sorted(((r.doc_id, r.source, r.text) for r in out), key=repr) == sorted(rows, key=repr)
     assert len({r.mix_position for r in out}) == len(rows)
-    assert {r.source: r.mix_units for r in out} == {"a": 1000, None: 1, "unlisted": 1}
+    least = m.PERIOD // m.LEAST_SHARE
+    assert {r.source: r.mix_units for r in out} == {"a": m.PERIOD, None: least, "unlisted": least}
+
+
+def test_the_rule_does_not_depend_on_the_number_of_documents(spark):
+    """Ten and a thousand times the documents: the same units and the same first slots."""
+    firsts = []
+    for times in (1, 10, 1000):
+        rows = spark.createDataFrame([("a", "a", 37 * times), ("b", "b", 11 * times)],
+                                     "key string, source string, n long")
+        got = m.units(m.given_weights(rows, {"a": math.pi, "b": math.e}), m.PERIOD)
+        plan = m.schedule(got, 1).filter("slot < 40").orderBy("slot").collect()
+        firsts.append([(r.slot, r.key, r.units) for r in plan])
+    assert firsts[0] == firsts[1] == firsts[2] and len(firsts[0]) == 40
 
 
 def test_names_that_clash_and_an_empty_table(spark):
     df = spark.createDataFrame([(1, "a", 5)], "doc_id long, source string, mix_slot long")
     got = m.mix(df)
+    dotted = m.mix(df.withColumnRenamed("mix_slot", "a.b"))
+    assert "a.b" in dotted.columns and dotted.select("`a.b`").first()[0] == 5
     assert got.first().mix_slot == 5 and "_mix_slot" in got.columns
     assert m.mix(spark.createDataFrame([], DDL)).count() == 0
 
@@ -80,4 +95,4 @@ def test_lag_against_the_weights_themselves(spark, weights):
     had = dict.fromkeys(counts, 0)
     for t in range(min(last.values()) + 1):
         had[slots[t]] += 1
-        assert all(abs(had[s] - shares[s] * (t + 1)) < 1 + 1e-3 for s in counts)
+        assert all(abs(had[s] - shares[s] * (t + 1)) < 1 + 1e-5 for s in counts)
