@@ -3,8 +3,8 @@
 A page is cut into blocks at block-level tags. What the markup itself calls a
 menu, header, footer, sidebar, notice, advert, form or comment is a bad block.
 The first pass judges every other block on its own: many linked characters are
-bad; a long block is good if enough of its words are stop words; short blocks,
-and long ones in between, stay undecided. In the second pass an undecided block
+bad; a long block is good if enough of its words are stop words, or if no language
+of the lists fits the page; short blocks, and long ones in between, stay undecided. In the second pass an undecided block
 takes the label of its nearest decided neighbour. Inside an article element only
 blocks of that article are neighbours, and a block that finds none is good there.
 
@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rankwise.llm.text import fresh
 
@@ -42,8 +43,13 @@ address article aside blockquote body center dd details dialog dir div dl dt fie
 figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav
 noscript ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul
 """.split())
-RAW_TAGS = frozenset("script style template noscript iframe svg math canvas object textarea "
-                     "title select button audio video noframes".split())
+# Raw text up to the end tag, or the end of the page; what the others hold is
+# markup, so they end with the element they stand in at the latest.
+RAW_TAGS = frozenset("script style textarea title".split())
+UNREAD_TAGS = frozenset("template noscript iframe svg canvas object select button audio video "
+                        "noframes".split())
+NESTING_TAGS = frozenset("svg object template".split())
+LABELLED_TAGS = frozenset("button select".split())
 BAD_TAGS = frozenset("nav footer aside form dialog menu head".split())
 STRUCTURE = frozenset("""
 article aside blockquote body center details dialog div dl fieldset figure footer form head
@@ -66,11 +72,55 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*)>"    # tag
     r"|<[!?/a-zA-Z][^<>]*(?:>|\Z|(?=<))", re.S)                        # other markup
 RAW_END = {t: re.compile(rf"</{t}(?![a-zA-Z0-9:-])[^>]*(?:>|\Z)", re.I) for t in RAW_TAGS}
+NEXT_MARKUP = re.compile(r"<|\Z")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 WORD = re.compile(r"\w+")
 
 
+def unread_ends(page: str) -> dict[int, int]:
+    """Where elements that are not read end, by where their tags begin.
+
+    An element without its end tag is not listed: the element that it stands in ends
+    first, an article begins, or another of its kind where these do not nest. One
+    pass with a stack of open elements.
+    """
+    ends, stack, at = {}, [], 0
+    known = dict.fromkeys(STRUCTURE | UNREAD_TAGS, 0)      # open on the stack, by name
+
+    def pop(upto: str) -> int:
+        while True:
+            name, start = stack.pop()
+            known[name] -= 1
+            if name == upto:
+                return start
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        name, closing = (m[2] or "").lower(), bool(m[1])
+        if name in RAW_TAGS:
+            if not closing and not m[3].endswith("/"):
+                end = RAW_END[name].search(page, at)
+                at = end.end() if end else len(page)
+        elif name not in known or (not closing and m[3].endswith("/")):
+            continue
+        elif not closing:
+            if name in ARTICLE_TAGS:
+                # No such element goes on into an article.
+                first = next((i for i, (x, _) in enumerate(stack) if x in UNREAD_TAGS), len(stack)) \
+                    if any(known[x] for x in UNREAD_TAGS) else len(stack)
+                while len(stack) > first:
+                    known[stack.pop()[0]] -= 1
+            elif name in UNREAD_TAGS and name not in NESTING_TAGS and known[name]:
+                pop(name)
+            stack.append((name, m.start()))
+            known[name] += 1
+        elif known[name]:
+            start = pop(name)
+            if name in UNREAD_TAGS:
+                ends[start] = m.end()
+    return ends
+
+
 @dataclass
 class Block:
     tag: str
@@ -135,7 +185,7 @@ def blocks(page: str) -> list[Block]:
         if links:
             current.linked += len("".join(text.split()))
 
-    tag, at = "", 0
+    tag, at, ends = "", 0, None
     while m := TOKEN.search(page, at):
         add(html.unescape(page[at:m.start()]))
         at = m.end()
@@ -146,6 +196,13 @@ def blocks(page: str) -> list[Block]:
             if not m[3].endswith("/"):
                 end = RAW_END[name].search(page, at)
                 at = end.end() if end else len(page)
+        elif name in UNREAD_TAGS:
+            if not closing and not m[3].endswith("/"):
+                ends = unread_ends(page) if ends is None else ends
+                if m.start() in ends:
+                    at = ends[m.start()]
+                elif name in LABELLED_TAGS:
+                    at = NEXT_MARKUP.search(page, at).start()
             if name in BLOCK_TAGS:
                 current = None
         elif name == "a":
@@ -180,18 +237,36 @@ def blocks(page: str) -> list[Block]:
     return [b for b in out if b.text]
 
 
-def first_pass(b: Block) -> bool | None:
-    """Good, bad or undecided, from the block alone."""
-    if b.bad:
-        return False
-    if b.linked > LINKED * len("".join(b.text.split())):
-        return False
-    if not b.article and re.match(r"(©|\(c\)|copyright\b)", b.text, re.I):
+def _is_out(b: Block) -> bool:
+    """Whether markup, links or a copyright sign make a block bad."""
+    return b.bad or b.linked > LINKED * len("".join(b.text.split())) or \
+        (not b.article and bool(re.match(r"(©|\(c\)|copyright\b)", b.text, re.I)))
+
+
+def _stop_words(b: Block) -> tuple[int, int]:
+    """Stop words and words of a block."""
+    words = WORD.findall(b.text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def language_fits(found: list[Block]) -> bool:
+    """Whether the long blocks of a page, taken together, have stop words as texts in
+    one of the listed languages do. A page without such blocks fits."""
+    counts = [_stop_words(b) for b in found if len(b.text) >= LONG and not _is_out(b)]
+    return sum(n for n, _ in counts) >= STOP_HIGH * sum(n for _, n in counts)
+
+
+def first_pass(b: Block, fits: bool = True) -> bool | None:
+    """Good, bad or undecided, from the block alone. Where no listed language fits
+    the page, stop words tell nothing: there a long block without links is good."""
+    if _is_out(b):
         return False
     if len(b.text) < LONG:
         return None
-    words = WORD.findall(b.text.lower())
-    share = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    if not fits:
+        return True
+    stops, words = _stop_words(b)
+    share = stops / max(words, 1)
     if share >= STOP_HIGH:
         return True
     return False if share < STOP_LOW and not b.article else None
@@ -244,7 +319,8 @@ def second_pass(found: list[Block], labels: list[bool | None]) -> list[bool]:
 def main_text(page: str | None) -> str:
     """The text of the good blocks, one a line."""
     found = blocks(page or "")
-    labels = second_pass(found, [first_pass(b) for b in found])
+    fits = language_fits(found)
+    labels = second_pass(found, [first_pass(b, fits) for b in found])
     return "\n".join(b.text for b, good in zip(found, labels, strict=True) if good)
 
 
@@ -263,14 +339,14 @@ def extract(pages: DataFrame, *, source: str = "html") -> DataFrame:
     points); a clashing name gets a leading underscore.
 
     A null or empty page has the empty text, as has one without a good block.
-    Markup that is cut off ends the page. Each row stands for itself, so
+    Markup that is cut off ends the page; an element without its end tag does not. Each row stands for itself, so
     repeated rows give equal results; an empty table gives an empty result.
     """
     others = [c for c in pages.columns if c != source]
-    packed = pages.select(F.struct(*(pages[c] for c in others), F.lit(0).alias("_")).alias("row"),
-                          pages[source].alias("html"))
-    row = packed.schema["row"].dataType.simpleString()
-    out = packed.mapInArrow(_extracted, f"row {row}, text string, n_chars long")
+    packed = pages.select(F.struct(*(F.col(f"`{c}`") for c in others), F.lit(0).alias("_"))
+                          .alias("row"), F.col(f"`{source}`").alias("html"))
+    out = packed.mapInArrow(_extracted, StructType([
+        packed.schema["row"], StructField("text", StringType()), StructField("n_chars", LongType())]))
     rest = pages.drop(source)
     return out.select(*(F.col(f"row.`{c}`").alias(c) for c in others),
                       F.col("text").alias(fresh(rest, "text")),

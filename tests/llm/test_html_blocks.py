@@ -87,3 +87,50 @@ def test_rows(spark):
     assert got[3].n_chars == 39_999 and got[5]._text == ""
     assert out.count() == len(rows)
     assert h.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+@pytest.mark.parametrize("tag", ["button", "svg", "select", "noscript", "video", "object", "iframe"])
+@pytest.mark.parametrize("source", [
+    "<article><h1>Head</h1><{t} x=1>Go</div><p>{a}</p><p>{b}</p></article>",
+    "<div><div><{t}></div><article><h1>Head</h1><p>{a}</p><p>{b}</p></article></div>",
+    "<article><h1>Head</h1><p>{a}<{t}></p><p>{b}</p></article><p><{t}>Buy</{t}></p>",
+    "<article><h1>Head</h1><div><{t} a=b></div><p>{a}</p><div><{t}>Like it</{t}></div><p>{b}</p></article>"])
+def test_an_element_without_its_end_tag_takes_no_text_along(tag, source):
+    a, b = LONG.strip(), LONG.strip().replace("harbour", "castle")
+    got = h.main_text(page(source.format(t=tag, a=a, b=b))).split("\n")
+    assert [x for x in got if x in ("Head", a, b)] == ["Head", a, b]
+    assert "Like it" not in got and "Buy" not in got
+    if tag in h.LABELLED_TAGS:
+        assert got == ["Head", a, b]
+
+
+def test_unread_elements_inside_a_block_leave_it_whole():
+    source = ("<article><p>one <svg><g><text>no</text></g></svg>two <button>no</button>three "
+              "<object><object>no</object>no</object>four <svg/>five <math><mi>x</mi>=<mn>1</mn></math></p></article>")
+    assert h.main_text(source) == "one two three four five x=1"
+
+
+@pytest.mark.parametrize("text", [
+    "Il porto della vecchia città fu costruito negli anni del grande commercio ed è ancora usato "
+    "dalle piccole barche che vanno alle isole durante tutta questa lunga estate.",
+    "Port starego miasta zbudowano w latach wielkiego handlu i nadal korzystają z niego małe "
+    "łodzie, które latem wypływają ku wyspom położonym niedaleko brzegu."])
+def test_pages_in_other_languages_without_an_article(text):
+    menu = "<ul>" + "<li><a href=x>Strona</a></li>" * 9 + "</ul>"
+    more = f"<div class=cookie-notice>{text}</div><p><a href=x>{text}</a></p>"
+    got = h.main_text(page(f"{menu}<div><p>{text}</p><p>{text}</p></div>{more}<p>© {text}</p>"))
+    assert got == f"{text}\n{text}"
+
+
+def test_many_unclosed_elements_are_read_in_time():
+    import time
+    for tag in ("button", "svg", "noscript"):
+        start = time.time()
+        h.main_text(f"<{tag}>" * 20_000 + "<p>x</p>")
+        h.main_text(f"<div><{tag}>y</div>" * 20_000 + f"</{tag}>")
+        assert time.time() - start < 20
+
+
+def test_a_column_name_with_a_dot(spark):
+    df = spark.createDataFrame([(1, "<article><p>x</p></article>", 7)], "page_id long, html string, `a.b` int")
+    assert tuple(h.extract(df).select("page_id", "`a.b`", "text").first()) == (1, 7, "x")
