@@ -1,13 +1,18 @@
 """Line dedup with a fixed-depth log-template tree (native).
 
 A line's tokens with a digit become the wildcard ``<*>``. The tree routes it by
-its token count and its first ``DEPTH`` tokens to a leaf. Inside a leaf,
-positions where lines differ generalise: a token stays if lines of at least
-``MIN_DOCS`` documents have it at that position, and is a wildcard otherwise (a
-document counts once for each form). The result is the line's template if enough
-of it is fixed; else the line keeps the form it had with its digits masked. A template found in ``MIN_DOCS`` documents or more recurs:
-its lines are dropped everywhere but in the first of them, the one with the least
-id, so that copies do not wipe out each other.
+its token count and its first ``DEPTH`` tokens to a leaf. Inside a leaf, positions
+where lines differ generalise. A token's support is the number of lines of the leaf
+that have it at that position. The better half of a line's tokens, by support, are
+what its kind has in common; a token stays if it has ``KEPT_SHARE`` of the support
+of the last of them, and is a wildcard otherwise. The result is the line's template
+if its lines are bound to it: they are ``BOUND_SHARE`` of those that have its rarest
+token. So boilerplate with variable fields is told from prose that happens to share
+words, by ratios that are the same in a small corpus and a large one. Else the line
+keeps the form it had with its digits masked. A template found in ``MIN_DOCS``
+documents or more recurs, and a line of ``LONG`` tokens, which no chance repeats, in
+two: its lines are dropped everywhere but in the first of them, the one with the
+least id, so that copies do not wipe out each other.
 
 What moves between tasks are digests: forms and templates as 128 bits, tokens at
 their place in a leaf as 64. Forms are moved only for leaves that hold different
@@ -26,6 +31,9 @@ from rankwise.llm.text import BLANKS, fresh, lines
 DEPTH = 2             # leading tokens that the tree branches on
 MIN_DOCS = 3          # documents that make a template recur
 FIXED_SHARE = 0.5     # of a template's tokens
+LONG = 50             # tokens from which a line recurs in two documents
+KEPT_SHARE = 0.5      # of the support of the better half, for a token to stay
+BOUND_SHARE = 0.5     # of the lines with its rarest token, for a template to hold
 MIN_FIXED = 5         # tokens, for a template that generalises beyond digits
 WILD = "<*>"
 # A token with a digit. The look-behind and the possessive run keep it linear.
@@ -52,32 +60,41 @@ def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _generalised(spark: SparkSession, table: DataFrame, limit: int) -> DataFrame:
-    """(line, template, docs): forms whose leaf generalises them beyond digits."""
+    """(line, template): forms that their leaf generalises to a template it holds."""
     # Lines of one leaf have one token count; those too short have no template.
     several = table.filter(F.col("n") >= MIN_FIXED).groupBy("leaf").agg(
         F.min("line").alias("a"), F.max("line").alias("b"), F.count(F.lit(1)).alias("lines")) \
         .filter((F.col("a") != F.col("b")) & (F.col("lines") >= MIN_DOCS)).select("leaf")
     several, _ = sizes.hinted(stored(spark, several, "line-leaves"), limit)
-    held = table.join(several, "leaf")
-    forms = held.groupBy("line").agg(F.first("form").alias("form"), F.first("n").alias("n"),
-                                     F.first("leaf").alias("leaf"))
-    docs = held.groupBy("line").agg(F.count_distinct("doc").alias("docs"))
-    forms = stored(spark, forms.join(docs, "line")
-                   .withColumn("id", F.monotonically_increasing_id()), "line-forms")
-    apart = forms.select("id", "docs", "leaf", F.posexplode(F.split("form", " ", -1))) \
+    forms = table.join(several, "leaf").groupBy("line").agg(
+        F.first("form").alias("form"), F.first("n").alias("n"), F.first("leaf").alias("leaf"),
+        F.count(F.lit(1)).alias("lines"))
+    forms = stored(spark, forms.withColumn("id", F.monotonically_increasing_id()), "line-forms")
+    apart = forms.select("id", "lines", "leaf", F.posexplode(F.split("form", " ", -1))) \
         .filter(F.col("col") != WILD) \
-        .select("id", "docs", F.xxhash64("leaf", "pos", "col").alias("cell"))
-    common = apart.groupBy("cell").agg(F.sum("docs").alias("support")) \
-        .filter(F.col("support") >= MIN_DOCS).select("cell")
+        .select("id", "lines", F.xxhash64("leaf", "pos", "col").alias("cell"),
+                (F.col("pos") < DEPTH).alias("leads"))
+    support = apart.groupBy("cell").agg(F.sum("lines").alias("support"))
+    cells = apart.join(support, "cell").groupBy("id").agg(F.sort_array(F.collect_list(
+        F.struct("support", "cell", "leads")), asc=False).alias("cells"))
+    half = F.ceil(F.col("n") * FIXED_SHARE).cast("int")
+    out = forms.join(cells, "id").withColumn("pivot", F.get("cells", half - 1)["support"]) \
+        .withColumn("cells", F.filter("cells", lambda c: c["support"] >= KEPT_SHARE * F.col("pivot"))) \
+        .filter((F.size("cells") >= MIN_FIXED) & (F.size("cells") < F.col("n")))
+
     # A template is the set of its cells, told by two independent xors of hashes.
-    stays = apart.join(common, "cell").groupBy("id").agg(
-        F.count(F.lit(1)).alias("fixed"), F.bit_xor("cell").alias("x"),
-        F.bit_xor(F.xxhash64("cell", F.lit(1))).alias("y"))
-    out = forms.join(stays, "id").filter(
-        (F.col("fixed") >= MIN_FIXED) & (F.col("fixed") < F.col("n"))
-        & (F.col("fixed") >= FIXED_SHARE * F.col("n")))
-    return out.select("line", F.unhex(F.md5(F.concat_ws(" ", "leaf", "x", "y"))).alias("template"),
-                      "docs")
+    def mixed(hashed):
+        return F.aggregate("cells", F.lit(0).cast("long"),
+                           lambda x, c: x.bitwiseXOR(hashed(c["cell"])))
+    named = F.concat_ws(" ", "leaf", mixed(lambda c: c), mixed(lambda c: F.xxhash64(c, F.lit(1))))
+    rarest = F.array_min(F.transform(F.filter("cells", lambda c: ~c["leads"]), lambda c: c["support"]))
+    general = stored(spark, out.select(
+        "line", "lines", F.unhex(F.md5(named)).alias("template"), rarest.alias("rarest")),
+        "line-templates")
+    held = general.groupBy("template").agg(F.sum("lines").alias("all"), F.min("rarest").alias("rarest")) \
+        .filter((F.col("all") >= MIN_DOCS) & (F.col("all") >= BOUND_SHARE * F.col("rarest")))
+    return general.select("line", "template").join(held.select("template"), "template") \
+        .select("line", "template")
 
 
 def dropped_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
@@ -89,22 +106,23 @@ def dropped_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     """
     spark = docs.sparkSession
     table = stored(spark, line_table(docs, doc_id, text), "lines")
-    general = stored(spark, _generalised(spark, table, limit), "line-templates")
+    general = stored(spark, _generalised(spark, table, limit), "line-general")
     # Only lines whose template may recur meet their documents again.
-    wide = general.groupBy("template").agg(F.sum("docs").alias("all")) \
-        .filter(F.col("all") >= MIN_DOCS).select("template")
-    wide = general.select("line", "template").join(wide, "template").select("line", "template")
+    enough = F.when(F.col("n") >= LONG, 2).otherwise(MIN_DOCS)
     plain = table.filter(F.col("fixed") >= FIXED_SHARE * F.col("n")).groupBy("line") \
-        .agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") >= MIN_DOCS) \
-        .select("line").join(general.select("line"), "line", "left_anti") \
-        .select("line", F.col("line").alias("template"))
+        .agg(F.count(F.lit(1)).alias("lines"), F.first("n").alias("n")) \
+        .withColumn("least", enough).filter(F.col("lines") >= F.col("least")) \
+        .join(general.select("line"), "line", "left_anti") \
+        .select("line", F.col("line").alias("template"), "least")
+    wide = general.select("line", "template", F.lit(MIN_DOCS).alias("least"))
     # These grow with the corpus, so the join is one of shuffled digests at any size.
     named = stored(spark, wide.unionByName(plain), "line-names").hint("merge")
     met = table.select("doc", "line_no", "line").join(named, "line")
-    met = stored(spark, met.select("doc", "line_no", "template"), "line-matches")
-    recurring = met.groupBy("template").agg(F.count_distinct("doc").alias("docs"),
-                                            F.min("doc").alias("first")) \
-        .filter(F.col("docs") >= MIN_DOCS).select("template", "first")
+    met = stored(spark, met.select("doc", "line_no", "template", "least"), "line-matches")
+    recurring = met.groupBy("template").agg(
+        F.count_distinct("doc").alias("docs"), F.min("doc").alias("first"),
+        F.first("least").alias("least")) \
+        .filter(F.col("docs") >= F.col("least")).select("template", "first")
     recurring, _ = sizes.hinted(stored(spark, recurring, "line-recurring"), limit)
     return met.join(recurring, "template").filter(F.col("doc") != F.col("first")) \
         .groupBy("doc").agg(F.collect_set("line_no").alias("drop"))
@@ -125,8 +143,8 @@ def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                     .select(F.col("doc.id").alias("d_id"), F.col("doc.key").alias("d_key"), "drop"),
                     "line-drops")
     drops, _ = sizes.hinted(drops, limit)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("t"),
-                       F.col(doc_id).alias("id"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.col(f"`{text}`").alias("t"), F.col(f"`{doc_id}`").alias("id"))
     rows = rows.join(drops, rows["id"].eqNullSafe(drops["d_id"])
                      & (F.xxhash64(rows["t"]) == drops["d_key"]), "left")
     cut = rows.withColumn("lines", lines(F.col("t")))
@@ -154,4 +172,4 @@ def clean(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     if n_chars:
         out = out.withColumn(n_chars, F.when(F.col(n_dropped) == 0, F.col(n_chars))
                              .otherwise(F.char_length(text)).cast(docs.schema[n_chars].dataType))
-    return out.select(*docs.columns)
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -273,20 +273,28 @@ WITH l AS (SELECT doc_id, i - 1 AS line_no, line, trim(regexp_replace(regexp_rep
 t AS (SELECT *, string_split(form, ' ') AS tokens FROM l WHERE form <> ''),
 f AS (SELECT form, any_value(tokens) AS tokens, any_value(len(tokens)) AS n,
     any_value(len(list_filter(tokens, lambda x: x <> '<*>'))) AS fixed,
-    count(DISTINCT doc_id) AS docs FROM t GROUP BY form),
-leaves AS (SELECT n, tokens[1:2] AS head FROM f GROUP BY ALL HAVING count(*) > 1 AND sum(docs) >= 3),
-apart AS (SELECT * FROM (SELECT form, n, tokens[1:2] AS head, docs, unnest(tokens) AS token,
+    count(*) AS lines FROM t GROUP BY form),
+leaves AS (SELECT n, tokens[1:2] AS head FROM f GROUP BY ALL HAVING count(*) > 1 AND sum(lines) >= 3),
+apart AS (SELECT * FROM (SELECT form, n, tokens[1:2] AS head, lines, unnest(tokens) AS token,
       unnest(range(len(tokens))) AS pos FROM f JOIN leaves l USING (n)
       WHERE n >= 5 AND l.head = tokens[1:2]) WHERE token <> '<*>'),
-common AS (SELECT n, head, pos, token FROM apart GROUP BY ALL HAVING sum(docs) >= 3),
-general AS (SELECT form, n, head, list([CAST(pos AS VARCHAR), token] ORDER BY pos) AS template
-  FROM apart JOIN common USING (n, head, pos, token) GROUP BY ALL
-  HAVING count(*) >= 5 AND count(*) < n AND count(*) >= 0.5 * n),
-named AS (SELECT f.form, coalesce(CAST([f.n] AS VARCHAR) || CAST(template AS VARCHAR), f.form) AS template
-  FROM f LEFT JOIN general g ON f.form = g.form WHERE template IS NOT NULL OR fixed >= 0.5 * f.n),
-met AS (SELECT t.doc_id, line_no, template FROM t JOIN named USING (form)),
+support AS (SELECT n, head, pos, token, sum(lines) AS s FROM apart GROUP BY ALL),
+ranked AS (SELECT form, n, lines, pos, token, s,
+    row_number() OVER (PARTITION BY form ORDER BY s DESC) AS r
+  FROM apart JOIN support USING (n, head, pos, token)),
+stays AS (SELECT *, max(s) FILTER (WHERE r = (n + 1) // 2) OVER (PARTITION BY form) AS pivot FROM ranked),
+general AS (SELECT form, n, any_value(lines) AS lines, min(s) FILTER (WHERE pos >= 2) AS rarest,
+    CAST([n] AS VARCHAR) || CAST(list([CAST(pos AS VARCHAR), token] ORDER BY pos) AS VARCHAR) AS template
+  FROM stays WHERE s >= 0.5 * pivot GROUP BY form, n HAVING count(*) >= 5 AND count(*) < n),
+held AS (SELECT template FROM general GROUP BY template
+  HAVING sum(lines) >= 3 AND sum(lines) >= 0.5 * min(rarest)),
+named AS (SELECT f.form, coalesce(template, f.form) AS template,
+    CASE WHEN template IS NULL AND f.n >= 50 THEN 2 ELSE 3 END AS least
+  FROM f LEFT JOIN (SELECT form, template FROM general JOIN held USING (template)) g USING (form)
+  WHERE template IS NOT NULL OR fixed >= 0.5 * f.n),
+met AS (SELECT t.doc_id, line_no, template, least FROM t JOIN named USING (form)),
 recurring AS (SELECT template, min(doc_id) AS first FROM met GROUP BY template
-  HAVING count(DISTINCT doc_id) >= 3),
+  HAVING count(DISTINCT doc_id) >= any_value(least)),
 gone AS (SELECT DISTINCT doc_id, line_no FROM met JOIN recurring USING (template)
   WHERE doc_id <> first),
 out AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.line_no)

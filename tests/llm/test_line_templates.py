@@ -18,32 +18,42 @@ def prose(rng, n):
 
 def plain(rows):
     """Texts of (doc_id, text, ...) rows with distinct ids after the dedup."""
-    forms, found = {}, {}
+    forms, seen = {}, Counter()
     for r in rows:
         for k, line in enumerate((r[1] or "").split("\n")):
             tokens = tuple("<*>" if re.search("[0-9]", w) else w
                            for w in re.findall(r"[^\x09-\x0D\x20]+", line))
             if tokens:
                 forms[r[0], k] = tokens
-                found.setdefault(tokens, set()).add(r[0])
-    seen = {f: len(ids) for f, ids in found.items()}
+                seen[tokens] += 1
     leaves, support = {}, Counter()
     for f in seen:
         leaves.setdefault((len(f), f[:t.DEPTH]), []).append(f)
-    open_leaves = {k: fs for k, fs in leaves.items() if k[0] >= t.MIN_FIXED and len(fs) > 1
-                   and sum(seen[f] for f in fs) >= t.MIN_DOCS}
-    for k, fs in open_leaves.items():
+    general, bound = {}, Counter()
+    for k, fs in leaves.items():
+        if k[0] < t.MIN_FIXED or len(fs) < 2 or sum(seen[f] for f in fs) < t.MIN_DOCS:
+            continue
         for f in fs:
             for i, w in enumerate(f):
                 support[k, i, w] += seen[f] if w != "<*>" else 0
+        for f in fs:
+            best = sorted((support[k, i, w] for i, w in enumerate(f) if w != "<*>"), reverse=True)
+            half = (len(f) + 1) // 2
+            if len(best) < half:
+                continue
+            stays = tuple((i, w) for i, w in enumerate(f) if w != "<*>"
+                          and support[k, i, w] >= t.KEPT_SHARE * best[half - 1])
+            if t.MIN_FIXED <= len(stays) < len(f):
+                general[f] = k, stays
+                bound[k, stays] += seen[f]
     template = {}
     for f in seen:
-        k = len(f), f[:t.DEPTH]
-        fixed = tuple((i, w) for i, w in enumerate(f) if support[k, i, w] >= t.MIN_DOCS)
-        if k in open_leaves and t.MIN_FIXED <= len(fixed) < len(f) \
-                and len(fixed) >= t.FIXED_SHARE * len(f):
-            template[f] = k, fixed
-        elif sum(w != "<*>" for w in f) >= t.FIXED_SHARE * len(f):
+        if f in general:
+            k, stays = general[f]
+            rarest = min(support[k, i, w] for i, w in stays if i >= t.DEPTH)
+            if t.MIN_DOCS <= bound[k, stays] >= t.BOUND_SHARE * rarest:
+                template[f] = general[f]
+        if f not in template and sum(w != "<*>" for w in f) >= t.FIXED_SHARE * len(f):
             template[f] = f
     docs = {}
     for (d, _), f in forms.items():
@@ -52,7 +62,8 @@ def plain(rows):
     for r in rows:
         lines = (r[1] or "").split("\n")
         gone = {k for k in range(len(lines)) if (f := template.get(forms.get((r[0], k))))
-                and len(docs[f]) >= t.MIN_DOCS and min(docs[f]) != r[0]}
+                and len(docs[f]) >= (2 if len(forms[r[0], k]) == len(f) >= t.LONG else t.MIN_DOCS)
+                and min(docs[f]) != r[0]}
         kept = [x for k, x in enumerate(lines) if k not in gone]
         left = any((r[0], k) in forms and k not in gone for k in range(len(lines)))
         out[r[0]] = None if r[1] is None else "\n".join(kept), bool(gone) and not left
@@ -109,6 +120,46 @@ def test_copies_leave_their_first_document_whole(spark):
     assert got == {4: text + "\n", 20: pair[0][1], 21: pair[1][1]}
 
 
+@pytest.mark.parametrize("n", [50, 1000, 5000])
+def test_a_footer_with_two_fields_goes_at_every_size(spark, n):
+    """Values recur in more and more documents; prose around it stays."""
+    rng = random.Random(n)
+    names, cities = [prose(rng, 1) for _ in range(200)], [prose(rng, 1) for _ in range(200)]
+    rows = []
+    for i in range(n):
+        footer = f"Posted by {rng.choice(names)} in the {rng.choice(cities)} office for readers"
+        rows.append((i, f"Posted by {prose(rng, 7)}\n{prose(rng, 12)}\n{footer}"))
+    out = deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r.n_dropped for r in out) == n - 1
+    assert all(r.text == "\n".join(rows[r.doc_id][1].split("\n")[:2 if r.doc_id else 3]) for r in out)
+
+
+def test_words_that_prose_has_in_common_are_no_template(spark):
+    """Lines that share a frame with many others but go on differently all stay."""
+    rng = random.Random(8)
+    few = [prose(rng, 1) for _ in range(12)]
+    rows = [(i, "it is " + " ".join(rng.choice(few) for _ in range(6))) for i in range(1500)]
+    out = deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    seen = Counter(x for _, x in rows)
+    assert sum(r.n_dropped for r in out) <= sum(n - 1 for n in seen.values() if n >= t.MIN_DOCS) + 15
+
+
+def test_long_lines_recur_from_two_documents(spark):
+    rng = random.Random(4)
+    long, short = prose(rng, t.LONG), prose(rng, t.LONG - 1)
+    rows = [(i, f"{prose(rng, 9)}\n{long}\n{short}") for i in (3, 7)]
+    got = {r.doc_id: r for r in deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[3].text == rows[0][1] and got[3].n_dropped == 0
+    assert got[7].text.split("\n") == [rows[1][1].split("\n")[0], short] and got[7].n_dropped == 1
+    once = [(1, f"{long}\n{long}")]
+    assert deduplicate(spark.createDataFrame(once, "doc_id long, text string")).first().n_dropped == 0
+
+
+def test_a_column_name_with_a_dot(spark):
+    df = spark.createDataFrame([(1, "x", 7)], "doc_id long, text string, `a.b` int")
+    assert clean(df).columns == df.columns and deduplicate(df).select("`a.b`").first()[0] == 7
+
+
 def test_odd_rows(spark):
     line = "the same footer line stands here"
     rows = [(1, None, "en", "s", None), (2, "", "en", "s", 0), (3, "\n \n\t\n", "en", "s", 4),
