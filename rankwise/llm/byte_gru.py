@@ -36,6 +36,7 @@ BATCH = 2048                 # windows in a step
 TEXT_BYTES = 8 << 20         # texts labelled together, about
 SAMPLE_TEXTS = 2400          # texts in the training sample, over all languages
 SAMPLE_CHARS = 1024          # characters of each
+SHARES = 1_000_000           # hashes are cut at so many places
 EPOCH_WINDOWS, TRAIN_WINDOW = 256, 48
 ROUNDS, RATE, SEED = 260, 0.02, 7
 
@@ -310,18 +311,24 @@ def training_sample(rows: DataFrame, *, sample_texts: int = SAMPLE_TEXTS,
                     sample_chars: int = SAMPLE_CHARS) -> list[tuple[bytes, str]]:
     """At most ``sample_texts`` (text, language) pairs of rows (held, letters, text,
     lang), in equal parts by language and chosen by a hash of the text, so that
-    the pairs depend on the rows alone. A longer text gives the ``sample_chars``
+    the pairs depend on the rows alone; copies of a text count once. A longer text gives the ``sample_chars``
     characters from a place that the hash chooses."""
-    learn = rows.filter(~F.col("held") & F.col("letters") & F.col("lang").isNotNull())
-    names = learn.select("lang").distinct().count()
-    each = max(1, sample_texts // max(1, names))
+    learn = rows.filter(~F.col("held") & F.col("letters") & F.col("lang").isNotNull()) \
+        .select("lang", "text", F.xxhash64("text").alias("hash"))
+    # One sketch a language tells how many texts there are, so that hashes below a
+    # bound leave about twice the texts wanted, however many tasks read the table.
+    many = learn.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()
+    each = max(1, sample_texts // max(1, len(many)))
+    if not many:
+        return []
+    share = F.create_map(*[F.lit(x) for r in many for x in (r["lang"], min(1.0, 2 * each / max(1, r["n"])))])
+    learn = learn.filter(F.pmod("hash", F.lit(SHARES)) <= share[F.col("lang")] * SHARES)
     spare = F.greatest(F.char_length("text") - sample_chars, F.lit(0))
-    learn = learn.select("lang", F.xxhash64("text").alias("hash"), F.substring(
+    pieces = learn.select("lang", "hash", F.substring(
         "text", F.pmod(F.xxhash64("text", F.lit(1)), spare + 1).cast("int") + 1,
-        F.lit(sample_chars)).alias("piece"))
-    # The rank filter keeps `each` rows a language in every task before they move.
-    first = Window.partitionBy("lang").orderBy("hash", "piece")
-    taken = learn.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= each)
+        F.lit(sample_chars)).alias("piece")).groupBy("lang", "hash").agg(F.min("piece").alias("piece"))
+    first = Window.partitionBy("lang").orderBy("hash")
+    taken = pieces.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= each)
     pairs = [(r["piece"].encode(), r["lang"]) for r in taken.select("piece", "lang").collect()]
     return sorted(pairs, key=lambda x: (x[1], x[0]))
 

@@ -282,10 +282,10 @@ support AS (SELECT n, head, pos, token, sum(lines) AS s FROM apart GROUP BY ALL)
 ranked AS (SELECT form, n, lines, pos, token, s,
     row_number() OVER (PARTITION BY form ORDER BY s DESC) AS r
   FROM apart JOIN support USING (n, head, pos, token)),
-stays AS (SELECT *, max(s) FILTER (WHERE r = (n + 1) // 2) OVER (PARTITION BY form) AS pivot FROM ranked),
+stays AS (SELECT *, max(s) FILTER (WHERE r = (n + 1) // 2) OVER (PARTITION BY form) AS common FROM ranked),
 general AS (SELECT form, n, any_value(lines) AS lines, min(s) FILTER (WHERE pos >= 2) AS rarest,
     CAST([n] AS VARCHAR) || CAST(list([CAST(pos AS VARCHAR), token] ORDER BY pos) AS VARCHAR) AS template
-  FROM stays WHERE s >= 0.5 * pivot GROUP BY form, n HAVING count(*) >= 5 AND count(*) < n),
+  FROM stays WHERE s >= 0.5 * common GROUP BY form, n HAVING count(*) >= 5 AND count(*) < n),
 held AS (SELECT template FROM general GROUP BY template
   HAVING sum(lines) >= 3 AND sum(lines) >= 0.5 * min(rarest)),
 named AS (SELECT f.form, coalesce(template, f.form) AS template,
