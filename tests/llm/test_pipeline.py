@@ -22,9 +22,12 @@ def mixed(rows):
         by_source.setdefault(r[3], []).append(r[0])
     weight = {s: round(math.sqrt(len(ids)) * 1_000_000) for s, ids in by_source.items()}
     total = sum(weight.values())
-    units = {s: max(1, (2 * mixing.PERIOD * w + total) // (2 * total)) for s, w in weight.items()}
-    period, had, at = sum(units.values()), dict.fromkeys(units, 0), {}
-    for slot in range(period):
+    units = {s: max(mixing.PERIOD // mixing.LEAST_SHARE, round(w / total * mixing.PERIOD))
+             for s, w in weight.items()}
+    period, had, at, slot = sum(units.values()), dict.fromkeys(units, 0), {}, -1
+    # A source that has run out goes on taking its slots, until every block has one.
+    while any(had[s] * mixing.BLOCK_DOCS < len(ids) for s, ids in by_source.items()):
+        slot += 1
         _, s = min((-(-(had[s] + 1) * period // a), s) for s, a in units.items()
                    if had[s] < a and had[s] * period // a <= slot)
         at[s, had[s]] = slot
