@@ -16,12 +16,14 @@ least id, so that copies do not wipe out each other.
 
 What moves between tasks are digests: forms and templates as 128 bits, tokens at
 their place in a leaf as 64. Forms are moved only for leaves that hold different
-ones, each form once. Counts combine before they move, and joins are plain
-equi-joins that Spark may split where a line is very common.
+ones: those of a leaf of up to ``SMALL`` tokens to one task, where all is counted in
+place; a larger leaf is dealt by form and by token, with the same result. Other counts
+combine before they move, and joins are plain equi-joins that Spark may split where a
+line is very common.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankwise.llm import sizes
@@ -35,6 +37,7 @@ LONG = 50             # tokens from which a line recurs in two documents
 KEPT_SHARE = 0.5      # of the support of the better half, for a token to stay
 BOUND_SHARE = 0.5     # of the lines with its rarest token, for a template to hold
 MIN_FIXED = 5         # tokens, for a template that generalises beyond digits
+SMALL = 100_000       # tokens of a leaf whose lines may meet in one task
 WILD = "<*>"
 # A token with a digit. The look-behind and the possessive run keep it linear.
 VARIABLE = r"(?<![^\x09-\x0D\x20])[^\x09-\x0D\x200-9]*+[0-9][^\x09-\x0D\x20]*"
@@ -49,8 +52,9 @@ def _form(line: Column) -> Column:
 def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """A row per line with a token: document, line number from 0, form and the
     form's digest, number of tokens and of fixed ones, leaf."""
-    out = docs.select(F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("key"))
-                      .alias("doc"), F.posexplode(lines(F.col(text))).alias("line_no", "line"))
+    out = docs.select(F.struct(F.col(f"`{doc_id}`").alias("id"),
+                               F.xxhash64(F.col(f"`{text}`")).alias("key")).alias("doc"),
+                      F.posexplode(lines(F.col(f"`{text}`"))).alias("line_no", "line"))
     out = out.select("doc", "line_no", _form(F.col("line")).alias("form")).filter("form <> ''")
     tokens = F.split("form", " ", -1)
     return out.withColumn("tokens", tokens).select(
@@ -59,26 +63,54 @@ def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"))
 
 
-def _generalised(spark: SparkSession, table: DataFrame, limit: int) -> DataFrame:
-    """(line, template): forms that their leaf generalises to a template it holds."""
-    # Lines of one leaf have one token count; those too short have no template.
-    several = table.filter(F.col("n") >= MIN_FIXED).groupBy("leaf").agg(
-        F.min("line").alias("a"), F.max("line").alias("b"), F.count(F.lit(1)).alias("lines")) \
-        .filter((F.col("a") != F.col("b")) & (F.col("lines") >= MIN_DOCS)).select("leaf")
-    several, _ = sizes.hinted(stored(spark, several, "line-leaves"), limit)
-    forms = table.join(several, "leaf").groupBy("line").agg(
-        F.first("form").alias("form"), F.first("n").alias("n"), F.first("leaf").alias("leaf"),
-        F.count(F.lit(1)).alias("lines"))
-    forms = stored(spark, forms.withColumn("id", F.monotonically_increasing_id()), "line-forms")
-    apart = forms.select("id", "lines", "leaf", F.posexplode(F.split("form", " ", -1))) \
+def _cells(forms: DataFrame) -> DataFrame:
+    """A row per fixed token of a form: its cell is the token at its place in the leaf."""
+    return forms.select("leaf", "line", "n", "lines", F.posexplode(F.split("form", " ", -1))) \
         .filter(F.col("col") != WILD) \
-        .select("id", "lines", F.xxhash64("leaf", "pos", "col").alias("cell"),
+        .select("leaf", "line", "n", "lines", F.xxhash64("leaf", "pos", "col").alias("cell"),
                 (F.col("pos") < DEPTH).alias("leads"))
-    support = apart.groupBy("cell").agg(F.sum("lines").alias("support"))
-    cells = apart.join(support, "cell").groupBy("id").agg(F.sort_array(F.collect_list(
+
+
+def _by_form(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("leaf", "line", "n", "lines").agg(F.sort_array(F.collect_list(
         F.struct("support", "cell", "leads")), asc=False).alias("cells"))
+
+
+def _in_small(table: DataFrame, leaves: DataFrame, limit: int) -> DataFrame:
+    """Forms of small leaves with the support of their cells. The lines of a leaf meet
+    in one task, which bounds them by ``SMALL``; all the rest happens where they lie."""
+    leaves, sent = sizes.hinted(leaves, limit)
+    met = table.select("leaf", "form", "n").join(leaves, "leaf")
+    met = met.repartition("leaf") if sent else met
+    forms = met.groupBy("leaf", "form", "n").agg(F.count(F.lit(1)).alias("lines")) \
+        .withColumn("line", F.unhex(F.md5("form")))
+    return _by_form(_cells(forms).withColumn(
+        "support", F.sum("lines").over(Window.partitionBy("leaf", "cell"))))
+
+
+def _in_large(spark: SparkSession, table: DataFrame, leaves: DataFrame, limit: int) -> DataFrame:
+    """The same for leaves of any size: what moves is dealt by form and by cell."""
+    forms = table.join(sizes.hinted(leaves, limit)[0], "leaf").groupBy("leaf", "line", "n").agg(
+        F.first("form").alias("form"), F.count(F.lit(1)).alias("lines"))
+    cells = _cells(stored(spark, forms, "line-forms"))
+    support = cells.groupBy("cell").agg(F.sum("lines").alias("support"))
+    return _by_form(cells.join(support, "cell"))
+
+
+def _generalised(spark: SparkSession, table: DataFrame, limit: int, small: int) -> DataFrame:
+    """(line, template): forms that their leaf generalises to a template it holds."""
+    # Lines of one leaf have one token count; those too short have no template.
+    table = table.filter(F.col("n") >= MIN_FIXED)
+    told = F.xxhash64("line")
+    several = table.groupBy("leaf", "n").agg(
+        F.min(told).alias("a"), F.max(told).alias("b"), F.count(F.lit(1)).alias("lines")) \
+        .filter((F.col("a") != F.col("b")) & (F.col("lines") >= MIN_DOCS)) \
+        .select("leaf", (F.col("lines") * F.col("n") <= small).alias("small"))
+    several = stored(spark, several, "line-leaves")
+    found = _in_small(table, several.filter("small").select("leaf"), limit) \
+        .unionByName(_in_large(spark, table, several.filter("not small").select("leaf"), limit))
     half = F.ceil(F.col("n") * FIXED_SHARE).cast("int")
-    out = forms.join(cells, "id").withColumn("pivot", F.get("cells", half - 1)["support"]) \
+    out = found.withColumn("pivot", F.get("cells", half - 1)["support"]) \
         .withColumn("cells", F.filter("cells", lambda c: c["support"] >= KEPT_SHARE * F.col("pivot"))) \
         .filter((F.size("cells") >= MIN_FIXED) & (F.size("cells") < F.col("n")))
 
@@ -98,7 +130,7 @@ def _generalised(spark: SparkSession, table: DataFrame, limit: int) -> DataFrame
 
 
 def dropped_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-                  limit: int = sizes.BROADCAST_BYTES) -> DataFrame:
+                  limit: int = sizes.BROADCAST_BYTES, small: int = SMALL) -> DataFrame:
     """(doc, drop): per document that loses lines, their numbers from 0.
 
     ``doc`` is a struct of the id and a hash of the text. Written line tables
@@ -106,7 +138,7 @@ def dropped_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     """
     spark = docs.sparkSession
     table = stored(spark, line_table(docs, doc_id, text), "lines")
-    general = stored(spark, _generalised(spark, table, limit), "line-general")
+    general = stored(spark, _generalised(spark, table, limit, small), "line-general")
     # Only lines whose template may recur meet their documents again.
     enough = F.when(F.col("n") >= LONG, 2).otherwise(MIN_DOCS)
     plain = table.filter(F.col("fixed") >= FIXED_SHARE * F.col("n")).groupBy("line") \
@@ -129,7 +161,7 @@ def dropped_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
 
 
 def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-                limit: int = sizes.BROADCAST_BYTES) -> DataFrame:
+                limit: int = sizes.BROADCAST_BYTES, small: int = SMALL) -> DataFrame:
     """``docs`` with its lines of recurring templates cut out of ``text``, and
     n_lines, n_dropped (long): lines with a token, before and cut.
 
@@ -139,7 +171,8 @@ def deduplicate(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     of one id with different texts are two. A null id counts as the least.
     """
     spark = docs.sparkSession
-    drops = stored(spark, dropped_lines(docs, doc_id=doc_id, text=text, limit=limit)
+    drops = stored(spark, dropped_lines(docs, doc_id=doc_id, text=text, limit=limit,
+                                        small=small)
                     .select(F.col("doc.id").alias("d_id"), F.col("doc.key").alias("d_key"), "drop"),
                     "line-drops")
     drops, _ = sizes.hinted(drops, limit)

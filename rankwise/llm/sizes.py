@@ -21,6 +21,7 @@ def measured_bytes(df: DataFrame, *extra: Column) -> int:
 
 
 def hinted(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """``df`` with a broadcast hint if its measured size allows it, and whether."""
+    """``df`` with a broadcast hint if its measured size allows it, and whether; else
+    with a hint to merge, so that no estimate from file sizes broadcasts it."""
     small = measured_bytes(df) <= limit
-    return (F.broadcast(df) if small else df), small
+    return (F.broadcast(df) if small else df.hint("merge")), small

@@ -85,9 +85,10 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("limit", [1 << 25, -1])
-def test_templates_go_but_for_the_first_document(spark, rows, limit):
-    got = {r.doc_id: r for r in deduplicate(spark.createDataFrame(rows, DDL), limit=limit).collect()}
+@pytest.mark.parametrize(("limit", "small"), [(1 << 25, t.SMALL), (-1, t.SMALL), (1 << 25, 60), (-1, 0)])
+def test_templates_go_but_for_the_first_document(spark, rows, limit, small):
+    out = deduplicate(spark.createDataFrame(rows, DDL), limit=limit, small=small)
+    got = {r.doc_id: r for r in out.collect()}
     for i, text, *_ in rows:
         lines = text.split("\n")
         page, posted = i == 0, i == 1
