@@ -2,9 +2,10 @@
 
 Numbers and dates that are valid in their format are replaced by others that
 are valid in the same format: payment cards keep their length, separators and
-Luhn digit, IBANs their country and check digits, IPv4 addresses four octets,
-social security numbers their valid ranges, phone numbers their country code and
-punctuation, dates a real day in the same notation. E-mail addresses keep their
+Luhn digit, IBANs their country and check digits, IPv4 addresses four octets, IPv6
+addresses the full or the short form, social security numbers their valid ranges,
+phone numbers their country code and punctuation, dates a real day in the same
+notation, in figures or with the month's name in four languages. E-mail addresses keep their
 shape and last label. Each kind of value is a number below the size of its format;
 a Feistel network whose rounds are keyed hashes permutes these numbers, walking
 on until it lands inside. The key alone decides the pseudonym, so equal values
@@ -14,6 +15,7 @@ them back: ``restore`` finds the pseudonyms as it would the values.
 from __future__ import annotations
 
 import datetime
+import ipaddress
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
@@ -24,8 +26,9 @@ from math import isqrt
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
-from rankwise.llm.text import fresh
+from rankwise.llm.text import fresh, named
 
 ROUNDS = 10
 ROWS_AT_ONCE = 256
@@ -147,7 +150,7 @@ def _ip(text, move):
 
 
 def _ssn(text, move):
-    area, group, serial = (int(x) for x in re.split("[- ]", text))
+    area, group, serial = map(int, re.split("[- ]", text))
     if area in (0, 666) or area > 899 or not group or not serial:
         return None
     value = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1
@@ -158,7 +161,8 @@ def _ssn(text, move):
 
 
 def _phone(text, move):
-    country = re.match(r"\+[0-9]{1,3}(?=[^0-9])|", text)[0]
+    # The country code stays, or the zero that stands for it.
+    country = re.match(r"\+[0-9]{1,3}(?=[^0-9])|0(?=[0-9]([ .-])[0-9]{2}(?:\1[0-9]{2}){3}$)|", text)[0]
     digits = re.sub("[^0-9]", "", text[len(country):])
     if not 7 <= len(digits) <= 14 or len(set(digits)) == 1:
         return None
@@ -181,18 +185,87 @@ def _date(text, move):
     if not 0 <= day < DAYS:
         return None
 
+    # Without a leading zero in either number, a date stays written so.
+    short = order != "ymd" and (len(a) == 1 or len(b) == 1)
+
     def spell(x: datetime.date, order: str) -> str:
-        return mark.join(f"{x.year:04d}" if k == "y" else f"{x.month if k == 'm' else x.day:02d}"
-                         for k in order)
+        return mark.join(f"{x.year:04d}" if k == "y" else
+                         f"{x.month if k == 'm' else x.day:0{1 if short else 2}d}" for k in order)
     # The notation of a slashed date tells month and day apart only when a number
     # is over 12, so the walk goes on to a day that reads back in this order.
     while True:
         day = move("date", DAYS, day)
         new = datetime.date.fromordinal(day + FIRST_DAY)
-        if mark != "/" or order != "dmy" or new.day > 12:
+        told = mark != "/" or order != "dmy" or new.day > 12
+        # Unpadded, a day and a month of two digits would read back as padded.
+        if told and (not short or new.day < 10 or new.month < 10):
             return spell(new, order)
 
 
+# Names of the months in English, German, French and Spanish.
+MONTHS = {
+    "en": "January February March April May June July August September October November December",
+    "de": "Januar Februar März April Mai Juni Juli August September Oktober November Dezember",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+}
+MONTH_LISTS = {k: v.lower().split() for k, v in MONTHS.items()}
+MONTH_LISTS["short"] = [m[:3] for m in MONTH_LISTS["en"]]
+
+
+def _month_list(name: str) -> list[str] | None:
+    """The months that a name is told to be of: languages share some, and French and
+    Spanish write them small."""
+    order = ("fr", "es", "en", "de", "short") if name.islower() else ("en", "de", "short", "fr", "es")
+    return next((MONTH_LISTS[k] for k in order if name.lower() in MONTH_LISTS[k]), None)
+
+
+def _worded_date(text, move):
+    """A day, the name of a month and a year: what stands between them stays."""
+    name = re.search(r"[^\W\d_]{3,}", text)
+    months = _month_list(name[0])
+    if months is None:
+        return None
+    day, year = sorted(re.finditer("[0-9]+", text), key=lambda m: len(m[0]))
+    try:
+        at = datetime.date(int(year[0]), months.index(name[0].lower()) + 1,
+                           int(day[0])).toordinal() - FIRST_DAY
+    except ValueError:
+        return None
+    if not 0 <= at < DAYS:
+        return None
+    spell = str.lower if name[0].islower() else str.upper if name[0].isupper() else str.title
+    # On to a day of as many digits, in a month whose name reads back as one of these.
+    while True:
+        at = move("date", DAYS, at)
+        new = datetime.date.fromordinal(at + FIRST_DAY)
+        word = spell(months[new.month - 1])
+        if (new.day < 10) == (int(day[0]) < 10) and _month_list(word) is months:
+            break
+    out, end = "", 0
+    for span, value in sorted([(day.span(), f"{new.day:0{len(day[0])}d}"),
+                               (year.span(), f"{new.year:04d}"), (name.span(), word)]):
+        out, end = out + text[end:span[0]] + value, span[1]
+    return out + text[end:]
+
+
+def _ip6(text, move):
+    """Written in full or short; a mixed form comes back short. ``::`` and ``::1`` stay."""
+    try:
+        number = int(ipaddress.IPv6Address(text))
+    except ValueError:
+        return None
+    if number < 2 or not re.search("[0-9]", text):
+        return None
+    full = len(text) == 39
+    while True:
+        number = move("ip6", 1 << 128, number)
+        new = ipaddress.IPv6Address(number)
+        out = new.exploded if full else str(new)
+        if number > 1 and (len(out) == 39) == full and new.ipv4_mapped is None:
+            return out.upper() if text.isupper() else out
+
+
 def _email(text, move):
     local, _, host = text.rpartition("@")
     labels, _, last = host.rpartition(".")
@@ -211,10 +284,19 @@ FORMATS = [
         r"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9-])")),
     ("iban", _iban, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")),
     ("ip", _ip, re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])")),
+    ("ip6", _ip6, re.compile(
+        r"(?<![0-9A-Za-z:.])[0-9A-Fa-f]{0,4}:(?:[0-9A-Fa-f]{0,4}:){1,6}[0-9A-Fa-f]{0,4}"
+        r"(?![0-9A-Za-z:]|\.[0-9])")),
     ("date", _date, re.compile(
-        r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([/.-])[0-9]{2}\1[0-9]{4})"
-        r"(?![0-9A-Za-z]|[./-][0-9])")),
-    ("ssn", _ssn, re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])")),
+        r"(?<![0-9A-Za-z./-])(?:[0-9]{4}([/-])[0-9]{2}\1[0-9]{2}"
+        r"|[0-9]{2}([/.-])[0-9]{2}\2[0-9]{4}|[1-9][0-9]?([/.-])[1-9][0-9]?\3[0-9]{4})"
+        r"(?:(?=T[0-9]{2}:)|(?![0-9A-Za-z]|[./-][0-9]))")),
+    ("date", _worded_date, re.compile(
+        r"(?<![0-9A-Za-z./-])[0-9]{1,2}(?:\. ?| de | |-)[^\W\d_]{3,10}(?:\.? | de |-)[0-9]{4}"
+        r"(?![0-9A-Za-z]|[./-][0-9])"
+        r"|(?<![^\W_])[A-Z][A-Za-z]{2,8}\.? [0-9]{1,2},? [0-9]{4}(?![0-9A-Za-z]|[./-][0-9])")),
+    ("ssn", _ssn, re.compile(
+        r"(?<![0-9A-Za-z-])(?<![0-9] )[0-9]{3}([ -])[0-9]{2}\1[0-9]{4}(?![0-9A-Za-z]|[ -][0-9])")),
     ("card", _card, re.compile(
         r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?"
         r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})(?![0-9A-Za-z])")),
@@ -222,7 +304,11 @@ FORMATS = [
         r"(?<![0-9A-Za-z+])\+(?:[0-9]{9,15}|[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
         r"[0-9]{3,4}[ .-]?[0-9]{3,4})(?![0-9A-Za-z])"
         r"|(?<![0-9A-Za-z)])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
-        r"|(?<![0-9A-Za-z.-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![0-9A-Za-z]|[.-][0-9])")),
+        r"|(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-](?:[0-9](?:[ .-][0-9]{2}){4}"
+        r"|[0-9]{3}(?:[ .-][0-9]{2}){3}|[0-9]{3}(?:[ .-][0-9]{3}){2}|[0-9]{2,4}[ .-][0-9]{6,8})"
+        r"(?![0-9A-Za-z])"
+        r"|(?<![0-9A-Za-z.-])(?<![0-9] )0[0-9]([ .-])[0-9]{2}(?:\1[0-9]{2}){3}(?![0-9A-Za-z]|[ .-][0-9])"
+        r"|(?<![0-9A-Za-z.-])(?<![0-9] )[0-9]{3}([ .-])[0-9]{3}\2[0-9]{4}(?![0-9A-Za-z]|[ .-][0-9])")),
 ]
 HINT = re.compile("[0-9@]")
 
@@ -287,13 +373,12 @@ def pseudonymise(docs: DataFrame, key: bytes, *, text: str = "text",
     each other, so repeated rows give equal results. ``back`` restores.
     """
     others = [c for c in docs.columns if c != text]
-    packed = docs.select(F.struct(*(docs[c] for c in others), F.lit(0).alias("_")).alias("row"),
-                         docs[text].alias("text"))
-    row = packed.schema["row"].dataType.simpleString()
-    out = packed.mapInArrow(lambda batches: _replaced(batches, key, back),
-                            f"row {row}, text string, "
-                            "found array<struct<kind:string,start:bigint,end:bigint>>")
-    return out.select(*(F.col("text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c)
+    packed = docs.select(F.struct(*(named(c) for c in others), F.lit(0).alias("_")).alias("row"),
+                         named(text).alias("text"))
+    span = StructType().add("kind", "string").add("start", "long").add("end", "long")
+    schema = StructType([packed.schema["row"]]).add("text", "string").add("found", ArrayType(span))
+    out = packed.mapInArrow(lambda batches: _replaced(batches, key, back), schema)
+    return out.select(*(F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c)
                         for c in docs.columns), F.col("found").alias(fresh(docs, "pii_found")))
 
 

@@ -45,6 +45,11 @@ def lines(text: Column) -> Column:
         .otherwise(F.split(text, "\n", -1))
 
 
+def named(column: str) -> Column:
+    """The column of that name, whatever characters are in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, so added columns never clash."""
     taken = {c.lower() for c in df.columns}

@@ -46,6 +46,38 @@ def test_formats(value, pattern):
         assert one(text, b"another") != new
 
 
+# Values and what their pseudonyms must look like, written apart from the patterns.
+PLANTED = [
+    ("1985-04-12T10:00:00Z", r"(19|20)\d\d-[01]\d-[0-3]\dT10:00:00Z"),
+    ("1985/04/12", r"(19|20)\d\d/[01]\d/[0-3]\d"), ("4/12/1985", r"\d{1,2}/\d{1,2}/(19|20)\d\d"),
+    ("3.7.1999", r"\d{1,2}\.\d{1,2}\.(19|20)\d\d"), ("12 April 1985", r"[1-3]\d [A-Z][a-z]+ (19|20)\d\d"),
+    ("5 May 2001", r"[1-9] [A-Z][a-z]+ (19|20)\d\d"), ("April 12, 1985", r"[A-Z][a-z]+ [1-3]\d, (19|20)\d\d"),
+    ("03 Feb 1972", r"0[1-9] [A-Z][a-z]{2} (19|20)\d\d"), ("12. März 1985", r"[1-3]\d\. [A-Z][a-zä]+ (19|20)\d\d"),
+    ("12 avril 1985", r"[1-3]\d [a-zéû]+ (19|20)\d\d"), ("1 de abril de 1985", r"[1-9] de [a-z]+ de (19|20)\d\d"),
+    ("+33 1 23 45 67 89", r"\+33 \d( \d\d){4}"), ("+34 612 34 56 78", r"\+34 \d{3}( \d\d){3}"),
+    ("+34 612 345 678", r"\+34 \d{3}( \d{3}){2}"), ("+49 30 12345678", r"\+49 \d\d \d{8}"),
+    ("01 23 45 67 89", r"0\d( \d\d){4}"), ("555 123 4567", r"\d{3} \d{3} \d{4}"),
+    ("2001:db8::ff00:42:8329", r"[0-9a-f:]+"), ("FE80::1ff", r"[0-9A-Fa-f:]+"),
+    ("2001:0db8:0000:0000:0000:ff00:0042:8329", r"[0-9a-f]{4}(:[0-9a-f]{4}){7}"),
+    ("078 05 1120", r"\d{3} \d\d \d{4}"),
+]
+
+
+@pytest.mark.parametrize(("value", "shape"), PLANTED)
+@pytest.mark.parametrize("key", [KEY, b"2", b"third", b"4th"])
+def test_planted_values(value, shape, key):
+    for before, after in (("", ""), ("on ", "."), ("(", ") x"), ("seen: ", ", then")):
+        new, found = p.replace(before + value + after, key)
+        assert len(found) == 1 and new.startswith(before) and new.endswith(after)
+        inner = new[len(before):len(new) - len(after)]
+        assert re.fullmatch(shape, inner) and inner != value
+        assert p.replace(new, key, True)[0].lower() == (before + value + after).lower()
+
+
+def test_one_number_in_two_notations():
+    assert one("+33 1 23 45 67 89")[4:] == one("01 23 45 67 89")[1:]
+
+
 def test_neighbours():
     for text in (f"7 {CARD}", f"7 {SPACED} 12", f"{CARD} {CARD}", f"1234 {SPACED}",
                  "DE89 3704 0044 0532 0130 00 IN 97.51.17.173 8", "5 +1 (017) 555-7713 97.51.17.173"):
@@ -62,7 +94,9 @@ def test_equal_values_stay_linked():
 @pytest.mark.parametrize("text", [
     "4263429643439181", "2021-02-30", "300.1.1.1", "1.2.3", "DE89370400440532013001",
     "000-12-3456", "666-12-3456", "version 3.", "Version 2.0.", "a1b2", "x@y", "12345", "",
-    "12345678901234567890123", "10 200 3000", "deadbeef4263429643439180", "10 20 30 40"])
+    "12345678901234567890123", "10 200 3000", "deadbeef4263429643439180", "10 20 30 40",
+    "10:00:00", "std::string 7", "::1", "in May 2000 words", "31 April 1985", "5 apples 1999",
+    "1 23 45 67 89 10", "12 555 123 4567", "13/13/1985", "0/4/1985"])
 def test_what_is_not_valid_stays(text):
     assert p.replace(text, KEY) == (text, [])
 
