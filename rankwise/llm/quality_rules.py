@@ -23,7 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankwise.llm.text import BLANKS, blank_words, lines
+from rankwise.llm import sizes
+from rankwise.llm.text import BLANKS, blank_words, lines, named
 from rankwise.session import scratch_path
 
 MIN_WORDS = 20
@@ -183,7 +184,7 @@ def _start(features: DataFrame) -> DataFrame:
 
 def _concentrate(features: DataFrame, estimate: DataFrame) -> DataFrame:
     """One step: centre and Cholesky factor from the nearest SUPPORT share."""
-    near = _with_distance(features.join(estimate, "group"), "_d")
+    near = _with_distance(features.join(sizes.hinted(estimate)[0], "group"), "_d")
     bucket = F.floor(F.ln(F.col("_d") + 1e-6) * BUCKETS_PER_UNIT)
     sums = [F.sum(x).alias(f"s_{x}") for x in VECTOR] \
         + [F.sum(F.col(a) * F.col(b)).alias(f"p_{a}_{b}") for a, b in PAIRS]
@@ -219,10 +220,10 @@ def _judged(docs: DataFrame, carry: list[str], text: str, lang: str,
     def key(*parts):
         return F.to_json(F.struct(*parts))
     slim = docs.select(
-        F.struct(*carry).alias("row"),
-        key(F.col(lang).alias("lang"), F.struct(F.col(source).alias("source")).alias("in"))
+        F.struct(*(named(c) for c in carry)).alias("row"),
+        key(named(lang).alias("lang"), F.struct(named(source).alias("source")).alias("in"))
         .alias("own_group"),
-        key(F.col(lang).alias("lang")).alias("lang_group"), F.col(text).alias("_text"))
+        key(named(lang).alias("lang")).alias("lang_group"), named(text).alias("_text"))
     slim = with_statistics(slim, "_text").drop("_text")
     slim = slim.withColumn("base_failed", base_failed()).withColumns(vector())
     slim = _stored(spark, slim, "quality-statistics")
@@ -234,9 +235,9 @@ def _judged(docs: DataFrame, carry: list[str], text: str, lang: str,
     large = estimate.filter(F.col("n_group") >= MIN_GROUP).drop("n_group")
     numbers = [c for c in large.columns if c != "group"]
     def known(key, prefix):
-        return large.select(F.col("group").alias(key),
-                            *(F.col(c).alias(prefix + c) for c in numbers),
-                            F.lit(True).alias(prefix + "known"))
+        return sizes.hinted(large.select(
+            F.col("group").alias(key), *(F.col(c).alias(prefix + c) for c in numbers),
+            F.lit(True).alias(prefix + "known")))[0]
     out = (slim.join(known("own_group", "own_"), "own_group", "left")
            .join(known("lang_group", "lang_"), "lang_group", "left"))
     out = out.withColumns({c: F.when(F.col("own_known"), F.col("own_" + c))
