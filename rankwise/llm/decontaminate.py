@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 
 from rankwise.llm import sizes
 from rankwise.llm.tables import stored
-from rankwise.llm.text import alnum_words, ascii_lower
+from rankwise.llm.text import alnum_words, ascii_lower, named
 
 WINDOW = 10
 
 
 def item_windows(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
     """(phrase, tokens, item_id as string): every window of every item once."""
-    tokens = F.transform(alnum_words(F.col(text)), ascii_lower)
-    out = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"),
+    tokens = F.transform(alnum_words(named(text)), ascii_lower)
+    out = items.select(F.coalesce(named(item_id).cast("string"), F.lit("")).alias("item_id"),
                        tokens.alias("all")).filter(F.size("all") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("all") - (window - 1), F.lit(1)))
     out = out.select("item_id", F.explode(F.transform(
@@ -33,8 +33,8 @@ def item_windows(items: DataFrame, item_id: str, text: str, window: int) -> Data
 
 def _doc_words(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Words of each row behind one empty word that stands for the row itself."""
-    words = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("row_key"),
-                        alnum_words(F.col(text)).alias("words"))
+    words = docs.select(named(doc_id).alias("doc_id"), F.xxhash64(named(text)).alias("row_key"),
+                        alnum_words(named(text)).alias("words"))
     return words.withColumn("n_words", F.size("words"))
 
 
@@ -45,7 +45,7 @@ def prefixes(docs: DataFrame, windows: DataFrame, text: str, limit: int) -> Data
     placed = windows.select("phrase", "tokens").distinct() \
         .select("phrase", F.size("tokens").alias("span"), F.posexplode("tokens"))
     vocabulary, _ = sizes.hinted(placed.select(F.col("col").alias("token")).distinct(), limit)
-    counts = (docs.select(F.explode(alnum_words(F.col(text))).alias("w"))
+    counts = (docs.select(F.explode(alnum_words(named(text))).alias("w"))
               .select(ascii_lower(F.col("w")).alias("token"))
               .join(vocabulary, "token")
               .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
@@ -177,5 +177,5 @@ def clean(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: st
         .filter(F.size("spans") > 0).select(F.col("doc_id").alias("c_doc"),
                                             F.col("row_key").alias("c_key"))
     found, _ = sizes.hinted(stored(docs.sparkSession, found, "contaminated"), limit)
-    return docs.join(found, docs[doc_id].eqNullSafe(found["c_doc"])
-                     & (F.xxhash64(docs[text]) == found["c_key"]), "left_anti")
+    return docs.join(found, docs["`" + doc_id + "`"].eqNullSafe(found["c_doc"])
+                     & (F.xxhash64(docs["`" + text + "`"]) == found["c_key"]), "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwise.llm import sizes
-from rankwise.llm.text import fresh, lines
+from rankwise.llm.text import fresh, lines, named
 
 def _other_than(words: str) -> str:
     """A pattern for the start of a word that is none of ``words``, up to where it
@@ -215,7 +215,7 @@ def with_canonical(df: DataFrame, text: str, name: str) -> DataFrame:
     """``df`` with the canonical form of ``text``: empty for a null text and for one
     of copyright lines alone. Step by step, so that each is worked out once."""
     low, words = fresh(df, "_low"), fresh(df, "_words")
-    out = df.withColumn(low, F.lower(F.coalesce(F.col(text), F.lit(""))))
+    out = df.withColumn(low, F.lower(F.coalesce(named(text), F.lit(""))))
     t = F.col(low)
     marked = t.contains("copyright") | t.contains("(c)") | t.contains("©")
     out = out.withColumn(low, F.when(marked, F.regexp_replace(t, COPYRIGHT, " ")).otherwise(t))
@@ -269,8 +269,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None, *, doc_id: str = "doc_
     may_match = needles(KNOWN) if known is None else ""
     known = known_digests(docs.sparkSession) if known is None else known
     known, _ = sizes.hinted(known.select("digest", "license"), limit)
-    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("row_key"),
-                       F.col(text).alias("text"))
+    rows = docs.select(named(doc_id).alias("id"), F.xxhash64(named(text)).alias("row_key"),
+                       named(text).alias("text"))
     # The longest words that known texts must have are rare: most documents, and
     # most lines of the others, are out before anything is done to them.
     single = rows.filter(F.lower("text").rlike(may_match)) \

@@ -24,7 +24,6 @@ shard, however many shards there are, one bigram in 10^8 shares a count.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +34,10 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rankwise.llm.tables import stored
+from rankwise.llm.text import named
 
 
 FOLDS, HELD_OUT = 7, 2      # crc32(id as text) mod 7 = 2 is held out
@@ -56,10 +57,6 @@ def tokens(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def is_held_out(doc_id) -> bool:
-    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS == HELD_OUT
-
-
 def bigram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """64-bit hashes of bigrams, given hashes of their tokens."""
     x = first * U64(0x9E3779B97F4A7C15) + second
@@ -77,14 +74,15 @@ class _Block:
 
     def __init__(self):
         self.number = {START: 0, END: 1}
-        self.ids, self.lengths, self.at = [], [], []
+        self.ids, self.held, self.lengths, self.at = [], [], [], []
 
-    def add(self, doc_id, text):
+    def add(self, doc_id, held, text):
         number = self.number
         # Every token gets the number of its first appearance in the block.
         at = [number.setdefault(w, len(number)) for w in tokens(text)]
         at.append(1)
         self.ids.append(doc_id)
+        self.held.append(held)
         self.lengths.append(len(at))
         self.at += at
 
@@ -96,13 +94,12 @@ class _Block:
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         words = list(self.number)
-        held = [is_held_out(i) for i in self.ids]
-        training = sum(n for n, h in zip(self.lengths, held, strict=True) if not h)
+        training = sum(n for n, h in zip(self.lengths, self.held, strict=True) if not h)
         pack = zstandard.ZstdCompressor(level=3).compress
         return pa.RecordBatch.from_arrays(
             [pa.array([block_id], pa.int64()), pa.array([len(at)], pa.int64()),
              pa.array([training], pa.int64()), pa.array([self.ids], pa.list_(id_type)),
-             pa.array([held], pa.list_(pa.bool_())),
+             pa.array([self.held], pa.list_(pa.bool_())),
              pa.array([self.lengths], pa.list_(pa.int32())),
              pa.array([pack(rank[at].tobytes())], pa.binary()),
              pa.array([pack(b"\n".join(words[i] for i in order[2:]))], pa.binary())],
@@ -110,14 +107,14 @@ class _Block:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], id_type: pa.DataType, size: int):
-    """(id, text) to blocks; the blocks of a task are numbered after its partition."""
+    """(id, held, text) to blocks; the blocks of a task are numbered after its partition."""
     base, made, now = TaskContext.get().partitionId() << 32, 0, _Block()
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS_AT_ONCE):
             part = batch.slice(start, ROWS_AT_ONCE)
-            for i, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist(),
-                               strict=True):
-                now.add(i, text)
+            for row in zip(*(part.column(c).to_pylist() for c in ("id", "held", "text")),
+                           strict=True):
+                now.add(*row)
                 if len(now.at) >= size:
                     yield now.rows(base + made, id_type)
                     made, now = made + 1, _Block()
@@ -269,13 +266,16 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", prior:
     Learns from all documents whose crc32(id as text) mod 7 is not 2 and scores
     every document. A null text is empty and has the end token alone; a null id
     counts as the empty text. Repeated rows and ids count and are scored as often
-    as they stand there. Other columns are not read. Without a training document
+    as they stand there. An id may have any type that casts to text. Other columns are
+    not read. Without a training document
     every token is unknown. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("text"))
+    fold = F.crc32(F.coalesce(named(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS
+    rows = docs.select(named(doc_id).alias("id"), (fold == HELD_OUT).alias("held"),
+                       named(text).cast("binary").alias("text"))
     ids = rows.schema["id"].dataType.simpleString()
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[ids]
+    id_type = to_arrow_type(rows.schema["id"].dataType)
     blocks = stored(spark, rows.mapInArrow(
         lambda batches: _blocks(batches, id_type, block_tokens),
         f"block long, tokens long, training long, ids array<{ids}>, held array<boolean>, "

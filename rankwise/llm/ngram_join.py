@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from rankwise.llm import sizes
 from rankwise.llm.components import connected
 from rankwise.llm.tables import stored
+from rankwise.llm.text import named
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -268,8 +269,8 @@ def _classed(docs: DataFrame, doc_id: str, text: str, threshold: float, trees: i
     n_links, n_copies, first: struct of id and key of its class's first row)."""
     spark = docs.sparkSession
     length = prefix_length(threshold, trees, recall)
-    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("row_key"),
-                       F.col(text).alias("text"))
+    rows = docs.select(named(doc_id).alias("id"), F.xxhash64(named(text)).alias("row_key"),
+                       named(text).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     signed = stored(spark, rows.mapInArrow(
         lambda batches: _signed(batches, trees, length),
@@ -337,10 +338,10 @@ def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     again = rows.filter("node is not null").groupBy("id", "row_key").count() \
         .filter("count > 1").select(F.col("id").alias("a_id"), F.col("row_key").alias("a_key"))
     again, _ = sizes.hinted(stored(spark, again, "repeated-rows"), limit)
-    key = F.xxhash64(docs[text])
+    key = F.xxhash64(docs["`" + text + "`"])
 
     def same(other, i, k):
-        return docs[doc_id].eqNullSafe(other[i]) & key.eqNullSafe(other[k])
+        return docs["`" + doc_id + "`"].eqNullSafe(other[i]) & key.eqNullSafe(other[k])
     kept = docs.join(others, same(others, "o_id", "o_key"), "left_anti")
     once = kept.join(again, same(again, "a_id", "a_key"), "left_anti")
     # Repeated rows of a class's first: one of each, without moving other texts.

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankwise.llm.html_blocks import blocks
+from rankwise.llm.text import named
 
 ROWS_AT_ONCE = 64
 FETCHED = "2024-01-01T00:00:00Z"       # for pages without a date of their own
@@ -125,8 +126,8 @@ def responses(pages: DataFrame, *, page_id: str = "page_id", url: str = "url",
     A null page is an empty one, a null address gives no target. Repeated rows
     give records of one name. Other columns are not read.
     """
-    rows = pages.select(pages[page_id].alias("id"), pages[url].alias("url"),
-                        pages[source].alias("page"))
+    rows = pages.select(named(page_id).alias("id"), named(url).alias("url"),
+                        named(source).alias("page"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def made(batches):

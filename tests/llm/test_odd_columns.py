@@ -1,0 +1,65 @@
+"""Columns named with dots, and ids of any type, in every operator and stage."""
+import pytest
+
+import corpus_pipeline
+from rankwise.llm import (decontaminate, html_blocks, licenses, line_templates, lm_automaton,
+                          mixing, ngram_join, pii, quality_rules, warc)
+
+WORDS = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+OPERATORS = {
+    "op1": lm_automaton.score, "op2": lambda d: pii.pseudonymise(d, b"k"),
+    "op3": quality_rules.keep, "op3_judge": quality_rules.judge,
+    "op4": ngram_join.classes, "op4_keep": ngram_join.keep_first,
+    "op5": line_templates.deduplicate, "op5_clean": line_templates.clean,
+    "op6": lambda d: html_blocks.extract(d.withColumnRenamed("text", "html")),
+    "op7": lambda d: decontaminate.report(d, d.selectExpr("doc_id AS item_id", "'x' AS text", "`a.b`")),
+    "op8": mixing.mix, "op9": licenses.scan,
+    "op10": lambda d: warc.derive(warc.responses(d.withColumnRenamed("text", "html")
+                                                 .withColumnRenamed("doc_id", "page_id"))),
+}
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, " ".join(WORDS[i:i + 40]) + "\n" + "shared line of some words here", "en", "s",
+             300, "u", "x") for i in range(6)]
+    return spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, "
+              "url string, `a.b` string")
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_a_dot_in_a_name(docs, name):
+    out = OPERATORS[name](docs)
+    assert out.count() == (12 if name == "op10" else 6)
+    if name in ("op2", "op3", "op4_keep", "op5", "op5_clean", "op8"):
+        assert [r["a.b"] for r in out.collect()] == ["x"] * 6
+
+
+def test_a_text_column_with_a_dot(docs):
+    odd = docs.drop("a.b").withColumnRenamed("text", "my.text").withColumnRenamed("doc_id", "my.id")
+    assert line_templates.deduplicate(odd, doc_id="my.id", text="my.text").columns[:2] == odd.columns[:2]
+    assert pii.pseudonymise(odd, b"k", text="my.text").count() == 6
+    assert ngram_join.keep_first(odd, doc_id="my.id", text="my.text").count() == 6
+    assert quality_rules.keep(odd, text="my.text").columns == odd.columns
+
+
+@pytest.mark.parametrize("stage", [s for s, _ in corpus_pipeline.STAGES])
+def test_stages(spark, docs, stage, tmp_path):
+    spark.createDataFrame([("i", "x")], "item_id string, text string") \
+        .write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = dict(corpus_pipeline.STAGES)[stage](spark, docs, str(tmp_path))
+    assert out.columns[:7] == docs.columns and out.count() == 6
+
+
+@pytest.mark.parametrize("kind", ["date", "smallint", "binary", "timestamp", "string", "decimal(9,2)"])
+def test_ids_of_any_type(spark, kind):
+    start = "DATE'2020-01-01'" if kind in ("date", "timestamp") else "0"
+    change = {"date": f"date_add({start}, CAST(id AS INT))", "timestamp": f"timestamp(date_add({start}, CAST(id AS INT)))",
+              "binary": "CAST(CAST(id AS STRING) AS BINARY)"}.get(kind, f"CAST(id AS {kind})")
+    df = spark.range(20).selectExpr(f"{change} AS doc_id", "concat('some words ', id) AS text")
+    got = lm_automaton.score(df)
+    assert got.schema["doc_id"].dataType == df.schema["doc_id"].dataType
+    want = df.selectExpr("doc_id", "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 7 = 2 AS h")
+    assert sorted(map(tuple, got.select("doc_id", "held_out").collect()), key=repr) \
+        == sorted(map(tuple, want.collect()), key=repr)
