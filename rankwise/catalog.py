@@ -41,6 +41,7 @@ CUT_LINE, SHORT_LINE = 3, 5        # line numbers of cut records, and of ones wi
 BAD_ID_LINE = 7            # line number whose detection id becomes unreadable text
 HOT_REDUCERS = 16          # reducers that hot keys are measured against
 LAYOUT_PARTITIONS = 4      # partitions of the measured layout, one left empty
+LOCATION_BUCKETS = 8       # directories that the locations of an output share
 ODD_ENDS = [",x", "\ny", '"z"', "\\w", ""]      # item endings, by rank
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -381,6 +382,14 @@ def q_sink_partitioned(spark, sf):
     return read(spark, "parquet", target, schema=OUTPUT).select(*OUTPUT.fieldNames())
 
 
+def q_sink_sized_files(spark, sf):
+    """Locations share directories: as many files as buckets, not as locations."""
+    target = write(_baseline(spark, sf), "parquet", scratch_path(spark, "by-bucket"),
+                   run_date=RUN_DATE, schema=OUTPUT, partition_by=[C.location],
+                   buckets=LOCATION_BUCKETS)
+    return read(spark, "parquet", target, schema=OUTPUT).select(*OUTPUT.fieldNames())
+
+
 def q_output_contract(spark, sf):
     return conform(_baseline(spark, sf), OUTPUT)
 
@@ -504,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "sink_dated_path": q_sink_dated_path,
     "sink_run_date_column": q_sink_run_date_column,
     "sink_partitioned": q_sink_partitioned,
+    "sink_sized_files": q_sink_sized_files,
     "output_contract": q_output_contract,
     "null_policy_drop": q_null_policy_drop,
     "null_policy_default": q_null_policy_default,

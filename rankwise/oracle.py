@@ -224,6 +224,7 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT *, '{NEXT_DATE}' FROM top WHERE item_rank <= {TOP_X_EVENTS}""",
     "sink_partitioned": BASELINE,
+    "sink_sized_files": BASELINE,
     "output_contract": BASELINE,
     "null_policy_drop": _top(
         f"SELECT * FROM ({_LINEITEM_WITH_NULLS}) WHERE detection_oid IS NOT NULL "

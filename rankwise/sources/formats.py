@@ -201,11 +201,29 @@ def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(~bad).drop(REJECT_COLUMN), df.filter(bad).select(REJECT_COLUMN)
 
 
+def bucket_name(columns: Sequence[str]) -> str:
+    """The partition column of a table whose values of ``columns`` share directories."""
+    return "_".join([*columns, "bucket"])
+
+
+def _bucket(values: Sequence[Column], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*values), F.lit(buckets)).cast("int")
+
+
+def of_value(df: DataFrame, column: str, value, buckets: int) -> DataFrame:
+    """Rows of one value of a table written with ``buckets``: the other directories
+    are not listed in the scan. A null value is found too."""
+    typed = F.lit(value).cast(df.schema[column].dataType)
+    return df.filter((F.col(bucket_name([column])) == _bucket([typed], buckets))
+                     & F.col(column).eqNullSafe(typed))
+
+
 def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
           run_date: str | _dt.date | None = None, dated: bool = True,
           schema: StructType | None = None,
           partition_by: Sequence[str] = (), text_sep: str = ",",
-          date_column: str | None = None) -> str:
+          date_column: str | None = None, buckets: int | None = None,
+          rows_per_file: int | None = None) -> str:
     """Write ``df`` as ``fmt`` and return the path actually written.
 
     ``dated`` stamps the run date into ``path`` (see ``dated_output_path``). With
@@ -214,7 +232,11 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
     partitions of this run's date alone.
     ``schema`` conforms the rows to a contract first (order, types,
     non-null values); text renders each row as one delimited line;
-    ``partition_by`` writes one directory per value, after a rebalance.
+    ``partition_by`` writes one directory per value, after a rebalance. With
+    ``buckets`` the values share that many directories by a hash instead
+    (``bucket_name``), sorted by value and still in the rows, so that many small
+    values make few files; ``of_value`` finds a value in its directory alone.
+    ``rows_per_file`` splits what is larger.
     """
     kind = resolve_format(fmt)
     if mode not in SAVE_MODES:
@@ -223,6 +245,11 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
     if schema is not None:
         df = conform(df, schema)
     parts = list(partition_by)
+    if buckets is not None:
+        if buckets < 1 or not parts:
+            raise ValueError("buckets are 1 at least, and of the columns in partition_by")
+        df = df.withColumn(bucket_name(parts), _bucket([F.col(c) for c in parts], buckets))
+        inside, parts = parts, [bucket_name(parts)]
     if date_column:
         if date_column in df.columns:
             raise ValueError(f"the rows have a column {date_column!r} already")
@@ -236,9 +263,13 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
         # directories (no tasks x values small files); AQE splits a hot
         # value over several tasks and merges small ones.
         df = df.hint("rebalance", *parts)
+        if buckets is not None and kind != "text":
+            df = df.sortWithinPartitions(*parts, *inside)
     if kind == "csv":
         df = _csv_strings(df, _escaped)
     writer = df.write.mode(mode)
+    if rows_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     if date_column:
         # One value a run: it needs no rebalance of its own.
         parts = [date_column, *parts]
