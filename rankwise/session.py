@@ -5,9 +5,12 @@ cluster the caller owns the session and only ``shared_dir`` is used.
 """
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +32,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
 
 
+_HELD: dict[tuple[int, str], list] = {}      # blocks inside, the value before them
+_HELD_LOCK = threading.Lock()
+
+
+@contextlib.contextmanager
+def held_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session's ``key`` is ``value`` while the block runs.
+
+    Threads share a session: of blocks that overlap, the last to end puts back what
+    was there before the first.
+    """
+    name = (id(spark), key)
+    with _HELD_LOCK:
+        held = _HELD.setdefault(name, [0, spark.conf.get(key, None)])
+        held[0] += 1
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        with _HELD_LOCK:
+            held[0] -= 1
+            if not held[0]:
+                del _HELD[name]
+                if held[1] is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, held[1])
+
+
 _LOCAL_DIRS: dict[str, str] = {}
 
 

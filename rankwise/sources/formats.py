@@ -6,6 +6,7 @@ distributed (one file per task, no driver round trip).
 """
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import functools
 import operator
@@ -17,6 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from rankwise.contracts import conform
 from rankwise.functions.columns import NULL_TOKEN, text_line
+from rankwise.session import held_setting
 from rankwise.sources.paths import dated_output_path, run_date_text
 
 # Accepted format names (case-insensitive) and the Spark
@@ -49,6 +51,11 @@ def resolve_format(name: str) -> str:
     return kind
 
 
+# Tasks per core that list the directories of a table, and the setting
+# that says so (Spark's own value is a task each, to 10,000).
+LISTING_TASKS_PER_CORE = 8
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 # What to do with a record that does not parse under the schema.
 MALFORMED = ("fail", "null", "reject")
 REJECT_COLUMN = "_malformed_record"
@@ -75,6 +82,13 @@ def _unescaped(value: Column) -> Column:
     return F.when(value.startswith("\\"), F.substring(value, 2, 2 ** 31 - 1)).otherwise(value)
 
 
+def _listing(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Directories are listed by few tasks, many each: a task costs more than a listing."""
+    tasks = LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return held_setting(spark, LISTING_TASKS,
+                        str(min(tasks, int(spark.conf.get(LISTING_TASKS)))))
+
+
 def read(spark: SparkSession, fmt: str, path: str | Sequence[str],
          schema: StructType | None = None, *,
          multiline: bool = False, malformed: str = "fail") -> DataFrame:
@@ -98,6 +112,12 @@ def read(spark: SparkSession, fmt: str, path: str | Sequence[str],
     kind = resolve_format(fmt)
     if malformed not in MALFORMED:
         raise ValueError(f"unknown {malformed!r} for malformed; use one of {MALFORMED}")
+    with _listing(spark):
+        return _read(spark, kind, path, schema, multiline, malformed)
+
+
+def _read(spark: SparkSession, kind: str, path: str | Sequence[str],
+          schema: StructType | None, multiline: bool, malformed: str) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     if kind == "text":
         return spark.read.text(paths)
@@ -218,6 +238,21 @@ def of_value(df: DataFrame, column: str, value, buckets: int) -> DataFrame:
                      & F.col(column).eqNullSafe(typed))
 
 
+def _dealt(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows by the columns ``parts``: a value in one task, a hot one in several.
+
+    Rows of a value come together, so that it makes one file (no tasks x values small
+    files), by a rebalance in which AQE cuts a hot value into pieces. It also merges
+    small values, by their bytes, while a directory costs time whatever it holds: one
+    task would make thousands. So values and pieces are dealt out once more, by number.
+    """
+    spark, piece = df.sparkSession, "_piece_of_value"
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                spark.sparkContext.defaultParallelism)
+    cut = df.hint("rebalance", *parts).withColumn(piece, F.spark_partition_id())
+    return cut.repartition(tasks, *[F.col(f"`{c}`") for c in parts], piece).drop(piece)
+
+
 def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
           run_date: str | _dt.date | None = None, dated: bool = True,
           schema: StructType | None = None,
@@ -232,7 +267,7 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
     partitions of this run's date alone.
     ``schema`` conforms the rows to a contract first (order, types,
     non-null values); text renders each row as one delimited line;
-    ``partition_by`` writes one directory per value, after a rebalance. With
+    ``partition_by`` writes one directory per value, by all tasks alike (see ``_dealt``). With
     ``buckets`` the values share that many directories by a hash instead
     (``bucket_name``), sorted by value and still in the rows, so that many small
     values make few files; ``of_value`` finds a value in its directory alone.
@@ -259,10 +294,7 @@ def write(df: DataFrame, fmt: str, path: str, *, mode: str = "overwrite",
         body = [c for c in df.columns if c not in beside]
         df = df.select(text_line(body, text_sep).alias("value"), *map(F.col, beside))
     if parts:
-        # Group rows by the partition columns so each task writes few
-        # directories (no tasks x values small files); AQE splits a hot
-        # value over several tasks and merges small ones.
-        df = df.hint("rebalance", *parts)
+        df = _dealt(df, parts)
         if buckets is not None and kind != "text":
             df = df.sortWithinPartitions(*parts, *inside)
     if kind == "csv":
